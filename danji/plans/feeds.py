@@ -19,8 +19,8 @@ def sales_overview(
 def choropleth_feed(
     regions: DataFrame, values: DataFrame, provinces: list[str] | None = None,
     unit: str = "%", decimals: int = 1,
-) -> DataFrame:
-    """Regions with value, label, centroid and the colour range of the values.
+) -> dict[str, DataFrame]:
+    """Regions with value, label and centroid, and the colour range of all values.
 
     `values` is (key, value); a region without a value keeps NULL and has no label.
     """
@@ -32,14 +32,10 @@ def choropleth_feed(
         F.col("value").isNotNull(), F.concat("sig_kor_nm", F.lit("\n"), number, F.lit(unit))
     )
     bounds = X.color_scale_bounds(values, "value")
-    # The bounds are one row.
-    return (
-        valued.withColumn("label", label).join(F.broadcast(bounds), how="left")
-        .select(
-            "sig_cd", "sig_kor_nm", "full_nm", "value", "label", "centroid_lon", "centroid_lat",
-            "center", "vmin", "vmax",
-        )
+    layer = valued.withColumn("label", label).select(
+        "sig_cd", "sig_kor_nm", "full_nm", "value", "label", "centroid_lon", "centroid_lat"
     )
+    return {"layer": layer, "bounds": X.color_scale_bounds(values, "value")}
 
 
 def scatter_feed(individual: dict[str, DataFrame]) -> DataFrame:
