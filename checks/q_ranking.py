@@ -7,7 +7,6 @@ from checks.registry import query
 from checks.views import AS_OF_YEAR
 from danji.operators import coords as K, ranking as R, regions as G
 from danji.plans import ranking as plan
-from danji.plans.preprocess import derive_trade_columns
 
 _VOLUMES = f"""volumes AS (SELECT sido, sigungu, emd, address, complex, built_year, age_band, area_band,
     contract_year, road, road_key, count(*) AS n FROM ({DERIVED.format(table='sales_parts')}) GROUP BY ALL)"""
@@ -48,7 +47,7 @@ def pivot(v, **options):
 
 
 def _volumes(v):
-    return R.volume_by_complex(derive_trade_columns(v.sales, AS_OF_YEAR))
+    return R.volume_by_complex(v.sales, AS_OF_YEAR)
 
 
 @query("volume_by_complex", f"WITH {_VOLUMES} SELECT * FROM volumes", "sales_parts")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from checks.views import Views
+from checks.views import Views, views as views_of
 from checks.views_sql import with_views
 
 QUERIES: dict[str, Callable] = {}
@@ -18,7 +18,7 @@ def query(name: str, sql: str | None = None, views: str = ""):
     def register(build: Callable[[Views], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = lambda spark, sf_dir: build(Views(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: build(views_of(spark, sf_dir))
         if sql is not None:
             ORACLE[name] = with_views(views.split(), sql)
         return build

@@ -1,34 +1,33 @@
 """Apartment tables that Spark derives from the given tables, for checks and the benchmark.
 
 A part is a complex: its key places it in a nation (district) and region (province). A line item
-is a sale of it, an order a rental contract. `checks/views_sql.py` says the same in SQL.
+is a sale of it, an order a rental contract. `checks/views_sql.py` says the same for a second
+engine.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from danji.functions import address as A, trade as T
+from danji.functions import address as A
 
 AS_OF_YEAR = 2002
 
-PROVINCES = {
-    "AFRICA": "서울특별시",
-    "AMERICA": "경기도",
-    "ASIA": "세종특별자치시",
-    "EUROPE": "부산광역시",
-    "MIDDLE EAST": "충청남도",
+# The given tables' columns that are used, so that no file is read to learn a schema.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_extendedprice double, "
+                "l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
 }
-SHORT_NAMES = {
-    "AFRICA": "서울", "AMERICA": "경기", "ASIA": "세종", "EUROPE": "부산", "MIDDLE EAST": "충남",
-}
-DIRECTIONS = ["중", "동", "서", "남", "북"]
-
 
-def _pick(column, mapping):
-    return F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])[column]
+_PLACED = ["n_nationkey", "n_regionkey", "sig_cd", "district", "short_name"]
 
 
 class Views:
@@ -38,190 +37,138 @@ class Views:
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def nations(self) -> DataFrame:
         """Districts with their province; 25 rows by the definition of the tables."""
-        region = self.table("region").select(
-            F.col("r_regionkey").alias("n_regionkey"),
-            _pick(F.col("r_name"), PROVINCES).alias("province"),
-            _pick(F.col("r_name"), SHORT_NAMES).alias("short_name"),
-        )
-        d = F.element_at(
-            F.array(*[F.lit(x) for x in DIRECTIONS]),
-            (F.floor(F.col("n_nationkey") / 5) + 1).cast("int"),
+        region = self.table("region").selectExpr(
+            "r_regionkey AS n_regionkey",
+            """CASE r_name WHEN 'AFRICA' THEN '서울특별시' WHEN 'AMERICA' THEN '경기도'
+               WHEN 'ASIA' THEN '세종특별자치시' WHEN 'EUROPE' THEN '부산광역시'
+               WHEN 'MIDDLE EAST' THEN '충청남도' END AS province""",
+            """CASE r_name WHEN 'AFRICA' THEN '서울' WHEN 'AMERICA' THEN '경기' WHEN 'ASIA' THEN '세종'
+               WHEN 'EUROPE' THEN '부산' WHEN 'MIDDLE EAST' THEN '충남' END AS short_name""",
         )
-        province = F.col("province")
-        base = (
-            F.when(province == "경기도", F.concat(province, F.lit(" "), d, F.lit("시 "), d, F.lit("구")))
-            .when(province == "세종특별자치시", F.concat(province, F.lit("  "), d, F.lit("읍")))
-            .when(province == "충청남도",
-                  F.concat(province, F.lit(" "), d, F.lit("군 "), d, F.lit("읍")))
-            .otherwise(F.concat(province, F.lit(" "), d, F.lit("구")))
+        nation = self.table("nation").selectExpr(
+            "n_nationkey", "n_regionkey",
+            "element_at(array('중', '동', '서', '남', '북'), CAST(n_nationkey div 5 AS INT) + 1) AS d",
+            "concat(n_regionkey + 11, lpad(n_nationkey + 1, 3, '0')) AS sig_cd",
         )
-        district = (
-            F.when(province == "경기도", F.concat(d, F.lit("시 "), d, F.lit("구")))
-            .when(province == "세종특별자치시", province)
-            .when(province == "충청남도", F.concat(d, F.lit("군 "), d, F.lit("읍")))
-            .otherwise(F.concat(d, F.lit("구")))
-        )
-        nation = self.table("nation").select("n_nationkey", "n_regionkey")
-        code = F.concat(
-            (F.col("n_regionkey") + 11).cast("string"),
-            F.lpad((F.col("n_nationkey") + 1).cast("string"), 3, "0"),
-        )
-        return (
-            nation.join(F.broadcast(region), "n_regionkey")
-            .withColumns({"base": base, "district": district, "sig_cd": code})
+        return nation.join(F.broadcast(region), "n_regionkey").selectExpr(
+            "*",
+            """CASE province WHEN '경기도' THEN concat(province, ' ', d, '시 ', d, '구')
+               WHEN '세종특별자치시' THEN concat(province, '  ', d, '읍')
+               WHEN '충청남도' THEN concat(province, ' ', d, '군 ', d, '읍')
+               ELSE concat(province, ' ', d, '구') END AS base""",
+            """CASE province WHEN '경기도' THEN concat(d, '시 ', d, '구')
+               WHEN '세종특별자치시' THEN province
+               WHEN '충청남도' THEN concat(d, '군 ', d, '읍') ELSE concat(d, '구') END AS district""",
         )
 
     @cached_property
     def places(self) -> DataFrame:
         """One complex per part."""
-        part = self.table("part").select("p_partkey", "p_name", "p_brand", "p_size")
-        suffix = F.when(F.col("province").isin("세종특별자치시", "충청남도"), "리").otherwise("동")
-        nation_key = (F.col("p_partkey") % 25).cast("int")
+        part = self.table("part").withColumn("n_nationkey", F.expr("CAST(p_partkey % 25 AS INT)"))
         # 25 districts, so the broadcast is bounded.
-        return (
-            part.withColumn("n_nationkey", nation_key)
-            .join(F.broadcast(self.nations), "n_nationkey")
-            .withColumns(
-                {
-                    "complex": F.replace("p_name", F.lit(" "), F.lit("_")),
-                    "town": F.concat(F.replace("p_brand", F.lit("Brand#"), F.lit("제")), suffix),
-                    "main_road": F.concat(F.lit("큰길 "), (F.col("p_partkey") % 4).cast("string")),
-                    "side_road": F.concat(F.lit("샛길 "), F.col("n_nationkey").cast("string")),
-                    "first_year": (F.lit(1975) + F.col("p_partkey") % 30).cast("int"),
-                }
-            )
+        return part.join(F.broadcast(self.nations), "n_nationkey").selectExpr(
+            "p_partkey", "p_size", *_PLACED, "province", "base",
+            "replace(p_name, ' ', '_') AS complex",
+            """concat(replace(p_brand, 'Brand#', '제'),
+               IF(province IN ('세종특별자치시', '충청남도'), '리', '동')) AS town""",
+            "concat('큰길 ', p_partkey % 4) AS main_road",
+            "concat('샛길 ', n_nationkey) AS side_road",
+            "CAST(1975 + p_partkey % 30 AS INT) AS first_year",
         )
 
-    @staticmethod
-    def _address(skip_town):
-        return F.when(skip_town, F.col("base")).otherwise(F.concat("base", F.lit(" "), "town"))
-
     @cached_property
     def located_sales(self) -> DataFrame:
         """Sales with the district they lie in."""
-        line = self.table("lineitem").select(
-            F.col("l_partkey").alias("p_partkey"), "l_orderkey", "l_linenumber", "l_extendedprice",
-            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-        )
-        row = line.join(self.places, "p_partkey")
-        ship, number = F.col("l_shipdate"), F.col("l_linenumber")
-        mark = F.col("l_orderkey") % 4
-        return row.select(
-            self._address(number % 7 == 0).alias("address"),
+        line = self.table("lineitem").withColumnRenamed("l_partkey", "p_partkey")
+        return line.join(self.places, "p_partkey").selectExpr(
+            "IF(l_linenumber % 7 = 0, base, concat(base, ' ', town)) AS address",
             "complex",
-            (F.col("p_size") * 4.0 + (number % 3) * 0.5).alias("area_m2"),
-            F.floor("l_extendedprice").cast("bigint").alias("price"),
-            (F.year(ship) * 100 + F.month(ship)).cast("int").alias("ym"),
-            F.dayofmonth(ship).alias("day"),
-            number.alias("floor_no"),
-            F.when(F.col("l_discount") == 0.1, F.lit(0))
-            .when(F.col("l_discount") != 0.09, F.col("first_year")).alias("built_year"),
-            F.when(F.col("l_tax") == 0.08, F.lit(""))
-            .when(F.col("l_tax") != 0.0,
-                  F.when(number % 5 == 0, F.col("side_road")).otherwise(F.col("main_road")))
-            .alias("road"),
-            F.when(F.col("l_returnflag") == "R", F.date_format(ship, "yyyyMMdd"))
-            .when(F.col("l_returnflag") == "A",
-                  F.when(mark == 1, F.lit("")).when(mark == 2, F.lit("None"))
-                  .when(mark == 3, F.lit("-"))).alias("cancelled_on"),
-            F.when(F.col("l_linestatus") == "O", F.lit("중개거래"))
-            .when(F.col("l_tax") < 0.02, F.lit("직거래"))
-            .when(F.col("l_orderkey") % 11 != 0, F.lit("중개거래")).alias("deal_type"),
-            "n_nationkey", "n_regionkey", "sig_cd", "district", "short_name",
+            "p_size * 4.0D + (l_linenumber % 3) * 0.5D AS area_m2",
+            "CAST(floor(l_extendedprice) AS BIGINT) AS price",
+            "year(l_shipdate) * 100 + month(l_shipdate) AS ym",
+            "day(l_shipdate) AS day",
+            "l_linenumber AS floor_no",
+            """CASE WHEN l_discount = 0.1D THEN 0 WHEN l_discount = 0.09D THEN NULL
+               ELSE first_year END AS built_year""",
+            """CASE WHEN l_tax = 0.08D THEN '' WHEN l_tax = 0.0D THEN NULL
+               WHEN l_linenumber % 5 = 0 THEN side_road ELSE main_road END AS road""",
+            """CASE l_returnflag WHEN 'R' THEN date_format(l_shipdate, 'yyyyMMdd') WHEN 'A' THEN
+               CASE l_orderkey % 4 WHEN 1 THEN '' WHEN 2 THEN 'None' WHEN 3 THEN '-' END
+               END AS cancelled_on""",
+            """CASE WHEN l_linestatus = 'O' THEN '중개거래' WHEN l_tax < 0.02D THEN '직거래'
+               WHEN l_orderkey % 11 != 0 THEN '중개거래' END AS deal_type""",
+            *_PLACED,
         )
 
     @cached_property
     def sales(self) -> DataFrame:
-        return self.located_sales.drop(
-            "n_nationkey", "n_regionkey", "sig_cd", "district", "short_name"
-        )
+        return self.located_sales.drop(*_PLACED)
 
     @cached_property
     def located_rents(self) -> DataFrame:
-        order = self.table("orders").select(
-            F.col("o_custkey").alias("p_partkey"), "o_orderkey", "o_totalprice", "o_orderdate",
-            "o_orderpriority", "o_orderstatus",
-        )
-        row = order.join(self.places, "p_partkey")
-        key, day = F.col("o_orderkey"), F.col("o_orderdate")
-        return row.select(
-            self._address(key % 7 == 0).alias("address"),
+        order = self.table("orders").withColumnRenamed("o_custkey", "p_partkey")
+        return order.join(self.places, "p_partkey").selectExpr(
+            "IF(o_orderkey % 7 = 0, base, concat(base, ' ', town)) AS address",
             "complex",
-            F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM"), "전세")
-            .otherwise("월세").alias("rent_kind"),
-            (F.col("p_size") * 4.0 + (key % 3) * 0.5).alias("area_m2"),
-            F.floor(F.col("o_totalprice") / 8.0).cast("bigint").alias("deposit"),
-            (F.year(day) * 100 + F.month(day)).cast("int").alias("ym"),
-            F.dayofmonth(day).alias("day"),
-            (key % 20 + 1).cast("int").alias("floor_no"),
-            F.col("first_year").alias("built_year"),
-            F.when(F.col("o_orderstatus") == "P", F.col("side_road"))
-            .otherwise(F.col("main_road")).alias("road"),
-            "n_nationkey", "n_regionkey", "sig_cd", "district", "short_name",
+            """IF(o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM'), '전세', '월세')
+               AS rent_kind""",
+            "p_size * 4.0D + (o_orderkey % 3) * 0.5D AS area_m2",
+            "CAST(floor(o_totalprice / 8.0D) AS BIGINT) AS deposit",
+            "year(o_orderdate) * 100 + month(o_orderdate) AS ym",
+            "day(o_orderdate) AS day",
+            "CAST(o_orderkey % 20 + 1 AS INT) AS floor_no",
+            "first_year AS built_year",
+            "IF(o_orderstatus = 'P', side_road, main_road) AS road",
+            *_PLACED,
         )
 
     @cached_property
     def rents(self) -> DataFrame:
-        return self.located_rents.drop(
-            "n_nationkey", "n_regionkey", "sig_cd", "district", "short_name"
-        )
+        return self.located_rents.drop(*_PLACED)
 
     @cached_property
     def coords(self) -> DataFrame:
         """Full road keys (one road is not geocoded yet) and older rows under the bare road."""
-        roads = self.places.select(
+        roads = self.places.selectExpr(
             "base", "province", "n_nationkey",
-            F.explode(
-                F.array(
-                    F.struct(F.col("main_road").alias("road"), (F.col("p_partkey") % 4).alias("k")),
-                    F.struct(F.col("side_road").alias("road"), F.lit(9).cast("bigint").alias("k")),
-                )
-            ).alias("r"),
-        ).select("base", "province", "n_nationkey", "r.road", "r.k").distinct()
-        side = F.col("k") == 9
-        metropolitan = F.col("province").isin("서울특별시", "부산광역시")
-        n = F.col("n_nationkey")
-        lon, lat = (12400 + n * 10 + F.col("k")) / 100.0, (3500 + n * 10 + F.col("k")) / 100.0
+            """inline(array(named_struct('road', main_road, 'k', p_partkey % 4),
+                            named_struct('road', side_road, 'k', 9L)))""",
+        ).distinct()
+        position = [
+            "(12400 + n_nationkey * 10 + k) / 100.0D AS lon",
+            "(3500 + n_nationkey * 10 + k) / 100.0D AS lat",
+        ]
+        lowest = F.min("n_nationkey").alias("n_nationkey")
         full = (
-            roads.filter((~side & (F.col("road") != "큰길 3")) | (side & metropolitan))
+            roads.filter(
+                "(k < 9 AND road != '큰길 3') OR (k = 9 AND province IN ('서울특별시', '부산광역시'))"
+            )
             .groupBy(A.road_address_key(F.col("base"), F.col("road")).alias("road_key"), "k")
-            .agg(F.min("n_nationkey").alias("n_nationkey"))
-            .select("road_key", lon.alias("lon"), lat.alias("lat"))
+            .agg(lowest).selectExpr("road_key", *position)
         )
-        bare = (
-            roads.groupBy("road", "k").agg(F.min("n_nationkey").alias("n_nationkey"))
-            .select(
-                F.col("road").alias("road_key"),
-                F.when(side, lon).otherwise(999.0).alias("lon"),
-                F.when(side, lat).otherwise(999.0).alias("lat"),
-            )
+        bare = roads.groupBy("road", "k").agg(lowest).selectExpr("road AS road_key", "k", *position)
+        return full.unionByName(
+            bare.selectExpr("road_key", "IF(k = 9, lon, 999.0D) AS lon", "IF(k = 9, lat, 999.0D) AS lat")
         )
-        return full.unionByName(bare)
 
     @cached_property
     def complexes(self) -> DataFrame:
         """The register: a lot, a size and a kind per complex."""
-        key = F.col("p_partkey")
-        address = F.concat("base", F.lit(" "), "town")
-        block = F.when(key % 3 == 0, F.lit("")).otherwise(
-            F.concat(F.lit("-"), (key % 3).cast("string"))
-        )
-        lot = F.concat(
-            A.parse_sido(address), F.lit(" "), A.parse_sigungu(address), F.lit(" "),
-            A.parse_emd(address), F.lit(" "), (key % 50 + 1).cast("string"), block,
+        placed = A.with_region_columns(
+            self.places.withColumn("whole", F.expr("concat(base, ' ', town)")), "whole"
         )
-        return self.places.select(
-            lot.alias("lot_address"),
-            F.when(key % 2 == 0, F.concat("complex", F.lit(" 1단지")))
-            .otherwise(F.col("complex")).alias("complex"),
-            F.when(key % 17 == 0, F.lit(0)).when(key % 13 != 0, 100 + key % 2000)
-            .cast("int").alias("households"),
-            F.when(key % 9 == 0, "2").otherwise("1").alias("kind_code"),
+        return placed.selectExpr(
+            """concat(sido, ' ', sigungu, ' ', emd, ' ', p_partkey % 50 + 1,
+               IF(p_partkey % 3 = 0, '', concat('-', p_partkey % 3))) AS lot_address""",
+            "IF(p_partkey % 2 = 0, concat(complex, ' 1단지'), complex) AS complex",
+            """CAST(CASE WHEN p_partkey % 17 = 0 THEN 0 WHEN p_partkey % 13 = 0 THEN NULL
+               ELSE 100 + p_partkey % 2000 END AS INT) AS households""",
+            "IF(p_partkey % 9 = 0, '2', '1') AS kind_code",
         )
 
     def _monthly(self, located: DataFrame, amount: str) -> DataFrame:
@@ -233,31 +180,24 @@ class Views:
         per_province = per_district.groupBy(*keys).agg(
             F.sum("total").alias("total"), F.sum("n").alias("n")
         )
-        date = T.ym_to_date(F.col("ym"), 1).alias("date")
-        return per_district.select(
-            F.concat("sig_cd", F.lit("00000")).alias("region_code"),
-            F.col("district").alias("region_name"), date, "total", "n",
+        date, mean = "make_date(CAST(ym div 100 AS INT), ym % 100, 1) AS date", "total / n AS mean"
+        return per_district.selectExpr(
+            "concat(sig_cd, '00000') AS region_code", "district AS region_name", date, mean
         ).unionByName(
-            per_province.select(
-                F.concat((F.col("n_regionkey") + 11).cast("string"), F.lit("00000000"))
-                .alias("region_code"),
-                F.col("short_name").alias("region_name"), date, "total", "n",
+            per_province.selectExpr(
+                "concat(n_regionkey + 11, '00000000') AS region_code",
+                "short_name AS region_name", date, mean,
             )
         )
 
     def _index(self, located: DataFrame, amount: str) -> DataFrame:
-        kinds = F.array(
-            *[
-                F.struct(F.lit(f).alias("freq"), F.lit(a).alias("asset_kind"), F.lit(s).alias("shift"))
-                for f, a, s in (("월간", "아파트", 0.0), ("주간", "아파트", 1.0), ("월간", "연립", 2.0))
-            ]
-        )
-        return self._monthly(located, amount).select(
-            F.explode(kinds).alias("kind"), "region_code", "region_name", "date",
-            (F.col("total") / F.col("n")).alias("mean"),
-        ).select(
-            "kind.freq", "kind.asset_kind", "region_code", "region_name", "date",
-            (F.col("mean") + F.col("kind.shift")).alias("index_value"),
+        return self._monthly(located, amount).selectExpr(
+            "region_code", "region_name", "date", "mean",
+            """inline(array(named_struct('freq', '월간', 'asset_kind', '아파트', 'shift', 0.0D),
+                            named_struct('freq', '주간', 'asset_kind', '아파트', 'shift', 1.0D),
+                            named_struct('freq', '월간', 'asset_kind', '연립', 'shift', 2.0D)))""",
+        ).selectExpr(
+            "freq", "asset_kind", "region_code", "region_name", "date", "mean + shift AS index_value"
         )
 
     @cached_property
@@ -271,16 +211,13 @@ class Views:
     @cached_property
     def lease_ratio(self) -> DataFrame:
         """Mean deposit over mean price, in percent."""
-        price = self._monthly(self.located_sales, "price").select(
-            "region_code", "region_name", "date", (F.col("total") / F.col("n")).alias("price")
-        )
-        deposit = self._monthly(self.located_rents, "deposit").select(
-            "region_code", "date", (F.col("total") / F.col("n")).alias("deposit")
+        price = self._monthly(self.located_sales, "price")
+        deposit = self._monthly(self.located_rents, "deposit").selectExpr(
+            "region_code", "date", "mean AS deposit"
         )
-        kinds = F.explode(F.array(F.lit("아파트"), F.lit("연립"))).alias("asset_kind")
-        return price.join(deposit, ["region_code", "date"]).select(
-            "date", kinds, "region_code", "region_name",
-            (F.col("deposit") / F.col("price") * 100.0).alias("ratio"),
+        return price.join(deposit, ["region_code", "date"]).selectExpr(
+            "date", "explode(array('아파트', '연립')) AS asset_kind", "region_code", "region_name",
+            "deposit / mean * 100.0D AS ratio",
         )
 
     @cached_property
@@ -293,29 +230,32 @@ class Views:
     @cached_property
     def features(self) -> DataFrame:
         """One GeoJSON feature per district, every third a MultiPolygon."""
-        n = F.col("n_nationkey")
-        ring = F.format_string(
-            "[[%d,%d],[%d,%d],[%d,%d],[%d,%d]]", n + 100, n + 30, n + 102, n + 30, n + 102, n + 33,
-            n + 100, n + 34,
+        shaped = self.nations.selectExpr(
+            "*", "n_nationkey % 3 = 0 AS multi",
+            """format_string('[[%d,%d],[%d,%d],[%d,%d],[%d,%d]]', n_nationkey + 100, n_nationkey + 30,
+               n_nationkey + 102, n_nationkey + 30, n_nationkey + 102, n_nationkey + 33,
+               n_nationkey + 100, n_nationkey + 34) AS ring""",
+            "IF(district = province, province, concat(province, ' ', district)) AS full_nm",
         )
-        multi = n % 3 == 0
-        coordinates = F.when(
-            multi, F.concat(F.lit("[["), ring, F.lit("],[[[0,0],[1,1],[1,2]]]]"))
-        ).otherwise(F.concat(F.lit("["), ring, F.lit("]")))
-        kind = F.when(multi, F.lit("MultiPolygon")).otherwise(F.lit("Polygon"))
-        full = F.when(F.col("district") == F.col("province"), F.col("province")).otherwise(
-            F.concat("province", F.lit(" "), "district")
+        return shaped.selectExpr(
+            """concat('{"type":"Feature","properties":{"sig_cd":"', sig_cd, '","sig_kor_nm":"', district,
+               '","full_nm":"', full_nm, '"},"geometry":{"type":"', IF(multi, 'MultiPolygon', 'Polygon'),
+               '","coordinates":', IF(multi, concat('[[', ring, '],[[[0,0],[1,1],[1,2]]]]'),
+               concat('[', ring, ']')), '}}') AS value"""
         )
-        text = F.concat(
-            F.lit('{"type":"Feature","properties":{"sig_cd":"'), F.col("sig_cd"),
-            F.lit('","sig_kor_nm":"'), F.col("district"), F.lit('","full_nm":"'), full,
-            F.lit('"},"geometry":{"type":"'), kind, F.lit('","coordinates":'), coordinates,
-            F.lit("}}"),
-        )
-        return self.nations.select(text.alias("value"))
 
     @cached_property
     def regions_geo(self) -> DataFrame:
         from danji.sources.boundaries import parse_features
 
         return parse_features(self.features)
+
+
+@lru_cache(maxsize=8)
+def _views(application: str, spark: SparkSession, sf_dir: str) -> Views:
+    return Views(spark, sf_dir)
+
+
+def views(spark: SparkSession, sf_dir: str) -> Views:
+    """The views of a folder; their plans (not their data) are kept for the session."""
+    return _views(spark.sparkContext.applicationId, spark, sf_dir)

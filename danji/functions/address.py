@@ -80,9 +80,49 @@ def fill_emd(emd: Column, best_emd: Column) -> Column:
     return F.coalesce(F.nullif(emd, F.lit("")), best_emd)
 
 
+def may_lie_in(address: Column, *names) -> Column:
+    """Cheap necessary condition: the address contains the words of one of the names of each kind.
+
+    `names` are a name, a list of names, or None, such as a province and a district. Judged before
+    an address is parsed, it spares most rows the parsing.
+    """
+    out = F.lit(True)
+    for wanted in names:
+        if not wanted:
+            continue
+        each = [wanted] if isinstance(wanted, str) else list(wanted)
+        if SEJONG_DISTRICT in each:
+            continue  # stands for the whole province and need not be written in the address
+        any_name = F.lit(False)
+        for name in each:
+            words = F.lit(True)
+            for word in name.split(" "):
+                words = words & address.contains(word)
+            any_name = any_name | words
+        out = out & any_name
+    return out
+
+
 def with_region_columns(df, address: str = "address"):
-    """Add sido, sigungu, emd."""
-    c = F.col(address)
-    return df.withColumns(
-        {"sido": parse_sido(c), "sigungu": parse_sigungu(c), "emd": parse_emd(c)}
+    """Add sido, sigungu, emd: as the parse functions, but each address is split only once."""
+    n, first, second = F.size("_words"), F.get("_words", F.lit(0)), F.get("_words", F.lit(1))
+    third, fourth = F.get("_words", F.lit(2)), F.get("_words", F.lit(3))
+    sejong = first.startswith(SEJONG)
+    sigungu = (
+        F.when(sejong, F.lit(SEJONG_DISTRICT))
+        .when(n >= 4, F.concat(second, F.lit(" "), third))
+        .when(n >= 2, second)
+        .otherwise(F.lit(""))
+    )
+    emd = (
+        F.when(sejong, F.coalesce(second, F.lit("")))
+        .when(n >= 4, fourth)
+        .when(n >= 3, third)
+        .otherwise(F.lit(""))
+    )
+    words = F.split(normalize_address(F.col(address)), " ")
+    return (
+        df.withColumn("_words", words)
+        .withColumns({"sido": first, "sigungu": sigungu, "emd": emd})
+        .drop("_words")
     )

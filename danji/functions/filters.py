@@ -89,7 +89,8 @@ def trade_filter_price(
     ym_from=None, ym_to=None,
 ) -> Column:
     """Conditions over raw trade columns (the address is parsed here)."""
-    address, parts = F.col("address"), []
+    address = F.col("address")
+    parts = [A.may_lie_in(address, sido, sigungu, emd)]
     if sido:
         parts.append(A.parse_sido(address) == sido)
     if sigungu:

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from danji.functions import address as A
 from danji.functions.rounding import round_half_up
+from danji.operators.skew import counted
 
 
 def road_keys(*trade_tables: DataFrame) -> DataFrame:
     """Distinct (road_key, road) over trade tables; rows without a road have none."""
     seen = None
     for trades in trade_tables:
-        part = trades.select("address", "road").filter("road IS NOT NULL AND road != ''").distinct()
+        part = counted(trades.filter("road IS NOT NULL AND road != ''"), "address", "road")
         seen = part if seen is None else seen.unionByName(part)
     key = A.road_address_key(F.col("address"), F.col("road"))
     return seen.select(key.alias("road_key"), "road").filter("road_key IS NOT NULL").distinct()

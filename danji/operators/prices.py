@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from danji.functions import address as A, filters, trade as T
 from danji.functions.rounding import round_half_up
-from danji.operators.skew import exact_median
+from danji.operators.skew import counted, exact_median
 
 
 def monthly_median_volume(trades: DataFrame, amount: str) -> DataFrame:
@@ -90,7 +90,8 @@ def union_sales_leases(sales: DataFrame, rents: DataFrame) -> DataFrame:
     both = sales.select("address", "complex").unionByName(
         rents.filter(filters.lease_only()).select("address", "complex")
     )
-    return both.filter("address IS NOT NULL AND complex IS NOT NULL").distinct()
+    named = both.filter("address IS NOT NULL AND complex IS NOT NULL")
+    return counted(named, "address", "complex").drop("n")
 
 
 def region_hierarchy_complex(sales: DataFrame, rents: DataFrame) -> DataFrame:

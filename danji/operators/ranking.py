@@ -5,16 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from danji.functions import address as A, filters, trade as T
+from danji.operators.skew import counted
 
 PLACE = ["sido", "sigungu", "complex"]
 
 
-def volume_by_complex(derived: DataFrame) -> DataFrame:
-    """Trades per complex, road, area band and year. Everything after this joins counts, not trades."""
-    return derived.groupBy(
-        "sido", "sigungu", "emd", "address", "complex", "built_year", "age_band", "area_band",
-        "contract_year", "road", "road_key",
-    ).agg(F.count("*").alias("n"))
+def volume_by_complex(
+    trades: DataFrame, as_of_year: int, *, sido=None, sigungu=None, emd=None, **conditions
+) -> DataFrame:
+    """Valid trades counted per complex, road, area band and year.
+
+    Trades are counted by their raw columns and only the counts are parsed: the region, age band
+    and road key depend on the raw columns alone.
+    """
+    area = F.col("area_m2")
+    possible = filters.valid_trade_rows() & A.may_lie_in(F.col("address"), sido, sigungu, emd)
+    rows = trades.filter(possible).withColumns(
+        {
+            "area_band": T.area_band(area), "pyeong_band": T.pyeong_band(area),
+            "contract_year": T.contract_year(F.col("ym")),
+        }
+    )
+    groups = counted(
+        rows.filter(filters.trade_filter_region(**conditions)),
+        "address", "complex", "built_year", "road", "area_band", "contract_year",
+    )
+    parsed = A.with_region_columns(groups).withColumns(
+        {
+            "age_band": T.age_band(F.col("built_year"), as_of_year),
+            "road_key": A.road_address_key(F.col("address"), F.col("road")),
+        }
+    )
+    return parsed.filter(filters.trade_filter_region(sido, sigungu, emd))
 
 
 def best_emd(trades: DataFrame) -> DataFrame:
@@ -22,12 +44,9 @@ def best_emd(trades: DataFrame) -> DataFrame:
 
     Counted per raw address first: there are far fewer addresses than trades to parse.
     """
-    counted = (
-        trades.filter(F.col("address").isNotNull())
-        .groupBy("address", "complex").agg(F.count("*").alias("n"))
-    )
+    addresses = counted(trades.filter(F.col("address").isNotNull()), "address", "complex")
     per_emd = (
-        A.with_region_columns(counted).filter(F.col("emd") != "")
+        A.with_region_columns(addresses).filter(F.col("emd") != "")
         .groupBy(*PLACE, "emd").agg(F.sum("n").alias("n"))
     )
     return per_emd.groupBy(*PLACE).agg(
@@ -37,7 +56,7 @@ def best_emd(trades: DataFrame) -> DataFrame:
 
 def best_coords(trades: DataFrame, coords: DataFrame, dedupe: bool = False) -> DataFrame:
     """Coordinates per complex and road, or (dedupe) those of the longest road key per complex."""
-    seen = trades.select("address", "complex", "road").distinct()
+    seen = counted(trades.filter(F.col("road").isNotNull()), "address", "complex", "road")
     keyed = (
         A.with_region_columns(seen).filter(F.col("emd") != "")
         .withColumn("road_key", A.road_address_key(F.col("address"), F.col("road")))
@@ -142,7 +161,7 @@ def max_households_ceil(complexes: DataFrame) -> DataFrame:
 
 def region_hierarchy(trades: DataFrame) -> DataFrame:
     """Distinct province > district > sub-district."""
-    addresses = trades.select("address").filter(F.col("address").isNotNull()).distinct()
+    addresses = counted(trades.filter(F.col("address").isNotNull()), "address")
     return (
         A.with_region_columns(addresses).select("sido", "sigungu", "emd")
         .filter(filters.nonempty_region()).distinct()

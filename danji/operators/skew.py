@@ -37,6 +37,16 @@ def lookup_join(
     )
 
 
+def counted(df: DataFrame, *columns: str) -> DataFrame:
+    """Distinct values of the columns with their row count `n`.
+
+    The values are tied to the count, so that Catalyst leaves conditions on what is parsed from
+    them above this aggregate: they are judged once per distinct value, not once per row.
+    """
+    groups = df.groupBy(*columns).agg(F.count("*").alias("n"))
+    return groups.withColumns({c: F.when(F.col("n") > 0, F.col(c)) for c in columns})
+
+
 def exact_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
     """Exact median per key, with the row count as `n`.
 

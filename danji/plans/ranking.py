@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F, Window as W
 
 from danji.functions import filters
 from danji.operators import ranking as R
-from danji.plans.preprocess import derive_trade_columns
 
 
 def complex_pivot(
@@ -19,8 +18,7 @@ def complex_pivot(
     `dedupe_coords` keeps only the coordinates of its longest road key.
     `region` takes the arguments of filters.trade_filter_region.
     """
-    derived = derive_trade_columns(trades, as_of_year)
-    volumes = R.volume_by_complex(derived.filter(filters.trade_filter_region(**region)))
+    volumes = R.volume_by_complex(trades, as_of_year, **region)
     located = volumes.join(coords, "road_key", "left")
     named = R.join_best_emd(located, R.best_emd(trades))
     placed = R.join_best_coords(named, R.best_coords(trades, coords, dedupe_coords))
