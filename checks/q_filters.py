@@ -6,6 +6,8 @@ from checks.registry import query
 from checks.views import AS_OF_YEAR
 from checks.views_sql import ACTIVE_STRICT, ACTIVE_WIDE, AREA_BAND, PYEONG_BAND
 from danji.functions import filters as C
+from danji.functions.address import with_region_columns
+from danji.operators.skew import counted
 from danji.plans.preprocess import derive_trade_columns
 
 COUNTED = "count(*) AS n, CAST(sum(price) AS BIGINT) AS total"
@@ -124,10 +126,8 @@ def _(v):
 @query("nonempty_region", """SELECT sido, sigungu, emd, count(*) AS n FROM sales_parts
   WHERE sido <> '' AND sigungu <> '' AND emd <> '' GROUP BY ALL""", "sales_parts")
 def _(v):
-    from danji.functions.address import with_region_columns
-
-    parsed = with_region_columns(v.sales).filter(C.nonempty_region())
-    return parsed.groupBy("sido", "sigungu", "emd").agg(F.count("*").alias("n"))
+    parsed = with_region_columns(counted(v.sales, "address")).filter(C.nonempty_region())
+    return parsed.groupBy("sido", "sigungu", "emd").agg(F.sum("n").alias("n"))
 
 
 @query("name_pattern", """SELECT region_name, count(*) AS n FROM sale_index

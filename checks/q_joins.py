@@ -6,6 +6,7 @@ from checks.registry import query
 from checks.views import AS_OF_YEAR
 from checks.views_sql import AGE_BAND, AREA_BAND, PYEONG_BAND
 from danji.operators import coords as K, enrich as E
+from danji.operators.skew import counted
 from danji.plans.preprocess import derive_trade_columns, preprocess_trades
 
 
@@ -68,7 +69,7 @@ def _(v):
 @query("coords_inner_by_filter", """SELECT address, s.road, lon, lat, count(*) AS n FROM sales_parts s
   JOIN coords ON key_prefix || ' ' || s.road = road_key GROUP BY ALL""", "sales_parts coords")
 def _(v):
-    joined = E.join_coords(v.sales.groupBy("address", "road").agg(F.count("*").alias("n")), v.coords)
+    joined = E.join_coords(counted(v.sales, "address", "road"), v.coords)
     return joined.filter("lon IS NOT NULL").select("address", "road", "lon", "lat", "n")
 
 

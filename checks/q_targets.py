@@ -1,4 +1,4 @@
-"""Watch-list queries: every (complex, area) of the sales is watched."""
+"""Watch-list queries: every (complex, area) of the register is watched."""
 
 from pyspark.sql import functions as F
 
@@ -185,9 +185,9 @@ def roi_report(v):
     return roi.roi_report(v.targets, v.sales, v.rents, v.complexes, PURCHASE_YM, PERIODS)
 
 
-# Candidates: every (complex, area) that was rented. Listed: the entries whose area is whole.
+# Candidates: every (complex, area) that was rented. Listed: the entries below 100 square metres.
 _CANDIDATES = """candidates AS (SELECT DISTINCT complex, area_m2 FROM rents),
-  listed AS (SELECT * FROM targets WHERE area_m2 = floor(area_m2)),
+  listed AS (SELECT * FROM targets WHERE area_m2 < 100),
   matched AS (SELECT c.complex, c.area_m2, count(DISTINCT s.address) AS places, min(s.address) AS address,
       min(s.area_m2) AS actual_area
     FROM candidates c LEFT JOIN sales s ON s.complex = c.complex AND abs(s.area_m2 - c.area_m2) < 1
@@ -204,7 +204,7 @@ def _candidates(v):
 
 
 def _listed(v):
-    return v.targets.filter(F.col("area_m2") == F.floor("area_m2"))
+    return v.targets.filter(F.col("area_m2") < 100)
 
 
 @query("validate_targets", f"WITH {_CANDIDATES} SELECT * FROM judged", "targets sales rents")

@@ -64,28 +64,37 @@ class Views:
             """CASE province WHEN '경기도' THEN concat(d, '시 ', d, '구')
                WHEN '세종특별자치시' THEN province
                WHEN '충청남도' THEN concat(d, '군 ', d, '읍') ELSE concat(d, '구') END AS district""",
+            "IF(province IN ('세종특별자치시', '충청남도'), '리', '동') AS suffix",
         )
 
     @cached_property
-    def places(self) -> DataFrame:
-        """One complex per part."""
-        part = self.table("part").withColumn("n_nationkey", F.expr("CAST(p_partkey % 25 AS INT)"))
-        # 25 districts, so the broadcast is bounded.
-        return part.join(F.broadcast(self.nations), "n_nationkey").selectExpr(
-            "p_partkey", "p_size", *_PLACED, "province", "base",
+    def parts(self) -> DataFrame:
+        """What a part says of its complex; the facts join this table first, since its size is
+        known from its file and Catalyst can choose the join by it."""
+        return self.table("part").selectExpr(
+            "p_partkey", "p_size", "CAST(p_partkey % 25 AS INT) AS n_nationkey",
             "replace(p_name, ' ', '_') AS complex",
-            """concat(replace(p_brand, 'Brand#', '제'),
-               IF(province IN ('세종특별자치시', '충청남도'), '리', '동')) AS town""",
+            "replace(p_brand, 'Brand#', '제') AS town_name",
             "concat('큰길 ', p_partkey % 4) AS main_road",
-            "concat('샛길 ', n_nationkey) AS side_road",
             "CAST(1975 + p_partkey % 30 AS INT) AS first_year",
         )
 
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        """Rows of parts with their district; it has 25 rows, so the broadcast is bounded."""
+        return rows.join(F.broadcast(self.nations), "n_nationkey").selectExpr(
+            "*", "concat(town_name, suffix) AS town", "concat('샛길 ', n_nationkey) AS side_road"
+        )
+
+    @cached_property
+    def places(self) -> DataFrame:
+        """One complex per part."""
+        return self._placed(self.parts)
+
     @cached_property
     def located_sales(self) -> DataFrame:
         """Sales with the district they lie in."""
         line = self.table("lineitem").withColumnRenamed("l_partkey", "p_partkey")
-        return line.join(self.places, "p_partkey").selectExpr(
+        return self._placed(line.join(self.parts, "p_partkey")).selectExpr(
             "IF(l_linenumber % 7 = 0, base, concat(base, ' ', town)) AS address",
             "complex",
             "p_size * 4.0D + (l_linenumber % 3) * 0.5D AS area_m2",
@@ -112,7 +121,7 @@ class Views:
     @cached_property
     def located_rents(self) -> DataFrame:
         order = self.table("orders").withColumnRenamed("o_custkey", "p_partkey")
-        return order.join(self.places, "p_partkey").selectExpr(
+        return self._placed(order.join(self.parts, "p_partkey")).selectExpr(
             "IF(o_orderkey % 7 = 0, base, concat(base, ' ', town)) AS address",
             "complex",
             """IF(o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM'), '전세', '월세')
@@ -222,10 +231,10 @@ class Views:
 
     @cached_property
     def targets(self) -> DataFrame:
-        """Every complex name and area that was sold: the longest possible watch-list."""
-        return self.sales.groupBy("complex", "area_m2").agg(F.min("address").alias("address")).select(
-            "address", "complex", "area_m2"
-        )
+        """Every complex name and size of the register: the longest possible watch-list."""
+        return self.places.groupBy("complex", F.expr("p_size * 4.0D AS area_m2")).agg(
+            F.expr("min(concat(base, ' ', town)) AS address")
+        ).select("address", "complex", "area_m2")
 
     @cached_property
     def features(self) -> DataFrame:

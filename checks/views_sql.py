@@ -142,8 +142,9 @@ _VIEWS = {
     (VALUES ('아파트'), ('연립')) AS kinds(asset_kind)""",
     ),
     "targets": (
-        ["sales"],
-        "SELECT min(address) AS address, complex, area_m2 FROM sales GROUP BY complex, area_m2",
+        ["places"],
+        """SELECT min(base || ' ' || town) AS address, complex, p_size * 4.0::DOUBLE AS area_m2 FROM places
+  GROUP BY complex, p_size""",
     ),
     "regions_geo": (
         ["nations"],

@@ -10,8 +10,14 @@ def _word(text: Column, position: int) -> Column:
 
 
 def squeeze_spaces(address: Column) -> Column:
-    """Collapse whitespace runs; the ends are kept, as the road key needs."""
-    return F.regexp_replace(address, r"\s+", " ")
+    """Collapse whitespace runs; the ends are kept, as the road key needs.
+
+    The regular expression runs only on addresses that have a run or a space other than ' '.
+    """
+    unclean = address.contains("  ")
+    for other in "\t\n\x0b\f\r":
+        unclean = unclean | address.contains(other)
+    return F.when(unclean, F.regexp_replace(address, r"\s+", " ")).otherwise(address)
 
 
 def normalize_address(address: Column) -> Column:
@@ -54,15 +60,27 @@ def sigungu_keyword(address: Column) -> Column:
     return F.when(sido == SEJONG, sido).otherwise(parse_sigungu(address))
 
 
-def road_address_key(address: Column, road: Column) -> Column:
-    """Key of the coordinate table: first two address words plus the road; NULL without a road."""
-    text = squeeze_spaces(address)
+def _road_key(text: Column, road: Column) -> Column:
     prefix = F.when(text.startswith(SEJONG), F.lit(f"{SEJONG} {SEJONG_DISTRICT}")).otherwise(
         F.concat(_word(text, 1), F.lit(" "), _word(text, 2))
     )
     return F.concat(prefix, F.lit(" "), road)
 
 
+def road_address_key(address: Column, road: Column) -> Column:
+    """Key of the coordinate table: first two address words plus the road; NULL without a road."""
+    return _road_key(squeeze_spaces(address), road)
+
+
+def with_road_key(df, name: str = "road_key"):
+    """Add the road key of whole trades; each address is cleaned only once."""
+    return (
+        df.withColumn("_text", squeeze_spaces(F.col("address")))
+        .withColumn(name, _road_key(F.col("_text"), F.col("road")))
+        .drop("_text")
+    )
+
+
 def lot_address_base(lot_address: Column) -> Column:
     """Lot address without its trailing lot number."""
     return F.regexp_replace(lot_address, r"\s+\d[\d-]*$", "")
@@ -104,25 +122,28 @@ def may_lie_in(address: Column, *names) -> Column:
 
 
 def with_region_columns(df, address: str = "address"):
-    """Add sido, sigungu, emd: as the parse functions, but each address is split only once."""
-    n, first, second = F.size("_words"), F.get("_words", F.lit(0)), F.get("_words", F.lit(1))
-    third, fourth = F.get("_words", F.lit(2)), F.get("_words", F.lit(3))
-    sejong = first.startswith(SEJONG)
-    sigungu = (
-        F.when(sejong, F.lit(SEJONG_DISTRICT))
-        .when(n >= 4, F.concat(second, F.lit(" "), third))
-        .when(n >= 2, second)
-        .otherwise(F.lit(""))
-    )
-    emd = (
-        F.when(sejong, F.coalesce(second, F.lit("")))
-        .when(n >= 4, fourth)
-        .when(n >= 3, third)
-        .otherwise(F.lit(""))
-    )
-    words = F.split(normalize_address(F.col(address)), " ")
+    """Add sido, sigungu, emd: as the parse functions, but each address is cleaned only once.
+
+    The expressions are kept short: a projection whose generated code grows past the JIT's limit
+    for one method runs many times slower.
+    """
+    sejong = f"startswith(_text, '{SEJONG}')"
+    # Words up to a position, and of these the last ones; the positions vary by row.
+    cut = "substring_index(substring_index(_text, ' ', {end}), ' ', {back})"
+    sigungu = f"""CASE WHEN {sejong} THEN '{SEJONG_DISTRICT}' WHEN _words >= 2 THEN
+        {cut.format(end="IF(_words >= 4, 3, 2)", back="IF(_words >= 4, -2, -1)")} ELSE '' END"""
+    place = f"CASE WHEN {sejong} THEN 2 WHEN _words >= 4 THEN 4 ELSE 3 END"
+    emd = f"IF(_words >= _place, {cut.format(end='_place', back='-1')}, '')"
     return (
-        df.withColumn("_words", words)
-        .withColumns({"sido": first, "sigungu": sigungu, "emd": emd})
-        .drop("_words")
+        df.withColumn("_text", normalize_address(F.col(address)))
+        .withColumn("_words", F.size(F.split("_text", " ")))
+        .withColumns(
+            {
+                "sido": F.substring_index("_text", " ", 1),
+                "sigungu": F.expr(sigungu),
+                "_place": F.expr(place),
+            }
+        )
+        .withColumn("emd", F.expr(emd))
+        .drop("_text", "_words", "_place")
     )

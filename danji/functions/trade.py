@@ -38,8 +38,12 @@ def pyeong_round(area: Column) -> Column:
 
 
 def pyeong_band(area: Column) -> Column:
-    # Edges are whole, so the raw value and its floor give the same band.
-    return _below(pyeong_raw(area), PYEONG_BANDS, PYEONG_BAND_LAST)
+    """Bands of ten pyeong, picked by position; NULL falls to the last label."""
+    labels = F.array(*[F.lit(name) for _, name in PYEONG_BANDS], F.lit(PYEONG_BAND_LAST))
+    last = len(PYEONG_BANDS)
+    tens = F.floor(pyeong_raw(area) / 10).cast("int")
+    place = F.least(F.greatest(F.coalesce(tens, F.lit(last)), F.lit(0)), F.lit(last))
+    return F.get(labels, place)
 
 
 def building_age(built_year: Column, as_of_year: int) -> Column:

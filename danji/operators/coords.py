@@ -15,8 +15,8 @@ def road_keys(*trade_tables: DataFrame) -> DataFrame:
     for trades in trade_tables:
         part = counted(trades.filter("road IS NOT NULL AND road != ''"), "address", "road")
         seen = part if seen is None else seen.unionByName(part)
-    key = A.road_address_key(F.col("address"), F.col("road"))
-    return seen.select(key.alias("road_key"), "road").filter("road_key IS NOT NULL").distinct()
+    keyed = A.with_road_key(seen).select("road_key", "road")
+    return keyed.filter("road_key IS NOT NULL").distinct()
 
 
 def addresses_to_geocode(coords: DataFrame, *trade_tables: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from danji.operators.skew import lookup_join
 def join_coords(trades: DataFrame, coords: DataFrame) -> DataFrame:
     """Add lat and lon by road key; a key listed twice in coords repeats the trade."""
     lookup = coords.select(F.col("road_key").alias("_road_key"), "lat", "lon")
-    keyed = trades.withColumn("_road_key", A.road_address_key(F.col("address"), F.col("road")))
+    keyed = A.with_road_key(trades, "_road_key")
     return lookup_join(keyed, lookup, ["_road_key"]).drop("_road_key")
 
 

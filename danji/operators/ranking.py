@@ -30,11 +30,8 @@ def volume_by_complex(
         rows.filter(filters.trade_filter_region(**conditions)),
         "address", "complex", "built_year", "road", "area_band", "contract_year",
     )
-    parsed = A.with_region_columns(groups).withColumns(
-        {
-            "age_band": T.age_band(F.col("built_year"), as_of_year),
-            "road_key": A.road_address_key(F.col("address"), F.col("road")),
-        }
+    parsed = A.with_region_columns(A.with_road_key(groups)).withColumn(
+        "age_band", T.age_band(F.col("built_year"), as_of_year)
     )
     return parsed.filter(filters.trade_filter_region(sido, sigungu, emd))
 
@@ -58,8 +55,7 @@ def best_coords(trades: DataFrame, coords: DataFrame, dedupe: bool = False) -> D
     """Coordinates per complex and road, or (dedupe) those of the longest road key per complex."""
     seen = counted(trades.filter(F.col("road").isNotNull()), "address", "complex", "road")
     keyed = (
-        A.with_region_columns(seen).filter(F.col("emd") != "")
-        .withColumn("road_key", A.road_address_key(F.col("address"), F.col("road")))
+        A.with_region_columns(A.with_road_key(seen)).filter(F.col("emd") != "")
         .select(*PLACE, "emd", "road_key").distinct()
     )
     found = keyed.join(coords.filter(F.col("lon").isNotNull()), "road_key")

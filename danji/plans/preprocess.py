@@ -103,9 +103,8 @@ def derive_trade_columns(trades: DataFrame, as_of_year: int) -> DataFrame:
     if "rent_kind" in trades.columns:
         kept.append("rent_kind")
     valid = trades.filter(filters.valid_trade_rows()).select(*kept)
-    return A.with_region_columns(valid).withColumns(
+    return A.with_region_columns(A.with_road_key(valid)).withColumns(
         {
-            "road_key": A.road_address_key(F.col("address"), F.col("road")),
             "area_band": T.area_band(area),
             "pyeong": T.pyeong_raw(area),
             "pyeong_band": T.pyeong_band(area),
