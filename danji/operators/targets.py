@@ -147,20 +147,28 @@ def lease_summary(targets: DataFrame, rents: DataFrame) -> DataFrame:
 def households_like_join(targets: DataFrame, complexes: DataFrame) -> DataFrame:
     """Households of the register entries named like the target, in its district (the largest).
 
-    Both sides are reduced first: targets to distinct (complex, keyword), the register to
-    distinct (complex, address).
+    The keyword may stand anywhere in the lot address. A lot number holds only digits and hyphens,
+    so a keyword without those is looked for in the address without its lot number. The register
+    then has one row per complex name and neighbourhood, however many lots share the name.
     """
     wanted = targets.select(
         "complex", A.sigungu_keyword(F.col("address")).alias("keyword")
     ).distinct()
-    register = complexes.groupBy("complex", "lot_address").agg(
-        F.max("households").alias("households")
-    )
-    return (
-        wanted.join(register, "complex")
-        .filter(F.col("lot_address").contains(F.col("keyword")))
-        .groupBy("complex", "keyword").agg(F.max("households").alias("households"))
+    numbered = F.col("keyword").rlike("[0-9-]")
+    lot = F.col("lot_address")
+
+    def found(keywords: DataFrame, text: Column) -> DataFrame:
+        register = complexes.groupBy("complex", text.alias("_text")).agg(
+            F.max("households").alias("households")
+        )
+        return keywords.join(register, "complex").filter(
+            F.col("_text").contains(F.col("keyword"))
+        )
+
+    both = found(wanted.filter(~numbered), A.lot_address_base(lot)).unionByName(
+        found(wanted.filter(numbered), lot)
     )
+    return both.groupBy("complex", "keyword").agg(F.max("households").alias("households"))
 
 
 def nearest_rank(matches: DataFrame) -> DataFrame:
