@@ -29,7 +29,7 @@ def address_word_count(address: Column) -> Column:
 
 
 def parse_sido(address: Column) -> Column:
-    return _word(normalize_address(address), 1)
+    return F.substring_index(normalize_address(address), " ", 1)
 
 
 def parse_sigungu(address: Column) -> Column:
@@ -61,9 +61,10 @@ def sigungu_keyword(address: Column) -> Column:
 
 
 def _road_key(text: Column, road: Column) -> Column:
-    prefix = F.when(text.startswith(SEJONG), F.lit(f"{SEJONG} {SEJONG_DISTRICT}")).otherwise(
-        F.concat(_word(text, 1), F.lit(" "), _word(text, 2))
+    first_two = F.when(text.contains(" "), F.substring_index(text, " ", 2)).otherwise(
+        F.concat(text, F.lit(" "))
     )
+    prefix = F.when(text.startswith(SEJONG), F.lit(f"{SEJONG} {SEJONG_DISTRICT}")).otherwise(first_two)
     return F.concat(prefix, F.lit(" "), road)
 
 

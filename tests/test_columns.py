@@ -47,6 +47,9 @@ def test_lookup_keyword(spark):
     ("세종특별자치시  조치원읍 상리", "세종로 1", "세종특별자치시 세종시 세종로 1"),
     ("서울특별시 강남구 압구정동", None, None),
     (" 서울특별시 강남구", "길 1", " 서울특별시 길 1"),
+    ("제주", "길 1", "제주  길 1"),
+    ("제주 ", "길 1", "제주  길 1"),
+    ("", "길 1", "  길 1"),
 ])
 def test_road_key(spark, address, road, key):
     df = spark.createDataFrame([(address, road)], "address string, road string")
