@@ -13,6 +13,8 @@ def local_session(app: str, cores: str = "8", memory: str = "8g") -> SparkSessio
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # Do not record the Python call site of every column: plans are built faster without it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
