@@ -340,5 +340,5 @@ def similar_components(
 
 def drop_similar(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without those that link, directly or through others, to one of a smaller id."""
-    gone = similar_components(docs, width, percent, id_col, text_col).where("component_id < doc_id").select(F.col("doc_id").alias("gone_id"))
-    return docs.join(gone.distinct(), docs[id_col] == F.col("gone_id"), "left_anti")
+    gone = similar_components(docs, width, percent, id_col, text_col).where("component_id < doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
