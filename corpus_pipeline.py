@@ -26,7 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
     field = learn(table(spark, sf_dir, "documents"), labels)
     toxic = toxicity(docs, field).where("predicted = 1").select(F.col("doc_id").alias("toxic_id")).distinct()
-    return docs.join(toxic, docs["doc_id"] == F.col("toxic_id"), "left_anti")
+    return docs.join(toxic, docs["doc_id"] == toxic["toxic_id"], "left_anti")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +46,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .groupBy("doc_id").agg(F.max(F.expr("epochs + if(tail_tokens > 0, 1, 0)")).alias("times"))
         .where("times > 0").withColumnRenamed("doc_id", "taken_id")
     )
+    times = F.sequence(F.lit(1).cast("bigint"), taken["times"])
+    counter = "_".join(docs.columns)  # a name that no column has
     drawn = docs.join(taken, docs["doc_id"].eqNullSafe(taken["taken_id"]))
-    return drawn.withColumn("time", F.explode(F.expr("sequence(1L, times)"))).select(*[docs[c] for c in docs.columns])
+    return drawn.select(*[docs[c] for c in docs.columns], F.explode(times).alias(counter)).drop(counter)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
