@@ -39,10 +39,14 @@ def _(v):
     return P.monthly_median_volume(trades, amount)
 
 
-@query("monthly_median_approx")
+@query("monthly_median_approx", f"""SELECT ym, count(*) AS volume, true AS near FROM sales
+  WHERE {MARKET} GROUP BY ym""", "sales")
 def _(v):
+    """Beside the exact one: it is a price between neighbours of the median, so they are near."""
     trades, amount = _both(v)["sale"]
-    return P.monthly_median_approx(trades, amount)
+    exact = P.monthly_median_volume(trades, amount).select("ym", F.col("median_eok").alias("exact"))
+    near = F.abs(F.col("median_eok") - F.col("exact")) <= F.col("exact") * 0.25
+    return P.monthly_median_approx(trades, amount).join(exact, "ym").select("ym", "volume", near.alias("near"))
 
 
 @query("sales_summary", f"""SELECT count(*) AS n, coalesce({EOK.format('max(price)')}, 0) AS max_eok,

@@ -121,9 +121,15 @@ def _(v):
     return P.code_overlap(codes(v.sale_index, "1999-05-01"), codes(v.lease_index, "1995-03-01"))
 
 
-@query("sample_rows")
+@query("sample_rows", "SELECT 10 AS n, 0 AS n_foreign")
 def _(v):
-    return P.sample_rows(v.sales, 10, seed=7)
+    """Ten rows, and how many of them are no rows of the table."""
+    drawn = P.sample_rows(v.sales, 10, seed=7)
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"s.{c}")) for c in v.sales.columns]
+    foreign = drawn.alias("d").join(v.sales.alias("s"), same, "left_anti")
+    return drawn.select(F.lit(1).alias("n"), F.lit(0).alias("n_foreign")).unionByName(
+        foreign.select(F.lit(0).alias("n"), F.lit(1).alias("n_foreign"))).agg(
+        F.sum("n").alias("n"), F.sum("n_foreign").alias("n_foreign"))
 
 
 @query("top_districts", """SELECT 'volume' AS kind, * FROM (SELECT CASE sido WHEN '세종특별자치시' THEN sido

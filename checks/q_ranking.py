@@ -110,6 +110,18 @@ def complex_pivot(v):
     return pivot(v)
 
 
+def _lease_sql(kind: str) -> str:
+    rows = f"leases_parts AS (SELECT * FROM rents_parts WHERE rent_kind = '{kind}')"
+    return f"WITH {rows}, {_PIVOT.replace('sales_parts', 'leases_parts')} SELECT '{kind}' AS kind, * FROM pivot_rows"
+
+
+for _kind, _name in (("전세", "complex_pivot_lease"), ("월세", "complex_pivot_monthly_rent")):
+    @query(_name, _lease_sql(_kind), "rents_parts coords complexes")
+    def _(v, kind=_kind):
+        rents = v.rents.filter(F.col("rent_kind") == kind)
+        return plan.complex_pivot(rents, v.coords, v.complexes, AS_OF_YEAR).withColumn("kind", F.lit(kind))
+
+
 @query("complex_pivot_longest_road", f"WITH {_pivot_sql(_BEST_ONE)} SELECT * FROM pivot_rows", _NEED)
 def _(v):
     return pivot(v, dedupe_coords=True)

@@ -89,12 +89,6 @@ def _(v):
             F.lit("district").alias("kind"), F.col("sig_kor_nm").alias("item")))
 
 
-@query("load_regions_geo", "SELECT sig_cd, sig_kor_nm, full_nm, geometry_type FROM regions_geo",
-       "regions_geo")
-def _(v):
-    return v.regions_geo.select("sig_cd", "sig_kor_nm", "full_nm", "geometry_type")
-
-
 _CENTROIDS = """SELECT *, CASE WHEN geometry_type = 'Polygon' THEN (4 * n_nationkey + 404) / 4.0
     ELSE (4 * n_nationkey + 406) / 7.0 END::DOUBLE AS centroid_lon,
   CASE WHEN geometry_type = 'Polygon' THEN (4 * n_nationkey + 127) / 4.0

@@ -2,10 +2,14 @@
 
 from pyspark.sql import functions as F, types as T
 
+from checks import q_ranking  # noqa: F401 - its SQL is used here
 from checks.q_targets import PERIODS, PURCHASE_YM, roi_report, tracking_report
 from checks.registry import ORACLE, query
-from danji.functions import address as A
-from danji.sources import reports, tables
+from checks.views import AS_OF_YEAR
+from danji.functions import address as A, filters
+from danji.plans.ranking import complex_pivot
+from danji.schemas import source_to_engine
+from danji.sources import boundaries, reports, tables, targets
 
 
 @query("scan_tables", """SELECT o_orderkey AS contract_id, o_custkey AS complex_id,
@@ -74,12 +78,17 @@ _ROI_HEADERS = reports.roi_headers(PURCHASE_YM, PERIODS)
 @query("export_tracking",
        _text_sql(ORACLE["tracking_report"], reports.TRACKING_HEADERS, _DOUBLES, _TEXTS))
 def _(v):
-    return reports.format_report(tracking_report(v), reports.TRACKING_HEADERS)
+    """The files as read back."""
+    path = v.folder("tracking")
+    reports.export_tracking(tracking_report(v), path, "2002-01-01")
+    return v.spark.read.csv(path, header=True).drop(reports.STAMP)
 
 
 @query("export_roi", _text_sql(ORACLE["roi_report"], _ROI_HEADERS, _DOUBLES, _TEXTS))
 def _(v):
-    return reports.format_report(roi_report(v), _ROI_HEADERS)
+    path = v.folder("roi")
+    reports.export_roi(roi_report(v), path, PURCHASE_YM, PERIODS, "2002-01-01")
+    return v.spark.read.csv(path, header=True).drop(reports.STAMP)
 
 
 @query("format_report_values", """SELECT DISTINCT price, CASE WHEN price IS NULL THEN '-'
@@ -94,13 +103,65 @@ def _(v):
         reports.format_value(price / 8.0, T.DoubleType()).alias("eighth"))
 
 
-@query("load_targets", "SELECT address, complex, area_m2 FROM targets", "targets")
+@query("write_targets", "SELECT address, complex, area_m2 FROM targets", "targets")
 def _(v):
-    """The list as JSON text, one entry per row, read back with the list's schema."""
-    from danji.schemas import source_schema, source_to_engine
+    """Written, read, written over itself and read again."""
+    path = v.folder("targets")
+    targets.write_targets(v.targets, path)
+    targets.write_targets(targets.load_targets(v.spark, path), path)
+    return targets.load_targets(v.spark, path)
 
+
+@query("load_targets", """SELECT address, complex, area_m2,
+  row_number() OVER (ORDER BY address, complex, area_m2) - 1 AS place FROM targets""", "targets")
+def _(v):
+    """One array document; the list is short by its nature, so a row holds it."""
     names = source_to_engine("targets")
-    text = v.targets.select(
-        F.to_json(F.struct(*[F.col(e).alias(s) for s, e in names.items()])).alias("entry"))
-    parsed = text.select(F.from_json("entry", source_schema("targets")).alias("t"))
-    return parsed.select(*[F.col(f"t.`{s}`").alias(e) for s, e in names.items()])
+    entry = F.struct("address", "complex", "area_m2")
+    listed = F.transform(F.sort_array(F.collect_list(entry)), lambda e: F.struct(
+        *[e.getField(eng).alias(src) for src, eng in names.items()]))
+    path = v.folder("targets-document")
+    v.targets.agg(F.to_json(listed).alias("value")).write.text(path)
+    loaded = targets.load_targets(v.spark, path, position=True)
+    place = F.split_part("position", F.lit("#"), F.lit(-1)).cast("bigint").alias("place")
+    return loaded.select("address", "complex", "area_m2", place)
+
+
+@query("scan_table", "SELECT * FROM sales", "sales")
+def _(v):
+    """The sales stored under their source names and read back."""
+    path = v.folder("sales")
+    names = source_to_engine("sales")
+    v.sales.select(*[F.col(eng).alias(src) for src, eng in names.items()]).write.parquet(path)
+    return tables.scan_table(v.spark, path, "sales").select(*names.values())
+
+
+def _stored(v):
+    path = v.folder("stored")
+    tables.write_trades(v.sales, path)
+    return tables.scan_trades(v.spark, path)
+
+
+@query("scan_trades", """SELECT address, complex, area_m2, price, ym, emd FROM sales_parts
+  WHERE sido = '경기도' AND sigungu IN ('동시 동구') AND ym BETWEEN 199607 AND 199802""", "sales_parts")
+def _(v):
+    chosen = filters.trade_filter_price("경기도", "동시 동구", ym_from=199607, ym_to=199802, stored=True)
+    return _stored(v).filter(chosen).select("address", "complex", "area_m2", "price", "ym", "emd")
+
+
+@query("complex_pivot_stored", ORACLE["complex_pivot_region"])
+def _(v):
+    return complex_pivot(
+        _stored(v), v.coords, v.complexes, AS_OF_YEAR, sido="서울특별시", sigungu=["중구", "동구"],
+        year_from=1997, year_to=1999, households=(200, 1500))
+
+
+@query("load_regions_geo", "SELECT sig_cd, sig_kor_nm, full_nm, geometry_type FROM regions_geo",
+       "regions_geo")
+def _(v):
+    """A FeatureCollection document, written and read; it holds the districts of one country."""
+    path = v.folder("regions")
+    document = F.concat(
+        F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("value"), ","), F.lit("]}"))
+    v.features.agg(document.alias("value")).write.text(path)
+    return boundaries.load_regions_geo(v.spark, path).drop("coordinates")

@@ -148,7 +148,7 @@ def _requests(v):
 @query("nearest_month_price", f"""WITH {_SALES} SELECT complex, area_m2, target_ym, amount,
   CAST(distance AS INTEGER) AS distance FROM {_SALE_AT}""", "targets sales")
 def nearest_month_price(v):
-    market = G.monthly_sales(v.sales).select(
+    market = G.monthly_sales(G.watched(v.sales, v.targets)).select(
         "complex", "area_m2", "ym", F.col("last_market").alias("last"))
     return G.nearest_month_price(_requests(v), market)
 
@@ -156,7 +156,7 @@ def nearest_month_price(v):
 @query("nearest_rank", f"""WITH {_LEASES} SELECT complex, area_m2, target_ym, amount,
   CAST(distance AS INTEGER) AS distance FROM {_LEASE_AT}""", "targets rents")
 def _(v):
-    return G.nearest_month_price(_requests(v), G.monthly_leases(v.rents))
+    return G.nearest_month_price(_requests(v), G.monthly_leases(G.watched(v.rents, v.targets)))
 
 
 def _roi_sql() -> str:
@@ -192,9 +192,17 @@ _CANDIDATES = """candidates AS (SELECT DISTINCT complex, area_m2 FROM rents),
       min(s.area_m2) AS actual_area
     FROM candidates c LEFT JOIN sales s ON s.complex = c.complex AND abs(s.area_m2 - c.area_m2) < 1
     GROUP BY ALL),
+  free AS (SELECT complex, actual_area, min(area_m2) AS area_m2 FROM matched m WHERE places = 1
+    AND NOT EXISTS (SELECT 1 FROM listed l WHERE l.complex = m.complex AND abs(l.area_m2 - m.actual_area) < 1)
+    GROUP BY ALL),
+  -- One after another, by rising area: an entry is added when the last one added is 1 or more away.
+  walked AS (SELECT complex, unnest(list_reduce(list([actual_area] ORDER BY actual_area),
+    lambda kept, next: CASE WHEN next[1] - kept[-1] < 1 THEN kept ELSE kept || next END)) AS actual_area
+    FROM free GROUP BY complex),
+  added AS (SELECT complex, area_m2 FROM free JOIN walked USING (complex, actual_area)),
   judged AS (SELECT complex, area_m2, CASE WHEN places = 0 THEN 'not_found' WHEN places > 1 THEN 'ambiguous'
-      WHEN EXISTS (SELECT 1 FROM listed l WHERE l.complex = m.complex
-        AND abs(l.area_m2 - m.actual_area) < 1) THEN 'duplicate' ELSE 'accepted' END AS status,
+      WHEN (complex, area_m2) IN (SELECT (complex, area_m2) FROM added) THEN 'accepted'
+      ELSE 'duplicate' END AS status,
       CASE WHEN places = 1 THEN address END AS address,
       CASE WHEN places = 1 THEN actual_area END AS actual_area FROM matched m)"""
 
@@ -212,6 +220,13 @@ def _(v):
     return G.validate_targets(_candidates(v), v.sales, _listed(v))
 
 
+@query("ambiguous_addresses", f"""WITH {_CANDIDATES} SELECT DISTINCT m.complex, m.area_m2, s.address,
+    s.area_m2 AS actual_area FROM matched m JOIN sales s ON s.complex = m.complex
+    AND abs(s.area_m2 - m.area_m2) < 1 WHERE places > 1""", "targets sales rents")
+def _(v):
+    return G.ambiguous_addresses(_candidates(v), v.sales)
+
+
 @query("accept_targets", f"""WITH {_CANDIDATES} SELECT address, complex, area_m2 FROM listed UNION ALL
   (SELECT DISTINCT address, complex, actual_area FROM judged WHERE status = 'accepted')""",
        "targets sales rents")

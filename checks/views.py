@@ -7,11 +7,13 @@ engine.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from danji.functions import address as A
+from danji.session import shared_folder
 
 AS_OF_YEAR = 2002
 
@@ -39,6 +41,10 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def folder(self, name: str) -> str:
+        """A new folder that all executors share, for what a query writes and reads back."""
+        return f"{shared_folder(self.spark)}/checks-{uuid.uuid4()}/{name}"
+
     @cached_property
     def nations(self) -> DataFrame:
         """Districts with their province; 25 rows by the definition of the tables."""

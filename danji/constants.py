@@ -20,12 +20,6 @@ PYEONG_BAND_LAST = "60평 이상"
 AGE_BANDS = [(5, "5년 미만"), (10, "5~10년"), (20, "10~20년"), (30, "20~30년")]
 AGE_BAND_LAST = "30년 이상"
 
-# The seven metropolitan cities.
-METROPOLITAN_CITIES = [
-    "서울특별시", "부산광역시", "대구광역시", "인천광역시",
-    "광주광역시", "대전광역시", "울산광역시",
-]
-
 # Short and full province names.
 PROVINCE_FULL_NAMES = {
     "서울": "서울특별시",
@@ -54,7 +48,6 @@ SEJONG_DISTRICT = "세종시"
 # Contract attributes.
 DIRECT_DEAL = "직거래"
 DEPOSIT_LEASE = "전세"
-MONTHLY_RENT = "월세"
 NOT_CANCELLED_STRICT = ["", "None"]
 NOT_CANCELLED_WIDE = ["", "None", "-"]
 

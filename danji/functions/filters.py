@@ -84,19 +84,43 @@ def pyeong_band_predicate(area: Column, bands: Iterable[str]) -> Column:
     return reduce(lambda a, b: a | b, chosen) if chosen else F.lit(True)
 
 
+def folders(sido=None, year_from=None, year_to=None) -> Column:
+    """Conditions on the columns by which sources.tables.write_trades divides its folders."""
+    parts = [_one_or_many(F.col("sido"), sido)] if sido else []
+    if year_from:
+        parts.append(F.col("contract_year") >= year_from)
+    if year_to:
+        parts.append(F.col("contract_year") <= year_to)
+    return all_of(parts)
+
+
+def is_stored(trades: DataFrame) -> bool:
+    """Whether the table has the columns that write_trades adds."""
+    return {"sido", "sigungu", "emd", "contract_year"} <= set(trades.columns)
+
+
 def trade_filter_price(
     sido=None, sigungu=None, emd=None, complexes=None, pyeong_bands=None,
-    ym_from=None, ym_to=None,
+    ym_from=None, ym_to=None, stored: bool = False,
 ) -> Column:
-    """Conditions over raw trade columns (the address is parsed here)."""
+    """Conditions over raw trade columns (the address is parsed here).
+
+    With `stored` the trades are those of sources.tables.scan_trades: their region columns are used
+    and whole folders are skipped by province and year.
+    """
     address = F.col("address")
-    parts = [A.may_lie_in(address, sido, sigungu, emd)]
+    if stored:
+        region = [F.col(c) for c in ("sido", "sigungu", "emd")]
+        parts = [folders(sido, ym_from and ym_from // 100, ym_to and ym_to // 100)]
+    else:
+        region = [A.parse_sido(address), A.parse_sigungu(address), A.parse_emd(address)]
+        parts = [A.may_lie_in(address, sido, sigungu, emd)]
     if sido:
-        parts.append(A.parse_sido(address) == sido)
+        parts.append(region[0] == sido)
     if sigungu:
-        parts.append(A.parse_sigungu(address) == sigungu)
+        parts.append(region[1] == sigungu)
     if emd:
-        parts.append(A.parse_emd(address).isin(list(emd)))
+        parts.append(region[2].isin(list(emd)))
     if complexes:
         parts.append(F.col("complex").isin(list(complexes)))
     if pyeong_bands:
@@ -181,8 +205,8 @@ def search_complex(sales: DataFrame, text: str) -> DataFrame:
     )
 
 
-def date_slice(series: DataFrame, first=None, last=None, months: int = 60) -> DataFrame:
-    """Rows between two months; by default the last 60 distinct months present."""
+def date_slice(series: DataFrame, first=None, last=None, months: int | None = 60) -> DataFrame:
+    """Rows between two months; by default the last 60 distinct months present, all with None."""
     if first is not None or last is not None:
         bounds = []
         if first is not None:
@@ -190,6 +214,8 @@ def date_slice(series: DataFrame, first=None, last=None, months: int = 60) -> Da
         if last is not None:
             bounds.append(F.col("date") <= F.lit(last))
         return series.filter(all_of(bounds))
+    if months is None:
+        return series
     kept = series.select("date").distinct().orderBy(F.desc("date")).limit(months)
     # At most `months` rows, so the broadcast is bounded by the parameter.
     return series.join(F.broadcast(kept), "date", "left_semi")
@@ -198,4 +224,7 @@ def date_slice(series: DataFrame, first=None, last=None, months: int = 60) -> Da
 def named_regions_or_head(df: DataFrame, names: list[str], n: int = 5) -> DataFrame:
     """The named regions; when none of them occurs, the first n by code."""
     named = df.filter(F.col("region_name").isin(names))
-    return df.orderBy("sig_cd").limit(n) if named.isEmpty() else named
+    # A join with one row or no row: the head counts only when no name occurs.
+    some = named.agg(F.count("*").alias("n")).filter("n > 0").select(F.lit(1).alias("_some"))
+    head = df.orderBy("sig_cd").limit(n).withColumn("_some", F.lit(1))
+    return named.unionByName(head.join(some, "_some", "left_anti").drop("_some"))

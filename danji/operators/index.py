@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from danji.constants import LEVEL_DISTRICT, LEVEL_PROVINCE
 from danji.functions import address as A, filters, region as R
 from danji.functions.rounding import round_half_up
+from danji.operators.ranking import listed_or_error
 
 
 def index_monthly(index: DataFrame, level: str, wanted: Iterable[str] | None = None) -> DataFrame:
@@ -115,15 +116,18 @@ def month_axis(bounds: DataFrame) -> DataFrame:
     return bounds.select(day).select(F.year("day").alias("year"), F.month("day").alias("month"))
 
 
-def heatmap_pivot(rows: DataFrame, months: list[str]) -> DataFrame:
+def heatmap_pivot(rows: DataFrame, months: list[str] | None = None) -> DataFrame:
     """One row per region name, one column per month ('YYYY-MM', ascending).
 
-    Names that occur under several codes take the value of the lowest code.
+    Names that occur under several codes take the value of the lowest code. A month outside a given
+    list is an error; without a list the columns are the months there are, found by a query.
     """
     month = F.date_format("date", "yyyy-MM")
+    if months is not None:
+        month, months = listed_or_error(month, months), sorted(months)
     first = F.min_by("value", F.struct("sig_cd", "value"))
     dated = rows.filter(F.col("value").isNotNull()).withColumn("_month", month)
-    return dated.groupBy("region_name").pivot("_month", sorted(months)).agg(first)
+    return dated.groupBy("region_name").pivot("_month", months).agg(first)
 
 
 def color_scale_bounds(rows: DataFrame, value: str) -> DataFrame:

@@ -11,9 +11,7 @@ from danji.operators.skew import counted, exact_median
 
 def monthly_median_volume(trades: DataFrame, amount: str) -> DataFrame:
     """Median price (100 million, one decimal) and trade count per month."""
-    counts = trades.groupBy("ym").agg(F.count("*").alias("volume"))
-    median = exact_median(trades, ["ym"], amount, "_median")
-    return counts.join(median, "ym", "left").select(
+    return exact_median(trades, ["ym"], amount, "_median", rows="volume").select(
         "ym", round_half_up(F.col("_median") / 10000.0, 1).alias("median_eok"), "volume"
     )
 

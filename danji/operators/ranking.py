@@ -19,6 +19,9 @@ def volume_by_complex(
     and road key depend on the raw columns alone.
     """
     area = F.col("area_m2")
+    if filters.is_stored(trades):
+        years = (conditions.get("year_from"), conditions.get("year_to"))
+        trades = trades.filter(filters.folders(sido, *years))
     possible = filters.valid_trade_rows() & A.may_lie_in(F.col("address"), sido, sigungu, emd)
     rows = trades.filter(possible).withColumns(
         {
@@ -141,13 +144,26 @@ def top_complexes(rolled: DataFrame, metric: str = "n", limit: int = 20) -> Data
     )
 
 
-def year_pivot(pivot: DataFrame, value: str, years: list[int]) -> DataFrame:
-    """One column per contract year holding the sum; rows with a NULL key are left out."""
+def year_pivot(pivot: DataFrame, value: str, years: list[int] | None = None) -> DataFrame:
+    """One column per contract year holding the sum; rows with a NULL key are left out.
+
+    A year outside a given list is an error. Without a list the columns are the years there are,
+    for which the pivot is run once to find them.
+    """
     keys = [
         "sido", "sigungu", "emd", "complex", "built_year", "age_band", "area_band",
         "households", "lon", "lat",
     ]
-    return pivot.dropna(subset=keys).groupBy(*keys).pivot("contract_year", years).agg(F.sum(value))
+    rows = pivot.dropna(subset=keys)
+    if years is not None:
+        rows = rows.withColumn("contract_year", listed_or_error(F.col("contract_year"), years))
+    return rows.groupBy(*keys).pivot("contract_year", years).agg(F.sum(value))
+
+
+def listed_or_error(value: Column, listed: list) -> Column:
+    """The value, or an error if it is neither NULL nor listed."""
+    message = F.concat(F.lit("not in the list of columns: "), value.cast("string"))
+    return F.when(value.isNull() | value.isin(listed), value).otherwise(F.raise_error(message))
 
 
 def max_households_ceil(complexes: DataFrame) -> DataFrame:

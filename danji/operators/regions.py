@@ -46,16 +46,17 @@ def map_extent(points: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFra
 def regions_with_indicator(regions: DataFrame, values: DataFrame) -> DataFrame:
     """Regions with the value keyed by their code, else by their name; none keeps NULL.
 
-    `values` is (key, value). A key listed twice takes its highest value.
+    `values` is (key, value). A key listed twice takes its highest value; a code listed with NULL
+    stays NULL, whatever its name has. Values are read once: a region asks for both of its keys.
     """
     one = values.groupBy("key").agg(F.max("value").alias("value"))
-    by_code = one.select(F.col("key").alias("sig_cd"), F.col("value").alias("_by_code"))
-    by_name = one.select(F.col("key").alias("sig_kor_nm"), F.col("value").alias("_by_name"))
-    return (
-        regions.join(by_code, "sig_cd", "left").join(by_name, "sig_kor_nm", "left")
-        .withColumn("value", F.coalesce("_by_code", "_by_name"))
-        .drop("_by_code", "_by_name")
+    asked = regions.select("sig_cd", "sig_kor_nm").distinct().select(
+        "sig_cd", "sig_kor_nm", F.posexplode(F.array("sig_cd", "sig_kor_nm")).alias("_order", "key")
+    )
+    found = asked.join(one, "key").groupBy("sig_cd", "sig_kor_nm").agg(
+        F.min(F.struct("_order", "value")).getField("value").alias("value")
     )
+    return regions.join(found, ["sig_cd", "sig_kor_nm"], "left")
 
 
 def label_frequency(places: DataFrame) -> DataFrame:
@@ -110,7 +111,9 @@ def resolve_region_selection(
     if exact:
         spread = places.join(chosen, "province", "left_semi").join(plain, "name", "left_semi")
         return spread.unionByName(places.join(own, ["name", "province"], "left_semi")).distinct()
-    every = chosen if not plain.isEmpty() else chosen.limit(0)
+    # All chosen provinces if there is a plain label, else none: a join with one row or no row.
+    some = plain.agg(F.count("*").alias("n")).filter("n > 0").select(F.lit(1).alias("_some"))
+    every = chosen.withColumn("_some", F.lit(1)).join(some, "_some", "left_semi").drop("_some")
     wide = own.select("province").unionByName(every).distinct()
     return places.join(wide, "province", "left_semi").join(
         parsed.select("name"), "name", "left_semi"

@@ -4,37 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-BROADCAST_ROWS = 200_000
-SALTS = 32
-
-
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most `rows` rows; reads no more than it must to know."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def lookup_join(
-    facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left",
-    rows: int = BROADCAST_ROWS, salts: int = SALTS,
-) -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join row-level facts to a lookup on equal keys.
 
-    A lookup whose counted size is within `rows` is broadcast, so the facts do not move.
-    A larger one is joined by shuffle with a salt: the rows of one key (and the rows whose
-    key is NULL) spread over `salts` tasks and the lookup is repeated once per salt. The salt
-    depends only on the row and its input partition, so a task that is run again repeats it.
+    Catalyst broadcasts a lookup whose estimated bytes are within the session's threshold, and AQE
+    does when the counted bytes are; else both sides are shuffled and AQE splits a key (or the rows
+    without one) that fills a partition. Unmatched lookup rows never come out.
     """
-    if is_small(lookup, rows):
-        return facts.join(F.broadcast(lookup), keys, how)
-    salt = F.pmod(F.xxhash64(*facts.columns) + F.spark_partition_id(), F.lit(salts))
-    copies = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    )
-    return (
-        facts.withColumn("_salt", salt.cast("bigint"))
-        .join(copies, [*keys, "_salt"], how)
-        .drop("_salt")
-    )
+    if how not in ("left", "inner"):
+        raise ValueError(f"a lookup is joined left or inner, not {how}")
+    return facts.join(lookup, keys, how)
 
 
 def counted(df: DataFrame, *columns: str) -> DataFrame:
@@ -47,32 +26,30 @@ def counted(df: DataFrame, *columns: str) -> DataFrame:
     return groups.withColumns({c: F.when(F.col("n") > 0, F.col(c)) for c in columns})
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """Exact median per key, with the row count as `n`.
+def exact_median(df: DataFrame, keys: list[str], value: str, out: str, rows: str | None = None) -> DataFrame:
+    """Exact median per key, with the number of values as `n`.
 
     Rows are first counted per (key, value) with partial aggregation, so only distinct values
-    of a hot key are shuffled and ordered, not its rows.
+    of a hot key are shuffled and ordered, not its rows. `rows` names a column for the number of
+    rows, those without a value included; without it, keys that have no value are left out.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
-        F.count("*").alias("_n")
-    )
+    there = df if rows else df.filter(F.col(value).isNotNull())
+    counted = there.groupBy(*keys, value).agg(F.count("*").alias("_n"))
     by_key = W.partitionBy(*keys)
-    upto = by_key.orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = counted.withColumn("_upto", F.sum("_n").over(upto)).withColumn(
-        "_all", F.sum("_n").over(by_key)
+    upto = by_key.orderBy(F.asc_nulls_last(value)).rowsBetween(W.unboundedPreceding, W.currentRow)
+    valued = F.when(F.col(value).isNotNull(), F.col("_n")).otherwise(0)
+    ranked = counted.withColumns(
+        {"_upto": F.sum("_n").over(upto), "_all": F.sum(valued).over(by_key), "_rows": F.sum("_n").over(by_key)}
     )
 
     def at(rank: Column) -> Column:
         return F.min(F.when(F.col("_upto") >= rank, F.col(value)))
 
     n = F.col("_all")
+    counts = [F.max("_all").alias("n"), *([F.max("_rows").alias(rows)] if rows else [])]
     return (
         ranked.groupBy(*keys)
-        .agg(
-            at(F.floor((n + 1) / 2)).alias("_low"),
-            at(F.floor((n + 2) / 2)).alias("_high"),
-            F.max("_all").alias("n"),
-        )
+        .agg(at(F.floor((n + 1) / 2)).alias("_low"), at(F.floor((n + 2) / 2)).alias("_high"), *counts)
         .withColumn(out, (F.col("_low") + F.col("_high")) / 2.0)
         .drop("_low", "_high")
     )

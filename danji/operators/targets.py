@@ -1,12 +1,14 @@
 """Trades of watched complexes, found set-at-a-time.
 
 A target is (complex, area); it owns the trades of that complex name whose area differs by less
-than 1. Trades are first reduced to one row per (complex, area, month), so a complex that holds
+than 1. The trades of the listed names are first reduced to one row per (complex, area, month), so a complex that holds
 a large part of all trades is reduced on the map side before any join.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from danji.constants import DEPOSIT_LEASE
@@ -14,28 +16,31 @@ from danji.functions import address as A, filters, trade as T
 
 TARGET = ["complex", "area_m2"]
 
-# A trade's day, amount and direct-deal mark in one bigint that orders by exactly these, so that
-# "the latest trade" is a plain max in a hash aggregate. Amounts are in units of 10,000 won.
-AMOUNT_LIMIT = 10**12
+# A trade's day, amount and direct-deal mark in one decimal that orders by exactly these, so that
+# "the latest trade" is a plain max in a hash aggregate. It holds every int day and bigint amount.
+_DAY, _AMOUNT = Decimal(2**31), Decimal(2**63)
 
 
 def pack(day: Column, amount: Column, mark: Column | None = None) -> Column:
-    inside = amount.between(0, AMOUNT_LIMIT - 1)
-    safe = F.when(amount.isNull() | inside, amount).otherwise(
-        F.raise_error(F.lit("amount out of range")).cast("bigint")
-    )
-    key = F.coalesce(day, F.lit(0)).cast("bigint") * AMOUNT_LIMIT + safe
+    days = F.coalesce(day, F.lit(0)).cast("decimal(10,0)") + F.lit(_DAY)
+    key = days * F.lit(2 * _AMOUNT) + (amount.cast("decimal(20,0)") + F.lit(_AMOUNT))
     return key * 2 + (F.lit(0) if mark is None else F.coalesce(mark.cast("int"), F.lit(0)))
 
 
 def packed_amount(key: Column) -> Column:
-    return F.shiftright(key, 1) % AMOUNT_LIMIT
+    low = key % F.lit(4 * _AMOUNT)
+    return ((low - key % 2) / 2 - F.lit(_AMOUNT)).cast("bigint")
 
 
 def packed_mark(key: Column) -> Column:
     return key % 2 == 1
 
 
+def watched(trades: DataFrame, targets: DataFrame) -> DataFrame:
+    """The trades of the complex names on the list; put first, so only they are aggregated."""
+    return trades.join(targets.select("complex").distinct(), "complex", "left_semi")
+
+
 def monthly_sales(sales: DataFrame) -> DataFrame:
     """Per (complex, area, month): latest and highest active sale, and the latest market sale.
 
@@ -123,7 +128,7 @@ def sale_summary(targets: DataFrame, sales: DataFrame) -> DataFrame:
     price, and the earliest building year among all trades.
     """
     by_target = W.partitionBy(*TARGET)
-    months = target_months(targets, monthly_sales(sales))
+    months = target_months(targets, monthly_sales(watched(sales, targets)))
     latest = _latest_and_previous(
         months, F.max("peak").over(by_target).alias("top"),
         F.min("built_year").over(by_target).alias("first_built"),
@@ -138,7 +143,7 @@ def sale_summary(targets: DataFrame, sales: DataFrame) -> DataFrame:
 
 def lease_summary(targets: DataFrame, rents: DataFrame) -> DataFrame:
     """Latest deposit lease and its month, and the lease of the month before."""
-    return _latest_and_previous(target_months(targets, monthly_leases(rents))).select(
+    return _latest_and_previous(target_months(targets, monthly_leases(watched(rents, targets)))).select(
         *TARGET, F.col("latest_ym").alias("latest_lease_ym"),
         F.col("latest").alias("latest_lease"), F.col("previous").alias("prev_lease"),
     )
@@ -158,7 +163,7 @@ def households_like_join(targets: DataFrame, complexes: DataFrame) -> DataFrame:
     lot = F.col("lot_address")
 
     def found(keywords: DataFrame, text: Column) -> DataFrame:
-        register = complexes.groupBy("complex", text.alias("_text")).agg(
+        register = watched(complexes, targets).groupBy("complex", text.alias("_text")).agg(
             F.max("households").alias("households")
         )
         return keywords.join(register, "complex").filter(
@@ -200,21 +205,27 @@ def nearest_month_price(
 def nearest_at(ym: Column, last: Column, target_ym: int, max_months: int = 12) -> Column:
     """Aggregate over a target's months: the amount nearest to one fixed month."""
     distance = T.month_distance(ym, F.lit(target_ym))
-    # (closeness, day, amount) in one bigint: closeness is at most max_months.
-    key = (max_months - distance).cast("bigint") * (AMOUNT_LIMIT * 200) + last
+    # (closeness, day, amount) in one decimal, above the 97 bits of a packed trade.
+    key = (max_months - distance).cast("decimal(8,0)") * F.lit(Decimal(2**97)) + last
     return packed_amount(F.max(F.when(distance <= max_months, key)))
 
 
+def _found(candidates: DataFrame, sales: DataFrame) -> DataFrame:
+    """(complex, area_m2, address, actual): where and with what area a candidate was traded."""
+    known = watched(sales, candidates).select("address", "complex", "area_m2").distinct()
+    return targets_band_join(candidates, known.withColumn("actual", F.col("area_m2")))
+
+
 def validate_targets(candidates: DataFrame, sales: DataFrame, listed: DataFrame) -> DataFrame:
     """Status of each candidate (complex, area): not_found, ambiguous, duplicate or accepted.
 
     An accepted candidate carries the address and the actual area of its trades: the smallest
-    area at the address, which for one address is also the first found.
+    area at the address, which for one address is also the first found. The candidates of a batch
+    are taken by rising area: one whose actual area is less than 1 from that of an earlier accepted
+    one of its name is a duplicate, as if it had been added after it.
     """
-    known = sales.select("address", "complex", "area_m2").distinct()
     found = (
-        targets_band_join(candidates, known.withColumn("actual", F.col("area_m2")))
-        .groupBy(*TARGET)
+        _found(candidates, sales).groupBy(*TARGET)
         .agg(
             F.min("address").alias("address"), F.max("address").alias("_last_address"),
             F.min("actual").alias("actual_area"),
@@ -232,19 +243,38 @@ def validate_targets(candidates: DataFrame, sales: DataFrame, listed: DataFrame)
         candidates.select(*TARGET).distinct().join(found, TARGET, "left")
         .join(taken, ["complex", "actual_area"], "left")
     )
+    alone = F.col("address") == F.col("_last_address")
+    free = judged.filter(alone & F.col("_taken").isNull())
+    # Rising areas have rising actual areas, so an area is compared with the last one accepted.
+    # A name has as many of them as it has areas; they are walked inside one row.
+    kept = F.aggregate(
+        F.sort_array(F.collect_set("actual_area")), F.array().cast("array<double>"),
+        lambda held, x: F.when((F.size(held) > 0) & (x - F.element_at(held, -1) < 1), held).otherwise(
+            F.concat(held, F.array(x))),
+    )
+    added = free.groupBy("complex").agg(kept.alias("_kept")).select("complex", F.explode("_kept").alias("actual_area"))
+    first = free.groupBy("complex", "actual_area").agg(F.min("area_m2").alias("area_m2"))
+    added = added.join(first, ["complex", "actual_area"]).select(*TARGET, F.lit(True).alias("_added"))
     status = (
         F.when(F.col("address").isNull(), "not_found")
-        .when(F.col("address") != F.col("_last_address"), "ambiguous")
-        .when(F.col("_taken"), "duplicate")
-        .otherwise("accepted")
+        .when(~alone, "ambiguous")
+        .when(F.col("_added"), "accepted")
+        .otherwise("duplicate")
     )
     shown = F.col("status").isin("accepted", "duplicate")
-    return judged.withColumn("status", status).select(
+    return judged.join(added, TARGET, "left").withColumn("status", status).select(
         *TARGET, "status", F.when(shown, F.col("address")).alias("address"),
         F.when(shown, F.col("actual_area")).alias("actual_area"),
     )
 
 
+def ambiguous_addresses(candidates: DataFrame, sales: DataFrame) -> DataFrame:
+    """The addresses and areas a user may mean by a candidate whose name is traded at several."""
+    found = _found(candidates, sales).distinct()
+    several = found.groupBy(*TARGET).agg(F.countDistinct("address").alias("n")).filter("n > 1")
+    return found.join(several, TARGET, "left_semi").select(*TARGET, "address", F.col("actual").alias("actual_area"))
+
+
 def accept_targets(judged: DataFrame, listed: DataFrame) -> DataFrame:
     """The list with the accepted candidates added."""
     added = judged.filter("status = 'accepted'").select(

@@ -31,7 +31,6 @@ def choropleth_feed(
     label = F.when(
         F.col("value").isNotNull(), F.concat("sig_kor_nm", F.lit("\n"), number, F.lit(unit))
     )
-    bounds = X.color_scale_bounds(values, "value")
     layer = valued.withColumn("label", label).select(
         "sig_cd", "sig_kor_nm", "full_nm", "value", "label", "centroid_lon", "centroid_lat"
     )

@@ -24,6 +24,8 @@ def complex_pivot(
     near = trades.filter(
         A.may_lie_in(F.col("address"), region.get("sido"), region.get("sigungu"))
     )
+    if filters.is_stored(trades):
+        near = near.filter(filters.folders(region.get("sido")))
     named = R.join_best_emd(located, R.best_emd(near))
     placed = R.join_best_coords(named, R.best_coords(near, coords, dedupe_coords))
     placed = placed.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())

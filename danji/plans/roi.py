@@ -35,10 +35,11 @@ def roi_report(
 ) -> DataFrame:
     """Per list entry: prices at purchase and after each period, gap, gain and return.
 
-    The return is the gain over the purchase gap; it is NULL when that gap is not positive.
+    The return is the gain over the purchase gap; it is NULL when that gap is not positive. A
+    `position` of the list is kept as a last column.
     """
     months = report_months(purchase_ym, periods)
-    market = G.monthly_sales(sales).drop("last").withColumnRenamed("last_market", "last")
+    market = G.monthly_sales(G.watched(sales, targets)).drop("last").withColumnRenamed("last_market", "last")
     built = F.min("built_year").alias("built_year")
     listed = A.with_region_columns(targets).withColumns(
         {
@@ -48,7 +49,7 @@ def roi_report(
     )
     joined = (
         listed.join(_amounts(targets, market, months, "sale", built), G.TARGET, "left")
-        .join(_amounts(targets, G.monthly_leases(rents), months, "lease"), G.TARGET, "left")
+        .join(_amounts(targets, G.monthly_leases(G.watched(rents, targets)), months, "lease"), G.TARGET, "left")
         .join(G.households_like_join(targets, complexes), ["complex", "keyword"], "left")
     )
     out = [*INFO, "buy_sale", "buy_lease", T.difference(
@@ -63,4 +64,4 @@ def roi_report(
             gain.alias(f"y{n}_gain"),
             F.when(buy_gap > 0, round1_half_even(gain / buy_gap * 100.0)).alias(f"y{n}_return"),
         ]
-    return joined.select(*out)
+    return joined.select(*out, *[c for c in targets.columns if c == "position"])

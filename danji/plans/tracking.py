@@ -40,7 +40,10 @@ def spread_changes() -> dict[str, Column]:
 def tracking_report(
     targets: DataFrame, sales: DataFrame, rents: DataFrame, complexes: DataFrame, as_of_year: int
 ) -> DataFrame:
-    """One row per list entry, with one pass over each fact table."""
+    """One row per list entry, with one pass over each fact table.
+
+    A `position` of the list (see sources.targets.load_targets) is kept as a last column.
+    """
     address, area = F.col("address"), F.col("area_m2")
     listed = A.with_region_columns(targets).withColumn("keyword", A.sigungu_keyword(address))
     joined = (
@@ -59,5 +62,5 @@ def tracking_report(
                 "note": note,
             }
         )
-        .select(*COLUMNS)
+        .select(*COLUMNS, *[c for c in targets.columns if c == "position"])
     )

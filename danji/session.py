@@ -1,5 +1,7 @@
 """A local session for tests and the benchmark; a cluster brings its own."""
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -20,3 +22,16 @@ def local_session(app: str, cores: str = "8", memory: str = "8g") -> SparkSessio
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that all executors share; a local master may get a temporary one."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="danji-shared-")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()

@@ -73,7 +73,9 @@ def format_value(value: Column, kind: T.DataType, separators: bool = True) -> Co
 
 
 def format_report(report: DataFrame, headers: dict[str, str]) -> DataFrame:
-    """The report in header order, every value as text."""
+    """The report in header order, every value as text; by position if the report has one."""
+    if "position" in report.columns:
+        report = report.orderBy("position")
     types = {f.name: f.dataType for f in report.schema.fields}
     return report.select(
         *[

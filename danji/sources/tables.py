@@ -80,6 +80,11 @@ def normalize_foreign_rents(df: DataFrame) -> DataFrame:
     )
 
 
+def scan_trades(spark: SparkSession, path: str) -> DataFrame:
+    """What write_trades stored, with its region and year columns, by engine names."""
+    return spark.read.parquet(path)
+
+
 def write_trades(trades: DataFrame, path: str) -> None:
     """Store trades by province and contract year, so that those filters skip whole folders.
 

@@ -1,23 +1,40 @@
-"""The watch-list: a JSON list of {address, complex, area}."""
+"""The watch-list: JSON entries of {address, complex, area}, an array or one a line."""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from danji.schemas import engine_schema, source_schema, source_to_engine
+from danji.session import shared_folder
 
 
-def load_targets(spark: SparkSession, path: str) -> DataFrame:
-    """The list, or no rows when there is no file."""
-    names = source_to_engine("targets")
+def load_targets(spark: SparkSession, path: str, position: bool = False) -> DataFrame:
+    """The list, or no rows when there is no file.
+
+    A file holds one array document or one object per line; a folder may hold several files. With
+    `position` a column of that name tells the order in the file (of several files, by their names).
+    """
+    schema = source_schema("targets")
     try:
-        rows = spark.read.schema(source_schema("targets")).json(path, multiLine=True)
+        files = spark.read.text(path, wholetext=True)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], engine_schema("targets"))
-    return rows.select(*[F.col(f"`{src}`").alias(eng) for src, eng in names.items()])
+        rows = spark.createDataFrame([], engine_schema("targets"))
+        return rows.withColumn("position", F.lit(None).cast("string")) if position else rows
+    array = F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST"})
+    lines = F.transform(
+        F.filter(F.split("value", "\n"), lambda line: F.trim(line) != ""),
+        lambda line: F.from_json(line, schema, {"mode": "FAILFAST"}),
+    )
+    entries = F.when(F.ltrim("value").startswith("["), array).otherwise(lines)
+    rows = files.select(F.col("_metadata.file_path").alias("_file"), F.posexplode(entries).alias("_at", "_entry"))
+    place = F.format_string("%s#%010d", "_file", "_at")
+    return rows.select(
+        *[F.col(f"_entry.`{src}`").alias(eng) for src, eng in source_to_engine("targets").items()],
+        *([place.alias("position")] if position else []),
+    )
 
 
 def write_targets(targets: DataFrame, path: str) -> None:
@@ -26,12 +43,7 @@ def write_targets(targets: DataFrame, path: str) -> None:
     The rows are checkpointed to the session's checkpoint folder first, since overwriting
     removes the files the plan would read.
     """
-    spark = targets.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        spark.sparkContext.setCheckpointDir(folder)
+    shared_folder(targets.sparkSession)
     kept = targets.select(
         *[F.col(eng).alias(src) for src, eng in source_to_engine("targets").items()]
     ).checkpoint()

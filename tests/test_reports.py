@@ -94,12 +94,65 @@ def test_nearest_month_both_forms_agree(spark):
     assert {m: one[str(m)] for m in months if one[str(m)] is not None} == ranked
 
 
-def test_packed_amount_rejects_what_it_cannot_hold(spark):
-    import pytest
-
-    df = spark.createDataFrame([(1, 10**12)], "day int, amount bigint")
-    with pytest.raises(Exception, match="amount out of range"):
-        df.select(G.pack(F.col("day"), F.col("amount"))).collect()
+def test_packed_trades_hold_every_day_and_amount(spark):
+    days, amounts = [0, 1, 150, 20250131, 2**31 - 1, -2], [-(2**63), -1, 0, 10**12, 2**63 - 1]
+    rows = [(d, a, m) for d in days for a in amounts for m in (False, True)]
+    df = spark.createDataFrame(rows, "day int, amount bigint, mark boolean")
+    key = G.pack(F.col("day"), F.col("amount"), F.col("mark"))
+    got = df.select(key.alias("key"), "day", "amount", "mark").select(
+        "*", G.packed_amount(F.col("key")).alias("a"), G.packed_mark(F.col("key")).alias("m")).collect()
+    assert all((r.a, r.m) == (r.amount, r.mark) for r in got)
+    assert [tuple(r)[1:4] for r in sorted(got, key=lambda r: r.key)] == sorted(rows)
+    near = df.select(F.lit(202001).alias("ym"), key.alias("last")).agg(
+        G.nearest_at(F.col("ym"), F.col("last"), 202003).alias("x"))
+    assert near.first()[0] == 2**63 - 1
+
+
+def test_nearest_month_is_not_moved_by_the_day(spark):
+    rows = [(202001, 150, 1000), (202002, 1, 2000)]
+    df = spark.createDataFrame(rows, "ym int, day int, amount bigint")
+    last = G.pack(F.col("day"), F.col("amount"))
+    assert df.agg(G.nearest_at(F.col("ym"), last, 202002)).first()[0] == 2000
+
+
+def test_a_batch_is_taken_one_by_one(spark):
+    areas = [83.5, 84.2, 84.4, 85.3, 99.0]
+    _, sales, _, _ = frames(spark, [sale(a, 202501, 1, 1, name="batch") for a in areas], [])
+    asked = [83.0, 84.0, 84.9, 85.6, 99.5, 70.0]
+    candidates = spark.createDataFrame([("batch", a) for a in asked], "complex string, area_m2 double")
+    judged = G.validate_targets(candidates, sales, spark.createDataFrame([], TARGETS))
+    listed, want = [], set()
+    for area in sorted(asked):  # the rule: each is added, or not, before the next is looked at
+        hits = [a for a in areas if abs(a - area) < 1]
+        if not hits:
+            want.add((area, "not_found", None))
+        elif any(abs(x - min(hits)) < 1 for x in listed):
+            want.add((area, "duplicate", min(hits)))
+        else:
+            listed.append(min(hits))
+            want.add((area, "accepted", min(hits)))
+    assert {(r["area_m2"], r["status"], r["actual_area"]) for r in dicts(judged)} == want
+    assert sorted(r["area_m2"] for r in dicts(G.accept_targets(judged, spark.createDataFrame([], TARGETS)))) == listed
+
+
+def test_only_listed_names_are_aggregated(spark):
+    targets, sales, rents, complexes = frames(spark, [sale(84.0, 202501, 1, 1)], [rent(84.0, 202501, 1, 1)])
+    many = sales.unionByName(spark.range(3000).select(*[
+        (F.concat(F.lit("other"), F.col("id")) if f.name == "complex" else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in sales.schema]))
+    for report in (G.sale_summary(targets, many), roi.roi_report(targets, many, rents, complexes, 202501, [2])):
+        plan = report._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftSemi, (complex" in plan
+        # The semi join stands below the first grouping by month.
+        assert plan.index("Aggregate [complex") < plan.index("LeftSemi, (complex")
+
+
+def test_ambiguous_addresses_are_listed(spark):
+    _, sales, _, _ = frames(spark, [sale(84.0, 202501, 1, 1, name="twin"), sale(50.0, 202501, 1, 1, name="lone")], [])
+    sales = sales.unionByName(sales.withColumn("address", F.lit("elsewhere")).filter("complex = 'twin'"))
+    candidates = spark.createDataFrame([("twin", 84.5), ("lone", 50.0)], "complex string, area_m2 double")
+    got = {(r["complex"], r["address"], r["actual_area"]) for r in dicts(G.ambiguous_addresses(candidates, sales))}
+    assert got == {("twin", ADDRESS, 84.0), ("twin", "elsewhere", 84.0)}
 
 
 def test_target_list(spark):

@@ -48,6 +48,38 @@ def test_target_list_file(spark, tmp_path):
     assert {r["complex"] for r in dicts(targets.load_targets(spark, out))} == {"가", "나"}
 
 
+def test_target_list_keeps_every_row(spark, tmp_path):
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "checkpoints"))
+    rows = [(f"district {i}", f"complex {i}", 50.0 + i) for i in range(10)]
+    ten = spark.createDataFrame(rows, TARGETS)
+    for parts in (1, 4):  # ten rows in one file, then in several
+        out = str(tmp_path / f"list{parts}")
+        targets.write_targets(ten.repartition(parts), out)
+        assert sorted(map(tuple, targets.load_targets(spark, out).collect())) == sorted(rows)
+    targets.write_targets(ten.limit(0), out)
+    assert targets.load_targets(spark, out).count() == 0
+    document = tmp_path / "list.json"
+    document.write_text(json.dumps([{"시군구": a, "단지명": c, "전용면적": x} for a, c, x in rows], ensure_ascii=False, indent=2))
+    ordered = targets.load_targets(spark, str(document), position=True).orderBy("position")
+    assert [tuple(r)[:3] for r in ordered.collect()] == rows
+    broken = tmp_path / "broken.json"
+    broken.write_text('{"시군구": "a", ')
+    with pytest.raises(Exception):
+        targets.load_targets(spark, str(broken)).collect()
+
+
+def test_reports_follow_the_list(spark, tmp_path):
+    columns = ", ".join(
+        f"{c} {'string' if c in ('sido', 'sigungu', 'emd', 'complex', 'note') else 'bigint'}"
+        for c in tracking.COLUMNS)
+    rows = [tuple([f"{k}"] * 4 + [1] * 19 + [None, f"list#{9 - k}"]) for k in range(10)]
+    report = spark.createDataFrame(rows, columns + ", position string").repartition(3)
+    reports.export_tracking(report, str(tmp_path / "t"), "now")
+    files = sorted((tmp_path / "t").glob("part-*.csv"))
+    names = [line.split(",")[0] for f in files for line in f.read_text().splitlines()[1:]]
+    assert names == [str(k) for k in range(9, -1, -1)]
+
+
 def geojson(tmp_path):
     square = [[0, 0], [2, 0], [2, 2], [0, 2]]
 
@@ -105,6 +137,54 @@ def test_report_files(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "r"), header=True).columns[:-1] == list(headers.values())
 
 
+def test_a_listed_null_stays_null(spark, tmp_path):
+    regions = boundaries.load_regions_geo(spark, geojson(tmp_path))
+    values = spark.createDataFrame([("11110", None), ("종로구", 5.0), ("서구", 2.0)], "key string, value double")
+    got = {r["sig_cd"]: r["value"] for r in dicts(G.regions_with_indicator(regions, values))}
+    assert got == {"11110": None, "26140": 2.0}
+
+
+def test_pivots_refuse_what_is_not_listed(spark):
+    from danji.operators.index import heatmap_pivot
+    from danji.operators.ranking import year_pivot
+
+    names = ["sido", "sigungu", "emd", "complex", "age_band", "area_band"]
+    rows = spark.createDataFrame([(2020,), (2021,)], "contract_year int").selectExpr(
+        "contract_year", *[f"'x' AS {c}" for c in names], "1 AS built_year", "2 AS households", "1.0D AS lon",
+        "2.0D AS lat", "3 AS n")
+    assert year_pivot(rows, "n").columns[-2:] == ["2020", "2021"]
+    assert year_pivot(rows, "n", [2020, 2021, 2022]).first()["2021"] == 3
+    with pytest.raises(Exception, match="not in the list"):
+        year_pivot(rows, "n", [2020]).collect()
+    series = spark.sql("SELECT 'a' AS region_name, '1' AS sig_cd, date'2020-03-01' AS date, 1.5D AS value")
+    assert heatmap_pivot(series).columns == ["region_name", "2020-03"]
+    with pytest.raises(Exception, match="not in the list"):
+        heatmap_pivot(series, ["2020-04"]).collect()
+
+
+def test_shipped_filters_skip_folders(spark, tmp_path):
+    from danji.functions import filters
+    from danji.plans.ranking import complex_pivot
+
+    places = ("서울특별시 강남구 역삼동", "부산광역시 서구 동")
+    rows = [(a, "가", 84.0, 1, ym, 1, 1, 2010, "길", None, None) for a in places for ym in (202401, 202502)]
+    tables.write_trades(spark.createDataFrame(rows, SALES), str(tmp_path / "s"))
+    rents = [(a, "가", "전세", 84.0, 1, ym, 1, 1, 2010, "길") for a in places for ym in (202401, 202502)]
+    tables.write_trades(spark.createDataFrame(rents, RENTS), str(tmp_path / "r"))
+    chosen = filters.trade_filter_price("부산광역시", "서구", ym_from=202403, ym_to=202512, stored=True)
+    for name in ("s", "r"):
+        kept = tables.scan_trades(spark, str(tmp_path / name)).filter(chosen)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        folders = plan[plan.index("PartitionFilters: ["):].split("]")[0]
+        assert "sido" in folders and "contract_year" in folders and kept.count() == 1
+    coords = spark.createDataFrame([], "road_key string, lon double, lat double")
+    register = spark.createDataFrame([], "lot_address string, complex string, households int, kind_code string")
+    stored = tables.scan_trades(spark, str(tmp_path / "s"))
+    pivot = complex_pivot(stored, coords, register, 2025, sido="부산광역시", year_from=2025)
+    plan = pivot._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(") == plan.count("FileScan parquet")
+
+
 def test_stored_trades_are_pruned(spark, tmp_path):
     rows = [(a, "가", 84.0, 1, ym, 1, 1, 2010, "길", None, None)
             for a in ("서울특별시 강남구 역삼동", "부산광역시 서구 동") for ym in (202401, 202502)]
