@@ -23,6 +23,8 @@ LEAST_FREQUENT = 32
 MOST_MATCHES = 8
 #: Cost of verifying a candidate, in list entries read.
 VERIFY = 50.0
+#: A list of so many sets is still paired; a longer one makes a family.
+LIST = 16
 #: Documents of a block in verification; a task holds two blocks.
 BLOCK = 384
 
@@ -181,11 +183,17 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n int, digest binary, matches int, prefix array<bigint>, hot array<bigint>")
 
 
+def _node(shingle):
+    """A shingle's own node in the graph of families; should two meet, a family is larger than need be."""
+    return -(np.abs(shingle // 2)) - 2
+
+
 def _candidates(reps: DataFrame, percent: int, rows: int) -> DataFrame:
     """Edges (a, b) between sets that share enough of their prefixes' rare shingles.
 
-    A rare shingle's list is shorter than the bound that makes a shingle frequent, so pairs within a
-    list are bounded by that times the rows.
+    Only lists of up to LIST sets become pairs, so there are at most LIST / 2 pairs to a row,
+    however large the corpus. A longer list, which is still shorter than the bound that makes a shingle
+    frequent, joins its sets to a family through a node of its own, as a frequent shingle does.
     """
     many = max(shuffle_partitions(reps.sparkSession), rows // 1_000_000)
     entries = reps.select(F.explode("prefix").alias("shingle"), "doc_id", "n", "matches")
@@ -197,6 +205,12 @@ def _candidates(reps: DataFrame, percent: int, rows: int) -> DataFrame:
         shingle, doc, n, m = (np.concatenate([b.column(i).to_numpy() for b in batches]) for i in range(4))
         order = np.lexsort((doc, n, shingle))
         shingle, doc, n, m = shingle[order], doc[order], n[order], m[order]
+        _, number, length = np.unique(shingle, return_inverse=True, return_counts=True)
+        long = length[number] > LIST
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(_node(shingle[long])), pa.array(doc[long]), pa.array(np.zeros(long.sum(), np.int32))], ["a", "b", "m"]
+        )
+        shingle, doc, n, m = shingle[~long], doc[~long], n[~long], m[~long]
         left = np.arange(len(shingle))
         gap = 1
         while len(left):
@@ -304,7 +318,7 @@ def similar_components(
 
     Equal sets are one from the start (a digest, combined on the map side). The sets' adaptive
     prefixes find candidates by their rare shingles, which must share as many as the smaller demand;
-    frequent shingles of a prefix join their documents to a family. Families, the components of
+    frequent shingles of a prefix, and rare ones with long lists, join their documents to a family. Families, the components of
     both, are verified block by block with exact intersections, of which a spanning forest
     is kept: a group of near copies never becomes all its pairs of rows.
 
@@ -325,7 +339,7 @@ def similar_components(
     )
     rows = chosen.agg(F.sum(F.size("prefix"))).first()[0] or 0
     pairs = _candidates(chosen, percent, rows)
-    # A frequent shingle is a node of its own; should two nodes meet, a family is larger than it need be.
+    # As _node().
     hot = chosen.select(F.explode("hot").alias("h"), "doc_id").select((-F.expr("abs(h div 2)") - 2).alias("a"), F.col("doc_id").alias("b"))
     edges = pairs.unionAll(hot) if len(frequent[0]) else pairs
     family = connected_components(edges).select(F.col("node").alias("doc_id"), F.col("root").alias("family"))

@@ -43,6 +43,16 @@ class Tree:
             work += [(child, rows[nearest == i]) for i, child in enumerate(below)]
         return out
 
+    def leaf_order(self) -> list[int]:
+        """All leaves from left to right, so that neighbours stand side by side."""
+        out, work = [], [0]
+        while work:
+            node = work.pop()
+            work += reversed(self.children[node])
+            if not self.children[node]:
+                out.append(node)
+        return out
+
     def nearest_leaves(self, vector: np.ndarray, visits: int) -> list[int]:
         """The first `visits` leaves in best-bin-first order: the closest open node is opened next."""
         closeness = self.centers @ vector
@@ -110,9 +120,11 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
 
 
-def _best(queries, vectors, ids, skip, k: int):
-    """(query row, vector row, score) of each query's k best and those that tie with the last."""
+def _best(queries, vectors, ids, skip, k: int, visited=None):
+    """(query row, vector row, score) of each query's k best, of those it visits."""
     close = _unit(queries) @ _unit(vectors).T
+    if visited is not None:
+        close[~visited] = -np.inf
     close[skip[:, None] == ids[None, :]] = -np.inf
     take = min(k, len(ids))
     last = np.partition(close, -take, axis=1)[:, -take]
@@ -137,8 +149,9 @@ def nearest(
     the true neighbours among all rows are found by comparing in blocks, and visits are widened
     until the leaves visited hold `recall` of them; if no number below all does, all are visited.
 
-    Leaves are compared in blocks of rows and of queries, so no task holds a whole hot leaf; a block
-    gives at most k rows a query. Vectors that are null, zero, or hold null or non-finite components take
+    Leaves that lie side by side share a bin of about BLOCK rows, in which a query is compared with
+    those it visits; a larger leaf is a bin of several blocks, and queries come in blocks too. So no
+    task holds a whole hot leaf, and a block gives at most k rows a query. Vectors that are null, zero, or hold null or non-finite components take
     no part, as do those whose length is not the commonest, and null ids. Rows that repeat an id and vector
     count once. Ties go to the smaller id. An empty table gives no rows.
     """
@@ -193,29 +206,51 @@ def nearest(
     needed = np.sort([place[r["q"]][r["leaf"]] + 1 for r in true]) if true else np.array([1])
     visits = int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))))])
 
+    # At most one leaf for every 8 vectors the tree was fitted on, so they are few.
+    sizes = {r["leaf"]: r["n"] for r in indexed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+    bin_of, blocks_of, held = {}, [], BLOCK
+    for leaf in tree.leaf_order():
+        n = sizes.get(leaf, 0)
+        if held + n > BLOCK:
+            blocks_of.append(max(1, -(-n // BLOCK)))
+            held = 0
+        bin_of[leaf] = len(blocks_of) - 1
+        held += n
+    bins = context.broadcast(bin_of)
+    leaves = spark.createDataFrame(
+        [(leaf, b, blocks_of[b]) for leaf, b in bin_of.items()], "leaf bigint, bin int, blocks int"
+    )
     queries = rows.where("is_query").select("vec_id", "v")
 
     def visit(batches):
-        tree = shared.value[0]
+        tree, bin_of = shared.value[0], bins.value
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                found = [tree.nearest_leaves(u, visits) for u in _unit(_matrix(part.column(1)))]
-                row = np.repeat(np.arange(len(found)), [len(f) for f in found])
+                row, bin_, visited = [], [], []
+                for i, u in enumerate(_unit(_matrix(part.column(1)))):
+                    by_bin: dict[int, list[int]] = {}
+                    for leaf in tree.nearest_leaves(u, visits):
+                        by_bin.setdefault(bin_of[leaf], []).append(leaf)
+                    row += [i] * len(by_bin)
+                    bin_ += by_bin.keys()
+                    visited += by_bin.values()
                 yield pa.RecordBatch.from_arrays(
-                    [*part.take(pa.array(row)).columns, pa.array(np.concatenate(found), pa.int64())], ["query_id", "q", "leaf"]
+                    [*part.take(pa.array(row, pa.int64())).columns, pa.array(bin_, pa.int32()), pa.array(visited, pa.list_(pa.int64()))],
+                    ["query_id", "q", "bin", "visited"],
                 )
 
-    asked = cut(queries.mapInArrow(visit, "query_id bigint, q array<double>, leaf bigint"))
-    leaf_blocks = indexed.groupBy("leaf").agg(F.expr(f"int(ceil(count(*) / {BLOCK}))").alias("blocks"))
-    query_blocks = asked.groupBy("leaf").agg(F.expr(f"int(ceil(count(*) / {QUERY_BLOCK}))").alias("query_blocks"))
-    grid = cut(leaf_blocks.join(query_blocks, "leaf"))
-    there = indexed.join(grid, "leaf").select(
-        "leaf", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).alias("block"), F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("part"), "vec_id", "v"
+    asked = cut(queries.mapInArrow(visit, "query_id bigint, q array<double>, bin int, visited array<bigint>"))
+    blocks = F.broadcast(leaves.select("bin", "blocks").distinct())
+    query_blocks = asked.groupBy("bin").agg(F.expr(f"int(ceil(count(*) / {QUERY_BLOCK}))").alias("query_blocks"))
+    grid = cut(query_blocks.join(blocks, "bin"))
+    there = indexed.join(F.broadcast(leaves.select("leaf", "bin")), "leaf").join(grid, "bin").select(
+        "bin", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("part"), "vec_id", "v", "leaf",
     )
-    asking = asked.join(grid, "leaf").select(
-        "leaf", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks").cast("bigint") - 1)).alias("block"),
-        F.pmod(F.xxhash64("query_id"), F.col("query_blocks")).cast("int").alias("part"), "query_id", "q",
+    asking = asked.join(grid, "bin").select(
+        "bin", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks").cast("bigint") - 1)).alias("block"),
+        F.pmod(F.xxhash64("query_id"), F.col("query_blocks")).cast("int").alias("part"), "query_id", "q", "visited",
     )
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -223,10 +258,19 @@ def nearest(
         if not left.num_rows or not right.num_rows:
             return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names)
         ids, asked_ids = left["vec_id"].to_numpy(), right["query_id"].to_numpy()
-        q, v, score = _best(_matrix(right["q"].combine_chunks()), _matrix(left["v"].combine_chunks()), ids, asked_ids, k)
+        here, leaf = np.unique(left["leaf"].to_numpy(), return_inverse=True)
+        visits = right["visited"].combine_chunks()
+        query = np.repeat(np.arange(len(visits)), np.diff(visits.offsets.to_numpy()))
+        wanted = visits.flatten().to_numpy()
+        at = np.minimum(np.searchsorted(here, wanted), len(here) - 1)
+        open_ = np.zeros((len(visits), len(here)), bool)
+        open_[query[here[at] == wanted], at[here[at] == wanted]] = True
+        q, v, score = _best(
+            _matrix(right["q"].combine_chunks()), _matrix(left["v"].combine_chunks()), ids, asked_ids, k, open_[:, leaf]
+        )
         return pa.table([pa.array(asked_ids[q]), pa.array(ids[v]), pa.array(score)], names)
 
-    key = ["leaf", "block", "part"]
+    key = ["bin", "block", "part"]
     found = there.groupBy(*key).cogroup(asking.groupBy(*key)).applyInArrow(compare, "query_id bigint, vec_id bigint, score double")
     return found.selectExpr(
         "query_id", "cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank", "vec_id", "score"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -18,6 +19,8 @@ from danji.llm.words import parts, steps
 
 WORD = re.compile(r"\S+")
 EDGE = ".,;:!?\"'()[]{}|*#%&$…«»“”„"
+#: How many features may be learnt that only happen to stand in toxic texts (expected number).
+MISTAKES = 1.0
 #: Tokens of a training sequence.
 SPAN = 48
 
@@ -124,11 +127,17 @@ def _families(texts: list[list[str]]) -> list[int]:
     return [find(i) for i in range(len(texts))]
 
 
+def _by_chance(a: int, c: int, share: float) -> float:
+    """The probability that of a + c families a or more are toxic, if a feature tells nothing."""
+    n = a + c
+    return sum(math.comb(n, k) * share**k * (1 - share) ** (n - k) for k in range(a, n + 1)) if n < 900 else 0.0
+
+
 def train(rows: list[tuple[str, int]], least: int = 3, ratio: float = 6.0, rounds: int = 60) -> Field:
     """A field learnt from (text, toxic) rows.
 
     The labels are of whole texts, so tokens are labelled first: a feature that at least `least`
-    toxic families of texts (and a hundredth of them) bear, `ratio` times as often as others, marks its tokens in toxic texts
+    toxic families of texts (and a hundredth of them) bear, not by chance and `ratio` times as often as others, marks its tokens in toxic texts
     as toxic; all other tokens, and those in other texts, are labelled 0. The field's weights are
     then fitted to these tokens by the likelihood of the chain (Adam, with an L2 penalty).
     """
@@ -143,9 +152,11 @@ def train(rows: list[tuple[str, int]], least: int = 3, ratio: float = 6.0, round
     for f, w in merged.items():
         bearing[f in toxic].update({x for v in w for x in features(v)})
     least = max(least, sizes[1] // 100)
+    tests = sum(a + bearing[0][x] >= least for x, a in bearing[1].items())
     chosen = sorted(
         x for x, a in bearing[1].items()
         if a >= least and (a + 0.5) / (sizes[1] + 1) >= ratio * (bearing[0][x] + 0.5) / (sizes[0] + 1)
+        and _by_chance(a, bearing[0][x], sizes[1] / sum(sizes)) * tests < MISTAKES
     )
     number = {x: i for i, x in enumerate(chosen)}
     # Sequences: those that bear a feature as they are, the others by their lengths.
