@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from collections import Counter
@@ -108,27 +107,35 @@ class Field:
         return max(self.resting, float(p.max())), [words[i].span() for i, x in zip(at, p) if x >= 0.5]
 
 
-def _families(texts: list[list[str]]) -> list[int]:
-    """Texts that are copies of one another count once: union by their least and largest shingle."""
-    parent = list(range(len(texts)))
+def _bearing(words: list[list[str]], toxic: list[int], of=None) -> tuple[Counter, Counter]:
+    """How many texts, not toxic and toxic, bear each feature.
 
-    def find(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    seen: dict[bytes, int] = {}
-    for i, words in enumerate(texts):
-        shingles = {" ".join(words[k : k + 3]) for k in range(0, max(1, len(words) - 2))}
-        hashed = sorted(hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=8).digest() for s in shingles)
-        for mark in (*hashed[:2], *hashed[-2:]):
-            parent[find(i)] = find(seen.setdefault(mark, i))
-    return [find(i) for i in range(len(texts))]
+    With `of`, of those features alone and counting a text only if it bears the feature between
+    two words it did not stand between before: copies and repeated lines then count once.
+    """
+    counts: tuple[Counter, Counter] = (Counter(), Counter())
+    seen: set[int] = set()
+    known: dict[str, list[str]] = {}
+    for y in (0, 1):
+        for text in (w for w, t in zip(words, toxic) if t == y):
+            if of is None:
+                counts[y].update({x for v in set(text) for x in features(v)})
+                continue
+            new = set()
+            for before, v, after in zip(["", *text], text, [*text[1:], ""]):
+                if (got := known.get(v)) is None:
+                    got = known[v] = [x for x in features(v) if x in of]
+                for x in got:
+                    place = hash((x, before, after))
+                    if place not in seen:
+                        seen.add(place)
+                        new.add(x)
+            counts[y].update(new)
+    return counts
 
 
 def _by_chance(a: int, c: int, share: float) -> float:
-    """The probability that of a + c families a or more are toxic, if a feature tells nothing."""
+    """The probability that of a + c texts a or more are toxic, if a feature tells nothing."""
     n = a + c
     return sum(math.comb(n, k) * share**k * (1 - share) ** (n - k) for k in range(a, n + 1)) if n < 900 else 0.0
 
@@ -137,27 +144,26 @@ def train(rows: list[tuple[str, int]], least: int = 3, ratio: float = 6.0, round
     """A field learnt from (text, toxic) rows.
 
     The labels are of whole texts, so tokens are labelled first: a feature that at least `least`
-    toxic families of texts (and a hundredth of them) bear, not by chance and `ratio` times as often as others, marks its tokens in toxic texts
-    as toxic; all other tokens, and those in other texts, are labelled 0. The field's weights are
+    toxic texts (and a hundredth of them) bear, `ratio` times as often as others and not by chance,
+    marks its tokens in toxic texts as toxic; all other tokens are labelled 0. The field's weights are
     then fitted to these tokens by the likelihood of the chain (Adam, with an L2 penalty).
     """
     words = [WORD.findall(t) for t, _ in rows]
-    family = _families(words)
-    toxic = {f for f, (_, y) in zip(family, rows) if y}
-    sizes = [len(set(family) - toxic), len(toxic)]
-    bearing: tuple[Counter, Counter] = (Counter(), Counter())
-    merged: dict[int, set] = {}
-    for f, w in zip(family, words):
-        merged.setdefault(f, set()).update(w)
-    for f, w in merged.items():
-        bearing[f in toxic].update({x for v in w for x in features(v)})
+    marks = [y for _, y in rows]
+    sizes = [marks.count(0), marks.count(1)]
     least = max(least, sizes[1] // 100)
-    tests = sum(a + bearing[0][x] >= least for x, a in bearing[1].items())
-    chosen = sorted(
-        x for x, a in bearing[1].items()
-        if a >= least and (a + 0.5) / (sizes[1] + 1) >= ratio * (bearing[0][x] + 0.5) / (sizes[0] + 1)
-        and _by_chance(a, bearing[0][x], sizes[1] / sum(sizes)) * tests < MISTAKES
-    )
+
+    def telling(counts):
+        return [
+            x for x, a in counts[1].items()
+            if a >= least and (a + 0.5) / (sizes[1] + 1) >= ratio * (counts[0][x] + 0.5) / (sizes[0] + 1)
+        ]
+
+    counts = _bearing(words, marks)
+    tests = sum(a + counts[0][x] >= least for x, a in counts[1].items())
+    counts = _bearing(words, marks, of=set(telling(counts)))
+    share = sizes[1] / max(1, len(rows))
+    chosen = sorted(x for x in telling(counts) if _by_chance(counts[1][x], counts[0][x], share) * tests < MISTAKES)
     number = {x: i for i, x in enumerate(chosen)}
     # Sequences: those that bear a feature as they are, the others by their lengths.
     bear, labels, plain = [], [], Counter()
