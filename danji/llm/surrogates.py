@@ -78,16 +78,27 @@ def surrogate(kind: Column, value: Column, key: str, turn: Column) -> Column:
     def part(at: int) -> Column:
         return F.conv(F.substring(h, at, 2), 16, 10)
 
-    # The local part keeps its length within reason, the top domain stays: lower-case hex letters.
+    # An address keeps its shape and top domain below a reserved name; after some turns, in case the
+    # shapes there are hold too few, it gets a long local part.
     letters = F.translate(h, "0123456789", "ghijkmnpqr")
+    shape = F.array_join(F.transform(F.split(F.regexp_extract(value, r"^(.*@(?:.*\.)?)[^.@]+\.[^.]+$", 1), "(?<=.)(?=.)"), lambda c, i: (
+        F.when(c.rlike("[a-z]"), F.substr(letters, i % 64 + 1, F.lit(1)))
+        .when(c.rlike("[0-9]"), F.substr(number, i % 64 + 1, F.lit(1))).otherwise(c))), "")
     email = F.concat(
-        F.substring(letters, 1, 10), F.lit("@"), F.substring(letters, 11, 6), F.lit(".example."), F.regexp_extract(value, r"[^.]+$", 0)
+        F.when(turn < 3, shape).otherwise(F.concat(F.substring(letters, 1, 24), F.lit("@"))),
+        F.lit("example."), F.regexp_extract(value, r"[^.]+$", 0),
     )
-    # The first digits of a private range stay, so that an address stays private or public.
-    ip = F.when(value.rlike(r"^(10|127)\."), F.concat(F.regexp_extract(value, r"^\d+", 0), F.lit("."), part(1), F.lit("."), part(3), F.lit("."), part(5))).when(
-        value.rlike(r"^192\.168\."), F.concat(F.lit("192.168."), part(1), F.lit("."), part(3))
-    ).otherwise(F.concat((F.conv(F.substring(h, 1, 2), 16, 10).cast("int") % 80 + 11).cast("string"), F.lit("."), part(3), F.lit("."), part(5), F.lit("."), part(7)))
-    # The country code and the network's first digit stay, and a valid check digit stays valid.
+    # The first digits of a private range stay, so that an address stays private or public; the small
+    # range gives way to the large one after some turns.
+    octet = [part(at) for at in (1, 3, 5, 7)]
+    public = (F.conv(F.substring(h, 9, 2), 16, 10).cast("int") % 80 + 11).cast("string")
+    ip = (
+        F.when(value.rlike(r"^(10|127)\."), F.concat_ws(".", F.regexp_extract(value, r"^\d+", 0), *octet[:3]))
+        .when(value.rlike(r"^192\.168\.") & (turn < 4), F.concat_ws(".", F.lit("192.168"), *octet[:2]))
+        .when(value.rlike(r"^192\.168\."), F.concat_ws(".", F.lit("10"), *octet[:3]))
+        .otherwise(F.concat_ws(".", public, *octet[1:]))
+    )
+    # The first digit of the country code or network stays, and a valid check digit stays valid.
     phone = F.concat(F.when(value.startswith("+"), "+").otherwise(""), F.substring(digits, 1, 1), F.substring(number, 1, 40))
     phone = F.left(phone, F.length(value))
     body = F.left(F.concat(F.substring(digits, 1, 1), number), F.length(digits) - 1)
@@ -98,7 +109,9 @@ def surrogate(kind: Column, value: Column, key: str, turn: Column) -> Column:
     script = F.when(value.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
 
     def person(gender: str, alphabet: str) -> Column:
-        surname = F.initcap(F.concat(*[_pick(SYLLABLES[alphabet], h, at) for at in range(2, 7)]))
+        short = F.concat(*[_pick(SYLLABLES[alphabet], h, at) for at in range(2, 5)])
+        more = F.concat(*[_pick(SYLLABLES[alphabet], h, at) for at in range(5, 11)])
+        surname = F.initcap(F.concat(short, F.when(turn < 3, "").otherwise(more)))
         both = F.concat(_pick(GIVEN[gender, alphabet], h, 1), F.lit(" "), surname)
         return F.when(value.contains(" "), both).otherwise(surname)
 
@@ -152,8 +165,8 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     Entities: e-mail and IP addresses, IBANs, social security, telephone and card numbers, and
     persons named after a title. The same entity gets the same stand-in in every document, in the
     spelling of each mention; different ones get different ones, and none gets a value that occurs
-    itself. Gender (by title), script, country code, network digit, check digit, private ranges,
-    separators and title are kept.
+    itself. Gender (by title), script, the first digit of a country code or card, check digits, private
+    ranges, separators and title are kept.
 
     Texts without an entity pass through without a shuffle. Distinct values are drawn for once; a
     mention is joined to its stand-in, a value that a third of all texts hold being one row there

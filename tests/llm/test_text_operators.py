@@ -176,6 +176,7 @@ def test_surrogates_are_consistent(spark):
         got[r["doc_id"]].append(r["text"])
     one = got[1][0]
     mails = re.findall(r"\S+@[\w.]+\w", one)
+    assert re.fullmatch(r"[a-z]{3}\.[a-z]{3}@[a-z]{4}\.example\.com", mails[0])
     assert mails[0] == mails[1] and "Ann" not in one and got[8] == [mails[0], mails[0]]
     phones = re.findall(r"\+1[ \d()-]+\d", one)
     assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", phones[0]) and re.sub(r"[^+\d]", "", phones[0]) == phones[1] != "+19745553436"
