@@ -6,18 +6,19 @@ from pyspark.sql import functions as F
 from danji.functions import address as A, region as R, trade as T
 from danji.functions.rounding import round1_half_even, round_half_up
 
+# Three, four and five words, the province without districts, a doubled space, and too few words.
 ADDRESSES = [
-    ("서울특별시 강남구 압구정동", "서울특별시", "강남구", "압구정동"),
-    ("부산광역시 해운대구 우동", "부산광역시", "해운대구", "우동"),
-    ("경기도 성남시 중원구 은행동", "경기도", "성남시 중원구", "은행동"),
-    ("충청남도 예산군 예산읍 예산리", "충청남도", "예산군 예산읍", "예산리"),
-    ("충청남도 천안시 서북구 성환읍 율금리", "충청남도", "천안시 서북구", "성환읍"),
-    ("세종특별자치시 한솔동", "세종특별자치시", "세종시", "한솔동"),
-    ("세종특별자치시  조치원읍 상리", "세종특별자치시", "세종시", "조치원읍"),
+    ("울산광역시 남구 삼산동", "울산광역시", "남구", "삼산동"),
+    ("인천광역시 연수구 동춘동", "인천광역시", "연수구", "동춘동"),
+    ("경상남도 창원시 성산구 상남동", "경상남도", "창원시 성산구", "상남동"),
+    ("전라남도 화순군 화순읍 광덕리", "전라남도", "화순군 화순읍", "광덕리"),
+    ("충청북도 청주시 흥덕구 오송읍 연제리", "충청북도", "청주시 흥덕구", "오송읍"),
+    ("세종특별자치시 나성동", "세종특별자치시", "세종시", "나성동"),
+    ("세종특별자치시  금남면 용포리", "세종특별자치시", "세종시", "금남면"),
     ("세종특별자치시", "세종특별자치시", "세종시", ""),
-    ("부산광역시 서구", "부산광역시", "서구", ""),
-    ("\t서울특별시\n 강남구  대치동 ", "서울특별시", "강남구", "대치동"),
-    ("제주", "제주", "", ""),
+    ("울산광역시 중구", "울산광역시", "중구", ""),
+    ("\t인천광역시\n 연수구  송도동 ", "인천광역시", "연수구", "송도동"),
+    ("강원", "강원", "", ""),
     ("", "", "", ""),
     (None, None, "", ""),
 ]
@@ -35,20 +36,20 @@ def test_address_parts_both_ways(spark):
 
 
 def test_lookup_keyword(spark):
-    df = spark.createDataFrame([("경기도 성남시 분당구 정자동",), ("세종특별자치시 한솔동",)], "a string")
+    df = spark.createDataFrame([("경상북도 포항시 남구 효자동",), ("세종특별자치시 나성동",)], "a string")
     got = [r[0] for r in df.select(A.sigungu_keyword(F.col("a"))).collect()]
-    assert got == ["성남시 분당구", "세종특별자치시"]
+    assert got == ["포항시 남구", "세종특별자치시"]
 
 
 @pytest.mark.parametrize("address, road, key", [
-    ("서울특별시 강남구 압구정동", "압구정로 201", "서울특별시 강남구 압구정로 201"),
-    ("경기도 성남시 중원구 은행동", "수내로192번길 25", "경기도 성남시 수내로192번길 25"),
-    ("충청남도 예산군 예산읍 예산리", "아리랑로144번길 19", "충청남도 예산군 아리랑로144번길 19"),
-    ("세종특별자치시  조치원읍 상리", "세종로 1", "세종특별자치시 세종시 세종로 1"),
-    ("서울특별시 강남구 압구정동", None, None),
-    (" 서울특별시 강남구", "길 1", " 서울특별시 길 1"),
-    ("제주", "길 1", "제주  길 1"),
-    ("제주 ", "길 1", "제주  길 1"),
+    ("울산광역시 남구 삼산동", "나래길 7", "울산광역시 남구 나래길 7"),
+    ("경상남도 창원시 성산구 상남동", "구름길30번안길 4", "경상남도 창원시 구름길30번안길 4"),
+    ("전라남도 화순군 화순읍 광덕리", "돌담길8번길 2", "전라남도 화순군 돌담길8번길 2"),
+    ("세종특별자치시  금남면 용포리", "용포길 5", "세종특별자치시 세종시 용포길 5"),
+    ("울산광역시 남구 삼산동", None, None),
+    (" 울산광역시 남구", "길 1", " 울산광역시 길 1"),
+    ("강원", "길 1", "강원  길 1"),
+    ("강원 ", "길 1", "강원  길 1"),
     ("", "길 1", "  길 1"),
 ])
 def test_road_key(spark, address, road, key):
@@ -69,14 +70,14 @@ def test_bands(spark):
     def one(f, x, kind="double"):
         return spark.createDataFrame([(x,)], f"x {kind}").select(f(F.col("x"))).first()[0]
 
-    for x, band in [(39.9, "초소형"), (40.0, "초소형"), (40.1, "소형"), (60.0, "소형"), (60.1, "중소형"),
-                    (85.0, "중소형"), (85.1, "중대형"), (135.0, "중대형"), (135.1, "대형"), (None, "대형")]:
+    for x, band in [(18.0, "초소형"), (40.0, "초소형"), (40.5, "소형"), (60.0, "소형"), (60.5, "중소형"),
+                    (85.0, "중소형"), (85.5, "중대형"), (135.0, "중대형"), (135.5, "대형"), (None, "대형")]:
         assert one(T.area_band, x) == band
-    for x, band in [(24.0, "10평 미만"), (24.9, "10평 미만"), (25.0, "10평대"), (59.0, "20평대"),
-                    (84.0, "30평대"), (149.9, "50평대"), (150.0, "60평 이상"), (900.0, "60평 이상"),
+    for x, band in [(11.0, "10평 미만"), (24.5, "10평 미만"), (25.0, "10평대"), (55.0, "20평대"),
+                    (99.5, "30평대"), (149.0, "50평대"), (150.0, "60평 이상"), (400.0, "60평 이상"),
                     (None, "60평 이상")]:
         assert one(T.pyeong_band, x) == band
-    for diff, age, band in [(2, 2, "5년 미만"), (6, 6, "5~10년"), (36, 36, "30년 이상"), (-1, 1, "5년 미만")]:
+    for diff, age, band in [(4, 4, "5년 미만"), (9, 9, "5~10년"), (41, 41, "30년 이상"), (-2, 1, "5년 미만")]:
         assert one(lambda c: T.building_age(c, 2025), 2025 - diff, "int") == age
         assert one(lambda c: T.age_band(c, 2025), 2025 - diff, "int") == band
     assert one(lambda c: T.building_age(c, 2025), None, "int") == 1
@@ -101,9 +102,9 @@ def test_half_up_uses_the_stored_value(spark):
 
 
 def test_labels_and_provinces(spark):
-    df = spark.createDataFrame([("강서구 (서울특별시)",), ("강남구",)], "l string")
+    df = spark.createDataFrame([("북구 (울산광역시)",), ("연수구",)], "l string")
     got = df.select(R.label_name(F.col("l")), R.label_province(F.col("l"))).collect()
-    assert [tuple(r) for r in got] == [("강서구", "서울특별시"), ("강남구", None)]
+    assert [tuple(r) for r in got] == [("북구", "울산광역시"), ("연수구", None)]
     names = spark.createDataFrame([("전북",), ("전북특별자치도",), ("해외",)], "n string")
     got = names.select(R.province_full_name(F.col("n")), R.province_short_name(F.col("n"))).collect()
     assert [tuple(r) for r in got] == [
