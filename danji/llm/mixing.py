@@ -105,7 +105,8 @@ def mixture(
         "coalesce(budget % nullif(leaf_tokens, 0), 0) as rest",
     )
     drawn = rows.join(plan, names).withColumn("place", F.md5(F.concat_ws("|", F.lit(str(seed)), "epochs", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
-    drawn = drawn.withColumn("bucket", F.substring("place", 1, BUCKET_DIGITS))
+    # Dealt by leaf and bucket, whatever the join before has left: a leaf may hold a third of all rows.
+    drawn = drawn.withColumn("bucket", F.substring("place", 1, BUCKET_DIGITS)).repartition(*names, "bucket")
     key = ", ".join([*names, "bucket"])
     sums = drawn.groupBy(*names, "bucket").agg(F.sum("tokens").alias("bucket_tokens"))
     before = sums.selectExpr(
