@@ -335,7 +335,8 @@ def similar_components(
     reps = with_words.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     # An id with several texts stands for each of them.
     chosen = cut(
-        with_words.join(reps, "digest").where("doc_id = rep").select("doc_id", "n", "matches", "prefix", "hot").distinct()
+        with_words.join(reps.withColumnRenamed("rep", "doc_id"), ["doc_id", "digest"], "left_semi")
+        .select("doc_id", "n", "matches", "prefix", "hot").distinct()
     )
     rows = chosen.agg(F.sum(F.size("prefix"))).first()[0] or 0
     pairs = _candidates(chosen, percent, rows)
