@@ -135,6 +135,44 @@ def _(v):
     return yoy.withColumn("kind", F.lit("yoy")).unionByName(ratio.withColumn("kind", F.lit("direct")))
 
 
+def _made(v):
+    return X.precomputed_yoy(v.sale_index)
+
+
+@query("yoy_map_precomputed", f"""SELECT substr(region_code, 1, 5) AS sig_cd, region_name, yoy_pct
+  FROM ({_SALE_YOY}) WHERE date = DATE '1999-05-01'""", "sale_index")
+def _(v):
+    return I.yoy_map(v.sale_index, YEAR, MONTH, _made(v))
+
+
+@query("index_timeseries_precomputed", f"""SELECT 'district' AS kind, date, substr(region_code, 1, 5) AS sig_cd,
+    region_name, yoy_pct AS value FROM ({_SALE_YOY})
+    WHERE substr(region_code, 1, 5) IN ({_CODE_LIST}) AND year(date) BETWEEN 1997 AND 2000
+  UNION ALL SELECT 'province', date, '', region_name, yoy_pct FROM ({_PROVINCE_YOY})
+    WHERE region_name IN ('서울', '충남') AND year(date) BETWEEN 1996 AND 2001""", "sale_index")
+def _(v):
+    district = I.timeseries_district("yoy", v.sale_index, _CODES, 1997, 2000, _made(v))
+    province = I.timeseries_province("yoy", v.sale_index, ["서울", "충남"], 1996, 2001, _made(v))
+    return district.withColumn("kind", F.lit("district")).unionByName(
+        province.withColumn("kind", F.lit("province")))
+
+
+@query("yoy_date_range_precomputed", f"SELECT {_BOUNDS} FROM ({_SALE_YOY})", "sale_index")
+def _(v):
+    return X.yoy_date_range(v.sale_index, _made(v))
+
+
+@query("table_or_fallback_table", f"SELECT date, region_code, yoy_pct FROM ({_SALE_YOY})", "sale_index")
+def _(v):
+    """The table is there, so what would be computed instead (nothing) is not."""
+    from danji.sources.tables import table_or_fallback
+
+    name = f"sale_index_yoy_{abs(hash(v.sf_dir))}"
+    _made(v).createOrReplaceTempView(name)
+    rows = table_or_fallback(v.spark, name, lambda: v.sale_index.limit(0))
+    return rows.filter("level = '시군구'").select("date", "region_code", "yoy_pct")
+
+
 _MONTHS = [f"{y}-{m:02d}" for y in range(1996, 2002) for m in range(1, 13)]
 
 

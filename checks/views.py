@@ -187,22 +187,22 @@ class Views:
         )
 
     def _monthly(self, located: DataFrame, amount: str) -> DataFrame:
-        """Sums per district and month, then also per province, with region code and name."""
-        keys = ["n_regionkey", "short_name", "ym"]
-        per_district = located.groupBy("sig_cd", "district", *keys).agg(
+        """Means per district and month and per province and month, with region code and name.
+
+        Trades are summed per district once; each sum then counts for its district and its province.
+        """
+        per_district = located.groupBy("sig_cd", "district", "n_regionkey", "short_name", "ym").agg(
             F.sum(amount).alias("total"), F.count("*").alias("n")
         )
-        per_province = per_district.groupBy(*keys).agg(
-            F.sum("total").alias("total"), F.sum("n").alias("n")
+        both = per_district.selectExpr(
+            "ym", "total", "n",
+            """inline(array(named_struct('region_code', concat(sig_cd, '00000'), 'region_name', district),
+                 named_struct('region_code', concat(n_regionkey + 11, '00000000'), 'region_name', short_name)))""",
         )
-        date, mean = "make_date(CAST(ym div 100 AS INT), ym % 100, 1) AS date", "total / n AS mean"
-        return per_district.selectExpr(
-            "concat(sig_cd, '00000') AS region_code", "district AS region_name", date, mean
-        ).unionByName(
-            per_province.selectExpr(
-                "concat(n_regionkey + 11, '00000000') AS region_code",
-                "short_name AS region_name", date, mean,
-            )
+        return both.groupBy("region_code", "region_name", "ym").agg(
+            (F.sum("total") / F.sum("n")).alias("mean")
+        ).selectExpr(
+            "region_code", "region_name", "make_date(CAST(ym div 100 AS INT), ym % 100, 1) AS date", "mean"
         )
 
     def _index(self, located: DataFrame, amount: str) -> DataFrame:

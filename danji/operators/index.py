@@ -39,9 +39,7 @@ def yoy_point_join(index: DataFrame, year: int, month: int) -> DataFrame:
     )
 
 
-def yoy_self_join(index: DataFrame, level: str, wanted: Iterable[str] | None = None) -> DataFrame:
-    """Change of every month against the same month a year before, by region."""
-    rows = index_monthly(index, level, wanted)
+def _yoy(rows: DataFrame) -> DataFrame:
     before = rows.filter("value > 0").select(
         "region_code", F.add_months("date", 12).alias("date"), F.col("value").alias("before")
     )
@@ -50,6 +48,11 @@ def yoy_self_join(index: DataFrame, level: str, wanted: Iterable[str] | None = N
     )
 
 
+def yoy_self_join(index: DataFrame, level: str, wanted: Iterable[str] | None = None) -> DataFrame:
+    """Change of every month against the same month a year before, by region."""
+    return _yoy(index_monthly(index, level, wanted))
+
+
 def series(rows: DataFrame, level: str, value: str) -> DataFrame:
     """(date, sig_cd, region_name, value); province rows have an empty code."""
     code = F.lit("") if level == LEVEL_PROVINCE else R.district_code(F.col("region_code"))
@@ -146,7 +149,9 @@ def color_scale_bounds(rows: DataFrame, value: str) -> DataFrame:
 
 
 def precomputed_yoy(index: DataFrame) -> DataFrame:
-    """The optional table of year-over-year values, for both levels."""
-    return yoy_self_join(index, LEVEL_DISTRICT).withColumn("level", F.lit(LEVEL_DISTRICT)).unionByName(
-        yoy_self_join(index, LEVEL_PROVINCE).withColumn("level", F.lit(LEVEL_PROVINCE))
-    ).select("date", "region_code", "region_name", "level", "yoy_pct")
+    """The optional table of year-over-year values, for both levels by one self join."""
+    rows = index.filter(filters.index_rows()).select(
+        "date", "region_code", "region_name", F.col("index_value").cast("double").alias("value")
+    )
+    level = F.when(R.is_province_code(F.col("region_code")), LEVEL_PROVINCE).otherwise(LEVEL_DISTRICT)
+    return _yoy(rows).withColumn("level", level).select("date", "region_code", "region_name", "level", "yoy_pct")

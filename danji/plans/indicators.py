@@ -62,7 +62,8 @@ def _timeseries(kind, level, table, precomputed, wanted, first, last) -> DataFra
     if kind != "yoy":
         return None
     if precomputed is None:
-        return X.series(X.yoy_self_join(table, level, wanted).filter(years), level, "yoy_pct")
+        near = table.filter(filters.year_between(F.col("date"), first - 1, last))
+        return X.series(X.yoy_self_join(near, level, wanted).filter(years), level, "yoy_pct")
     rows = precomputed.filter((F.col("level") == level) & years)
     if wanted is not None:
         key = "region_name" if level == LEVEL_PROVINCE else R.district_code(F.col("region_code"))
