@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from danji.llm.common import ascii_lower
+from danji.llm.common import ascii_lower, cut
 
 
 @dataclass(frozen=True)
@@ -68,10 +68,11 @@ def host_reputation(hosts: DataFrame, z: float) -> DataFrame:
     label), that toward all pages. How strongly is estimated at each level from all its units. The
     bound is the posterior mean less z posterior deviations.
     """
-    counted = hosts.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k")).withColumns({
+    # A row per host; kept, since every level and its prior are made of it.
+    counted = cut(hosts.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k")).withColumns({
         "domain": F.regexp_extract("host", r"([^.]*\.)?[^.]*$", 0),
         "suffix": F.regexp_extract("host", r"[^.]*$", 0),
-    })
+    }))
     sums = [F.sum("n").alias("n"), F.sum("k").alias("k")]
     domains = counted.groupBy("domain", "suffix").agg(*sums)
     suffixes = domains.groupBy("suffix").agg(*sums)

@@ -25,8 +25,10 @@ MOST_MATCHES = 8
 VERIFY = 50.0
 #: A list of so many sets is still paired; a longer one makes a family.
 LIST = 16
-#: Documents of a block in verification; a task holds two blocks.
+#: Documents, and shingles, of a block in verification, about; a task holds two blocks. A set of more
+#: shingles is a block of its own.
 BLOCK = 384
+BLOCK_SHINGLES = 2_000_000
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -232,20 +234,22 @@ def _verified(families: DataFrame, docs: DataFrame, width: int, percent: int) ->
     """Links (a, b) of each family, enough of them to connect what is connected.
 
     families: doc_id, n, family. A family small enough is one block. A larger one is cut into bands of
-    lengths, such that linked sets are in the same band or neighbours, and bands into blocks of about
-    BLOCK; every pair of blocks that can hold a link is a group of its own, and a task holds one.
+    lengths, such that linked sets are in the same band or neighbours, and bands into blocks bounded in
+    sets and shingles; every pair of blocks that can hold a link is a group of its own, and a task holds one.
     """
     wide = math.log(100 / percent) * 1.0001
     banded = families.withColumn("band", F.floor(F.log("n") / wide).cast("int"))
-    sizes = cut(banded.groupBy("family", "band").agg(F.count("*").alias("k")))
-    whole = sizes.groupBy("family").agg(F.sum("k").alias("whole")).where("whole > 1")
-    blocks = sizes.withColumn("blocks", F.expr(f"int(ceil(k / {BLOCK}))")).select("family", "band", "blocks")
+    sizes = cut(banded.groupBy("family", "band").agg(F.count("*").alias("k"), F.sum("n").alias("shingles")))
+    fits = f"sum(k) <= {BLOCK} and sum(shingles) <= {BLOCK_SHINGLES}"
+    whole = sizes.groupBy("family").agg(F.sum("k").alias("k"), F.expr(fits).alias("whole")).where("k > 1").drop("k")
+    most = f"greatest(k / {BLOCK}, shingles / {BLOCK_SHINGLES})"
+    blocks = sizes.withColumn("blocks", F.expr(f"int(ceil({most}))")).select("family", "band", "blocks")
     placed = banded.join(whole, "family").join(blocks, ["family", "band"])
     for name, step in (("below", -1), ("above", 1)):
         near = blocks.select("family", (F.col("band") - step).alias("band"), F.col("blocks").alias(name))
         placed = placed.join(near, ["family", "band"], "left")
     block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    keys = F.when(F.col("whole") <= BLOCK, F.expr("array(struct(0 as p, 0 as i, 0 as j, false as right))")).otherwise(F.expr("""
+    keys = F.when(F.col("whole"), F.expr("array(struct(0 as p, 0 as i, 0 as j, false as right))")).otherwise(F.expr("""
         concat(
             transform(sequence(0, blocks - 1), o -> struct(band as p, least(o, block) as i, greatest(o, block) as j, o < block as right)),
             if(above is null, array(), transform(sequence(0, above - 1), o -> struct(band as p, block as i, 1000000 + o as j, false as right))),
