@@ -28,12 +28,14 @@ LIST = 16
 #: Documents, and shingles, of a block in verification, about; a task holds two blocks. A set of more
 #: shingles is a block of its own.
 BLOCK = 384
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 1_000_000
+#: Marks by which texts are picked for verification: a megabyte as bits, eight as bytes.
+FILTER = 1 << 23
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(maxsize=400_000)
+@lru_cache(maxsize=200_000)
 def _word_hash(word: str) -> int:
     return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
 
@@ -70,6 +72,23 @@ def shingle_sets(texts: pa.Array, width: int):
             yield np.zeros(0, np.uint64)
 
 
+def _gaps(keys: np.ndarray) -> bytes:
+    """Rising 32-bit numbers as gaps, byte by byte: their high bytes are zeros and compress."""
+    return np.diff(keys, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _rising(blob: bytes) -> np.ndarray:
+    gaps = np.frombuffer(blob, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()
+    return np.cumsum(gaps, dtype=np.uint32)
+
+
+def _by_bucket(shingles: np.ndarray, buckets: int):
+    """(order, 32-bit keys in that order, edges): shingles by bucket, rising within each."""
+    bucket = (shingles % np.uint64(buckets)).astype(np.int32)
+    order = np.lexsort((shingles, bucket))
+    return order, (shingles >> np.uint64(32)).astype(np.uint32)[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
@@ -90,22 +109,16 @@ def frequent_shingles(docs: DataFrame, width: int, text_bytes: int) -> tuple[np.
             for step in steps(batch, 1):
                 sets = list(shingle_sets(step.column(1), width))
                 every = np.concatenate([np.zeros(0, np.uint64), *sets])
-                every.sort()
-                bucket = (every % np.uint64(buckets)).astype(np.int32)
-                order = np.argsort(bucket, kind="stable")
-                edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                high = (every >> np.uint64(32)).astype(np.uint32)[order]
+                _, keys, edges = _by_bucket(every, buckets)
                 full = np.flatnonzero(np.diff(edges)).tolist()
-                # Gaps between sorted keys, byte by byte: their high bytes are zeros and compress.
-                blobs = [np.diff(high[edges[b] : edges[b + 1]], prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes() for b in full]
+                blobs = [_gaps(keys[edges[b] : edges[b + 1]]) for b in full]
                 yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "keys"])
 
     def add(batches):
         held: dict[int, list] = {}
         for batch in batches:
             for b, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                gaps = np.frombuffer(blob, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()
-                held.setdefault(b, []).append(np.cumsum(gaps, dtype=np.uint32))
+                held.setdefault(b, []).append(_rising(blob))
         for b, found in held.items():
             keys, n = np.unique(np.concatenate(found), return_counts=True)
             often = n >= LEAST_FREQUENT
@@ -132,24 +145,31 @@ def frequent_shingles(docs: DataFrame, width: int, text_bytes: int) -> tuple[np.
 
 
 def prefixes(docs: DataFrame, width: int, percent: int, frequent) -> DataFrame:
-    """One row per document: doc_id, n, digest, matches, prefix, hot.
+    """Two kinds of rows: of documents (doc_id, n, digest, node, hot), and of prefix entries (bucket, keys, ...).
 
     The global order of shingles: rarer classes first, then by hash. For a demand of m matches the
     prefix has n - ceil(t n) + m shingles: two sets of similarity t or more share m of the smaller
     demand in them. The demand is chosen by estimated cost, the entries of the lists the prefix
     reads and VERIFY for each candidate that is left, the documents a class stands for being taken
     as the list's length; a document of frequent shingles so demands more of them.
-    hot: frequent shingles in the prefix; prefix: the others.
+
+    node stands for the set: 63 bits of its digest, so equal sets are one node from the start. hot:
+    the frequent shingles of the prefix. The others become entries, by bucket: 32 bits of each shingle's
+    hash, and the place of its set among the bucket's nodes, sizes and demands. Shingles that share these
+    bits and the bucket only make candidates that verification refuses.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
         code, classes, buckets = shared.value
         for batch in batches:
-            ids, ns, digests, demands, rare, hot = [], [], [], [], [], []
             for step in steps(batch, 1):
+                ids, ns, digests, nodes, demands, rare, hot = [], [], [], [], [], [], []
                 for doc, s in zip(step.column(0).to_pylist(), shingle_sets(step.column(1), width)):
-                    n = len(s)
+                    n, m = len(s), 0
+                    digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+                    hot.append(np.zeros(0, np.int64))
+                    rare.append(np.zeros(0, np.uint64))
                     if n:
                         mine = (s >> np.uint64(32)) * np.uint64(buckets) + s % np.uint64(buckets)
                         at = np.minimum(np.searchsorted(code, mine), max(len(code) - 1, 0))
@@ -157,8 +177,7 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent) -> DataFrame:
                         order = np.lexsort((s, rank))
                         need = -(-percent * n // 100)
                         most = min(MOST_MATCHES, need)
-                        longest = order[: n - need + most]
-                        lists = np.exp2(rank[longest].astype(float))
+                        lists = np.exp2(rank[order[: n - need + most]].astype(float))
                         read = np.cumsum(lists)[n - need :]
                         demand = np.arange(1, most + 1)
                         m = int(np.argmin(read + VERIFY * read / demand**2)) + 1
@@ -166,46 +185,79 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent) -> DataFrame:
                             m = max(2, m)
                         chosen = order[: n - need + m]
                         often = rank[chosen] > 0
-                        rare.append(s[chosen[~often]].view(np.int64))
-                        hot.append(s[chosen[often]].view(np.int64))
-                    else:
-                        m = 0
-                        rare.append(np.zeros(0, np.int64))
-                        hot.append(np.zeros(0, np.int64))
+                        rare[-1] = s[chosen[~often]]
+                        hot[-1] = s[chosen[often]].view(np.int64)
                     ids.append(doc)
                     ns.append(n)
+                    digests.append(digest)
+                    nodes.append(int.from_bytes(digest[:8], "little") >> 1)
                     demands.append(m)
-                    digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(ns, pa.int32()), pa.array(digests, pa.binary()), pa.array(demands, pa.int32()),
-                 pa.array(rare, pa.list_(pa.int64())), pa.array(hot, pa.list_(pa.int64()))],
-                ["doc_id", "n", "digest", "matches", "prefix", "hot"],
-            )
+                count = len(ids)
+                # Equal sets of a step need one entry each.
+                node, first, of = np.unique(np.asarray(nodes, np.int64), return_index=True, return_inverse=True)
+                rare = [r if first[of[i]] == i else r[:0] for i, r in enumerate(rare)]
+                every = np.concatenate(rare)
+                owner = np.repeat(np.arange(count), [len(r) for r in rare])
+                order, keys, edges = _by_bucket(every, buckets)
+                owner = owner[order]
+                full = np.flatnonzero(np.diff(edges)).tolist()
+                blobs = {"keys": [], "place": [], "nodes": [], "sizes": [], "demands": []}
+                all_n, all_m = np.asarray(ns, np.int32), np.asarray(demands, np.int8)
+                all_nodes = np.asarray(nodes, np.int64)
+                for b in full:
+                    here, place = np.unique(owner[edges[b] : edges[b + 1]], return_inverse=True)
+                    blobs["keys"].append(_gaps(keys[edges[b] : edges[b + 1]]))
+                    blobs["place"].append(place.astype(np.uint16 if len(here) < 1 << 16 else np.uint32).tobytes())
+                    blobs["nodes"].append(all_nodes[here].tobytes())
+                    blobs["sizes"].append(all_n[here].tobytes())
+                    blobs["demands"].append(all_m[here].tobytes())
+                none, more = [None] * len(full), [None] * count
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(ids + none, pa.int64()), pa.array(ns + none, pa.int32()), pa.array(digests + none, pa.binary()),
+                        pa.array(nodes + none, pa.int64()), pa.array(hot + none, pa.list_(pa.int64())), pa.array(more + full, pa.int32()),
+                        *[pa.array(more + blobs[c], pa.binary()) for c in blobs],
+                    ],
+                    ["doc_id", "n", "digest", "node", "hot", "bucket", *blobs],
+                )
 
-    return docs.mapInArrow(run, "doc_id bigint, n int, digest binary, matches int, prefix array<bigint>, hot array<bigint>")
+    return docs.mapInArrow(
+        run, "doc_id bigint, n int, digest binary, node bigint, hot array<bigint>, bucket int, "
+             "keys binary, place binary, nodes binary, sizes binary, demands binary"
+    )
 
 
 def _node(shingle):
-    """A shingle's own node in the graph of families; should two meet, a family is larger than need be."""
-    return -(np.abs(shingle // 2)) - 2
+    """A shingle's own node in the graph of families, below those of sets."""
+    return -shingle - 2
 
 
-def _candidates(reps: DataFrame, percent: int, rows: int) -> DataFrame:
+def _candidates(entries: DataFrame, percent: int, buckets: int) -> DataFrame:
     """Edges (a, b) between sets that share enough of their prefixes' rare shingles.
 
     Only lists of up to LIST sets become pairs, so there are at most LIST / 2 pairs to a row,
     however large the corpus. A longer list, which is still shorter than the bound that makes a shingle
     frequent, joins its sets to a family through a node of its own, as a frequent shingle does.
     """
-    many = max(shuffle_partitions(reps.sparkSession), rows // 1_000_000)
-    entries = reps.select(F.explode("prefix").alias("shingle"), "doc_id", "n", "matches")
 
     def pair(batches):
-        batches = [b for b in batches if b.num_rows]
-        if not batches:
-            return
-        shingle, doc, n, m = (np.concatenate([b.column(i).to_numpy() for b in batches]) for i in range(4))
+        held: dict[int, list] = {}
+        for batch in batches:
+            for bucket, keys, place, nodes, sizes, demands in zip(*(c.to_pylist() for c in batch.columns)):
+                nodes = np.frombuffer(nodes, np.int64)
+                place = np.frombuffer(place, np.uint16 if len(nodes) < 1 << 16 else np.uint32)
+                held.setdefault(bucket, []).append((
+                    _rising(keys), nodes[place], np.frombuffer(sizes, np.int32)[place], np.frombuffer(demands, np.int8)[place].astype(np.int32)
+                ))
+        for bucket in list(held):
+            key, node, n, m = (np.concatenate(x) for x in zip(*held.pop(bucket)))
+            yield from paired(key.astype(np.int64) * buckets + bucket, node, n, m)
+
+    def paired(shingle, doc, n, m):
         order = np.lexsort((doc, n, shingle))
+        # A set that several steps hold counts once in a list.
+        same = (np.diff(shingle[order]) == 0) & (np.diff(doc[order]) == 0)
+        order = order[np.concatenate([[True], ~same])]
         shingle, doc, n, m = shingle[order], doc[order], n[order], m[order]
         _, number, length = np.unique(shingle, return_inverse=True, return_counts=True)
         long = length[number] > LIST
@@ -226,10 +278,32 @@ def _candidates(reps: DataFrame, percent: int, rows: int) -> DataFrame:
                 )
             gap += 1
 
-    pairs = entries.repartition(many, "shingle").mapInArrow(pair, "a bigint, b bigint, m int")
+    sent = entries.select("bucket", "keys", "place", "nodes", "sizes", "demands").repartition(buckets, "bucket")
+    pairs = sent.mapInArrow(pair, "a bigint, b bigint, m int")
     return pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("m").alias("m")).where("shared >= m").select("a", "b")
 
 
+def _bit(ids: np.ndarray) -> np.ndarray:
+    return (_mixed(ids.astype(np.int64).view(np.uint64)) % np.uint64(FILTER)).astype(np.int64)
+
+
+def _bitmap(rows: DataFrame) -> np.ndarray:
+    """Marks for the ids of rows, at most FILTER bytes however many rows: others may share a mark.
+
+    Texts are picked by it where they are read, so that they need not be shuffled to be picked.
+    """
+    def mark(batches):
+        marks = np.zeros(FILTER, bool)
+        for batch in batches:
+            marks[_bit(batch.column(0).to_numpy())] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(marks).tobytes()], pa.binary())], ["marks"])
+
+    marks = np.zeros(FILTER // 8, np.uint8)
+    for row in rows.select("doc_id").distinct().coalesce(4).mapInArrow(mark, "marks binary").collect():
+        marks |= np.frombuffer(row["marks"], np.uint8)
+    return np.unpackbits(marks)
+
+
 def _verified(families: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) of each family, enough of them to connect what is connected.
 
@@ -257,12 +331,12 @@ def _verified(families: DataFrame, docs: DataFrame, width: int, percent: int) ->
         )"""))
     placed = placed.withColumn("block", block).select("doc_id", "family", F.explode(keys).alias("key"))
     placed = cut(placed.select("doc_id", "family", "key.p", "key.i", "key.j", "key.right"))
-    needed = placed.select(F.col("doc_id").alias("need")).distinct()
-    texts = docs.join(needed, docs["doc_id"] == needed["need"], "left_semi")
+    chosen = docs.sparkSession.sparkContext.broadcast(_bitmap(placed))
 
     def sets(batches):
         for batch in batches:
-            for step in steps(batch, 1):
+            hit = chosen.value[_bit(batch.column(0).to_numpy())] > 0
+            for step in steps(batch.filter(pa.array(hit)), 1):
                 found = [s.tobytes() for s in shingle_sets(step.column(1), width)]
                 yield pa.RecordBatch.from_arrays([step.column(0), pa.array(found, pa.binary())], ["doc_id", "shingles"])
 
@@ -270,7 +344,7 @@ def _verified(families: DataFrame, docs: DataFrame, width: int, percent: int) ->
         sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
         return _links(group["doc_id"].to_numpy(), sets, group["right"].to_numpy(), group["i"].iloc[0] == group["j"].iloc[0], percent)
 
-    shingled = cut(texts.mapInArrow(sets, "doc_id bigint, shingles binary"))
+    shingled = docs.mapInArrow(sets, "doc_id bigint, shingles binary")
     return placed.join(shingled, "doc_id").groupBy("family", "p", "i", "j").applyInPandas(link, "a bigint, b bigint")
 
 
@@ -335,24 +409,22 @@ def similar_components(
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     frequent = frequent_shingles(texts, width, size)
     table = cut(prefixes(texts, width, percent, frequent))
-    with_words = table.where("n > 0 and doc_id is not null")
+    docs_of = table.where("bucket is null").select("doc_id", "n", "digest", "node", "hot")
+    with_words = docs_of.where("n > 0 and doc_id is not null")
     reps = with_words.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    # An id with several texts stands for each of them.
-    chosen = cut(
-        with_words.join(reps.withColumnRenamed("rep", "doc_id"), ["doc_id", "digest"], "left_semi")
-        .select("doc_id", "n", "matches", "prefix", "hot").distinct()
-    )
-    rows = chosen.agg(F.sum(F.size("prefix"))).first()[0] or 0
-    pairs = _candidates(chosen, percent, rows)
-    # As _node().
-    hot = chosen.select(F.explode("hot").alias("h"), "doc_id").select((-F.expr("abs(h div 2)") - 2).alias("a"), F.col("doc_id").alias("b"))
+    pairs = _candidates(table.where("bucket is not null"), percent, frequent[2])
+    # As _node(), by the shingle's hash.
+    shingle = F.expr("(h >> 1) & 9223372036854775807")
+    hot = with_words.select(F.explode("hot").alias("h"), "node").distinct().select((-shingle - 2).alias("a"), F.col("node").alias("b"))
     edges = pairs.unionAll(hot) if len(frequent[0]) else pairs
-    family = connected_components(edges).select(F.col("node").alias("doc_id"), F.col("root").alias("family"))
-    families = cut(chosen.select("doc_id", "n").join(family, "doc_id"))
+    family = connected_components(edges).select("node", F.col("root").alias("family"))
+    # One document stands for a node; rows are counted per node before they are joined.
+    nodes = with_words.groupBy("node").agg(F.min(F.struct("doc_id", "n")).alias("d")).select("node", "d.doc_id", "d.n")
+    families = cut(nodes.join(family, "node").select("doc_id", "n", "family"))
     links = cut(_verified(families, texts.where("doc_id is not null"), width, percent))
     copies = with_words.join(reps, "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     roots = connected_components(links.unionAll(copies)).withColumnsRenamed({"node": "doc_id", "root": "component_id"})
-    return table.select("doc_id", F.col("n").cast("bigint").alias("n_shingles")).join(roots, "doc_id", "left").select(
+    return docs_of.select("doc_id", F.col("n").cast("bigint").alias("n_shingles")).join(roots, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
 

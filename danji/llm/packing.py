@@ -25,7 +25,7 @@ LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: Marks that are taken off the end of a word.
 ENDS = (".", ",")
 #: Words a worker remembers in each of two generations.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Pieces of one length that are ranked together.
 RANKED = 20_000
 

@@ -16,7 +16,7 @@ from danji.llm.words import by_space, parts, steps
 
 MARK = "▁"
 #: Words a worker remembers in each of two generations; older ones are merged again.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 
 class WordCounts(dict):

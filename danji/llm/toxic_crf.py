@@ -58,7 +58,7 @@ class Field:
         got = self.emissions.get(word)
         if got is None:
             got = sum(self.weights.get(f, 0.0) for f in features(word))
-            if len(self.emissions) > 500_000:
+            if len(self.emissions) > 200_000:
                 self.emissions.clear()
             self.emissions[word] = got
         return got
