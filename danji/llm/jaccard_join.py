@@ -18,13 +18,11 @@ from danji.llm.words import parts, steps
 #: Shingles that may be called frequent at most: what is broadcast is this many 8-byte hashes and classes.
 MOST_FREQUENT = 1 << 20
 #: The fewest documents that make a shingle frequent.
-LEAST_FREQUENT = 32
+LEAST_FREQUENT = 16
 #: A document's prefix is lengthened to demand at most so many matches.
 MOST_MATCHES = 8
 #: Cost of verifying a candidate, in list entries read.
 VERIFY = 50.0
-#: A list of so many sets is still paired; a longer one makes a family.
-LIST = 16
 #: Documents, and shingles, of a block in verification, about; a task holds two blocks. A set of more
 #: shingles is a block of its own.
 BLOCK = 384
@@ -100,7 +98,8 @@ def frequent_shingles(docs: DataFrame, width: int, text_bytes: int) -> tuple[np.
     keys of a bucket, to the bucket's task, which adds up. Keys hold 32 bits of the hash beside the
     bucket's, so in a large corpus a class may be too high by a rare collision: it only orders the
     shingles, and any order gives the same links. A shingle is frequent in at least LEAST_FREQUENT
-    documents and more than a MOST_FREQUENT-th of all; so there are no more than MOST_FREQUENT.
+    documents, or in more where that would be more than MOST_FREQUENT shingles: the least number that
+    is a power of two and leaves no more.
     """
     buckets = max(shuffle_partitions(docs.sparkSession), math.ceil(text_bytes / (64 << 20)))
 
@@ -124,20 +123,21 @@ def frequent_shingles(docs: DataFrame, width: int, text_bytes: int) -> tuple[np.
             often = n >= LEAST_FREQUENT
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(often.sum(), b, np.int32)), pa.array(keys[often].astype(np.int64)),
-                 pa.array(n[often].astype(np.int64)), pa.array(np.full(often.sum(), 0, np.int64))],
-                ["bucket", "key", "n", "total"],
-            )
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b], pa.int32()), pa.array([None], pa.int64()), pa.array([0], pa.int64()), pa.array([int(n.sum())], pa.int64())],
-                ["bucket", "key", "n", "total"],
+                 pa.array(n[often].astype(np.int64))],
+                ["bucket", "key", "n"],
             )
 
     counted = cut(
         docs.mapInArrow(count, "bucket int, keys binary").repartition(buckets, "bucket")
-        .mapInArrow(add, "bucket int, key bigint, n bigint, total bigint")
+        .mapInArrow(add, "bucket int, key bigint, n bigint")
     )
-    total = counted.agg(F.sum("total").alias("t")).first()["t"] or 0
-    often = counted.where(f"key is not null and n > {total // MOST_FREQUENT}").select("bucket", "key", "n").toPandas()
+    # At most 63 classes: how many shingles each holds.
+    held = {r["c"]: r["k"] for r in counted.groupBy(F.floor(F.log2("n")).alias("c")).agg(F.count("*").alias("k")).collect()}
+    least, room = 63, MOST_FREQUENT
+    while least > 0 and held.get(least - 1, 0) <= room:
+        least -= 1
+        room -= held.get(least, 0)
+    often = counted.where(F.floor(F.log2("n")) >= least).toPandas()
     code = often["key"].to_numpy(np.uint64) * np.uint64(buckets) + often["bucket"].to_numpy(np.uint64)
     order = np.argsort(code)
     classes = np.log2(np.maximum(often["n"].to_numpy(float), 1)).astype(np.uint8)
@@ -153,8 +153,13 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent) -> DataFrame:
     reads and VERIFY for each candidate that is left, the documents a class stands for being taken
     as the list's length; a document of frequent shingles so demands more of them.
 
-    node stands for the set: 63 bits of its digest, so equal sets are one node from the start. hot:
-    the frequent shingles of the prefix. The others become entries, by bucket: 32 bits of each shingle's
+    Frequent shingles have no lists. hot are those in the prefix for a demand of one: two similar
+    sets share a shingle of these prefixes, so they share a hot one, which makes them a family, or
+    a rare one. In the second case they also share as many rare ones as the smaller of their demands,
+    each less the frequent shingles in its own prefix, and at least one; this is the entries' demand.
+
+    node stands for the set: 63 bits of its digest, so equal sets are one node from the start. The
+    rare shingles of the prefix become entries, by bucket: 32 bits of each shingle's
     hash, and the place of its set among the bucket's nodes, sizes and demands. Shingles that share these
     bits and the bucket only make candidates that verification refuses.
     """
@@ -186,7 +191,8 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent) -> DataFrame:
                         chosen = order[: n - need + m]
                         often = rank[chosen] > 0
                         rare[-1] = s[chosen[~often]]
-                        hot[-1] = s[chosen[often]].view(np.int64)
+                        hot[-1] = s[chosen[: n - need + 1][often[: n - need + 1]]].view(np.int64)
+                        m = max(1, m - int(often.sum()))
                     ids.append(doc)
                     ns.append(n)
                     digests.append(digest)
@@ -227,17 +233,11 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent) -> DataFrame:
     )
 
 
-def _node(shingle):
-    """A shingle's own node in the graph of families, below those of sets."""
-    return -shingle - 2
-
-
 def _candidates(entries: DataFrame, percent: int, buckets: int) -> DataFrame:
     """Edges (a, b) between sets that share enough of their prefixes' rare shingles.
 
-    Only lists of up to LIST sets become pairs, so there are at most LIST / 2 pairs to a row,
-    however large the corpus. A longer list, which is still shorter than the bound that makes a shingle
-    frequent, joins its sets to a family through a node of its own, as a frequent shingle does.
+    A rare shingle stands in fewer documents than make it frequent, so an entry is in fewer pairs
+    than that.
     """
 
     def pair(batches):
@@ -259,12 +259,6 @@ def _candidates(entries: DataFrame, percent: int, buckets: int) -> DataFrame:
         same = (np.diff(shingle[order]) == 0) & (np.diff(doc[order]) == 0)
         order = order[np.concatenate([[True], ~same])]
         shingle, doc, n, m = shingle[order], doc[order], n[order], m[order]
-        _, number, length = np.unique(shingle, return_inverse=True, return_counts=True)
-        long = length[number] > LIST
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(_node(shingle[long])), pa.array(doc[long]), pa.array(np.zeros(long.sum(), np.int32))], ["a", "b", "m"]
-        )
-        shingle, doc, n, m = shingle[~long], doc[~long], n[~long], m[~long]
         left = np.arange(len(shingle))
         gap = 1
         while len(left):
@@ -396,7 +390,7 @@ def similar_components(
 
     Equal sets are one from the start (a digest, combined on the map side). The sets' adaptive
     prefixes find candidates by their rare shingles, which must share as many as the smaller demand;
-    frequent shingles of a prefix, and rare ones with long lists, join their documents to a family. Families, the components of
+    frequent shingles of a prefix join their documents to a family. Families, the components of
     both, are verified block by block with exact intersections, of which a spanning forest
     is kept: a group of near copies never becomes all its pairs of rows.
 
@@ -413,7 +407,7 @@ def similar_components(
     with_words = docs_of.where("n > 0 and doc_id is not null")
     reps = with_words.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     pairs = _candidates(table.where("bucket is not null"), percent, frequent[2])
-    # As _node(), by the shingle's hash.
+    # A frequent shingle is a node of its own, below those of sets.
     shingle = F.expr("(h >> 1) & 9223372036854775807")
     hot = with_words.select(F.explode("hot").alias("h"), "node").distinct().select((-shingle - 2).alias("a"), F.col("node").alias("b"))
     edges = pairs.unionAll(hot) if len(frequent[0]) else pairs
