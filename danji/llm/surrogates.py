@@ -11,7 +11,8 @@ from danji.llm.common import cut
 #: can begin with, so that a pattern fails at once elsewhere, and no pattern reads a word again.
 NAME = r"[\p{Lu}][\p{L}'’-]+"
 KINDS = {
-    "email": r"(?=[A-Za-z0-9])(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}",
+    # Read from the first sign of its run, or where the mention before ends; leading signs are not its own.
+    "email": r"(?=[A-Za-z0-9._%+-])(?:\G|(?<![A-Za-z0-9._%+-]))[._%+-]*+[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}",
     "ip": r"(?=\d)(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
     "iban": r"(?=[A-Z]{2}\d)(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "ssn": r"(?=\d)(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
@@ -22,7 +23,9 @@ KINDS = {
     "man": rf"(?=[MHSГ])(?<!\p{{L}})(?:Mr\.?|Monsieur|Herr|Señor|Sr\.|Г-н|Господин) {NAME}(?: {NAME})?",
 }
 #: Any of them, where one can begin.
-ANY = r"(?=[A-Za-z0-9+(Г])(?:" + "|".join(f"(?:{p})" for p in KINDS.values()) + ")"
+ANY = r"(?=[A-Za-z0-9._%+(Г-])(?:" + "|".join(f"(?:{p})" for p in KINDS.values()) + ")"
+#: Signs before an address, which stay as they are.
+LEADING = r"^[._%+-]*"
 #: Given names by gender and script; surnames are made of syllables, so they do not run out.
 GIVEN = {
     ("woman", "latin"): ["Alma", "Berta", "Clara", "Dora", "Edna", "Flora", "Greta", "Hilda"],
@@ -48,7 +51,7 @@ def canonical(kind: Column, mention: Column) -> Column:
     """What is the same entity in different spellings: case of an address, separators of a number."""
     name = F.regexp_replace(mention, r"^\S+ ", "")
     return (
-        F.when(kind == "email", F.lower(mention))
+        F.when(kind == "email", F.lower(F.regexp_replace(mention, LEADING, "")))
         .when(kind.isin("phone", "card", "ssn"), F.concat(F.when(mention.startswith("+"), "+").otherwise(""), _digits(mention)))
         .when(kind == "iban", F.replace(mention, F.lit(" "), F.lit("")))
         .when(kind.isin("woman", "man"), name)
@@ -134,7 +137,8 @@ def in_format(kind: Column, mention: Column, stand_in: Column) -> Column:
     return (
         F.when(kind.isin("phone", "card", "ssn", "iban"), numbered)
         .when(kind.isin("woman", "man"), F.concat(F.regexp_extract(mention, r"^\S+ ", 0), stand_in))
-        .when((kind == "email") & (mention == F.upper(mention)), F.upper(stand_in))
+        .when(kind == "email", F.concat(
+            F.regexp_extract(mention, LEADING, 0), F.when(mention == F.upper(mention), F.upper(stand_in)).otherwise(stand_in)))
         .otherwise(stand_in)
     )
 

@@ -188,6 +188,19 @@ def test_surrogates_are_consistent(spark):
     assert got[5] == ["nothing here 12345"] and got[6] == [""] and got[7] == [None] and "bob" not in got[None][0]
 
 
+def test_addresses_after_signs_and_mentions(spark):
+    signs = [*"._%+-", "__", "..", "-" * 300]
+    rows = [*((i, f"x {sign}ann@mail.org{'__' if sign == '__' else ''} y") for i, sign in enumerate(signs)), (100, "ann@mail.org")]
+    rows += [(200, "ann@mail.org-ann@mail.org_ann@mail.org"), (201, "+1 (974) 555-3436.ann@mail.org")]
+    got = {r["doc_id"]: (r["text"], r["n_entities"]) for r in rows_of(replace_entities(documents(spark, rows), "key"))}
+    new = got[100][0]
+    assert re.fullmatch(r"[a-z]{3}@example\.org", new) and new != "ann@mail.org"
+    for i, sign in enumerate(signs):
+        assert got[i] == (f"x {sign}{new}{'__' if sign == '__' else ''} y", 1)
+    assert got[200] == (f"{new}-{new}_{new}", 3)
+    assert got[201][1] == 2 and got[201][0].endswith(f".{new}")
+
+
 def test_surrogates_stay_distinct(spark):
     rows = [(i, f"10.0.{i // 256}.{i % 256} a{i}@mail.example.com") for i in range(3000)]
     got = [r["text"] for r in rows_of(replace_entities(documents(spark, rows), "key"))]
