@@ -24,6 +24,8 @@ KINDS = {
 }
 #: Any of them, where one can begin.
 ANY = r"(?=[A-Za-z0-9._%+(Г-])(?:" + "|".join(f"(?:{p})" for p in KINDS.values()) + ")"
+#: From this turn on a telephone or social security number that still collides gets so many more digits.
+WIDER_TURN, MORE_DIGITS = 6, 8
 #: Signs before an address, which stay as they are.
 LEADING = r"^[._%+-]*"
 #: Given names by gender and script; surnames are made of syllables, so they do not run out.
@@ -103,14 +105,17 @@ def surrogate(kind: Column, value: Column, key: str, turn: Column) -> Column:
         .when(value.rlike(r"^192\.168\."), F.concat_ws(".", F.lit("10"), *octet[:3]))
         .otherwise(F.concat_ws(".", public, *octet[1:]))
     )
-    # The first digit of the country code or network stays, and a valid check digit stays valid.
+    # The first digit of the country code or network stays, and a valid check digit stays valid. Short
+    # telephone numbers have few others of their length, so numbers get longer after some turns; cards
+    # and IBANs have 10^11 and more.
+    more = F.when(turn < WIDER_TURN, 0).otherwise(MORE_DIGITS)
     phone = F.concat(F.when(value.startswith("+"), "+").otherwise(""), F.substring(digits, 1, 1), F.substring(number, 1, 40))
-    phone = F.left(phone, F.length(value))
+    phone = F.left(phone, F.length(value) + more)
     body = F.left(F.concat(F.substring(digits, 1, 1), number), F.length(digits) - 1)
     check = ((10 - _luhn(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")
     card = F.concat(body, F.when(_luhn(digits) % 10 == 0, check).otherwise(F.substring(number, 40, 1)))
     iban = F.concat(F.left(value, F.lit(2)), F.left(number, F.length(value) - 2))
-    ssn = F.concat(F.lit("9"), F.left(number, F.length(value) - 1))
+    ssn = F.concat(F.lit("9"), F.left(number, F.length(value) - 1 + more))
     script = F.when(value.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
 
     def person(gender: str, alphabet: str) -> Column:
@@ -134,6 +139,8 @@ def in_format(kind: Column, mention: Column, stand_in: Column) -> Column:
     numbered = F.array_join(F.transform(signs, lambda c, i: F.when(
         c.rlike("[0-9A-Z]"), F.substr(plain, F.length(F.regexp_replace(F.array_join(F.slice(signs, F.lit(1), i + 1), ""), "[^0-9A-Z]", "")), F.lit(1))
     ).otherwise(c)), "")
+    # Digits of a stand-in that is longer follow the last one.
+    numbered = F.concat(numbered, F.substr(plain, F.length(F.regexp_replace(mention, "[^0-9A-Z]", "")) + 1))
     return (
         F.when(kind.isin("phone", "card", "ssn", "iban"), numbered)
         .when(kind.isin("woman", "man"), F.concat(F.regexp_extract(mention, r"^\S+ ", 0), stand_in))
@@ -147,7 +154,8 @@ def stand_ins(entities: DataFrame, key: str, most_turns: int = 12) -> DataFrame:
     """A stand-in for each (kind, value), no two alike within a kind and none that is a real value.
 
     Of those that collide, the smallest value keeps its stand-in and the others draw again. Turns
-    see only what is still open, by equi-joins; a space too small to hold the values is an error.
+    see only what is still open, by equi-joins; a space too small to hold the values is widened after
+    some turns, and values that collide even then are an error.
     """
     entities = entities.select("kind", "value").distinct()
     open_, done = entities, None

@@ -201,6 +201,16 @@ def test_addresses_after_signs_and_mentions(spark):
     assert got[201][1] == 2 and got[201][0].endswith(f".{new}")
 
 
+def test_surrogates_of_a_full_space(spark):
+    # Every value of the first shape is taken, so no stand-in of its length is free.
+    rows = [(i, f"change +1{i:03d} a day") for i in range(1000)] + [(2000, "+1-500"), (2001, "+1 (974) 555-3436")]
+    got = {r["doc_id"]: r["text"] for r in rows_of(replace_entities(documents(spark, rows), "key"))}
+    new = [re.fullmatch(r"change (\+1\d+) a day", got[i])[1] for i in range(1000)]
+    assert len(set(new)) == 1000 and not set(new) & {f"+1{i:03d}" for i in range(1000)}
+    assert got[2000].replace("-", "") == new[500] and got[2000].startswith("+1-")
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", got[2001])
+
+
 def test_surrogates_stay_distinct(spark):
     rows = [(i, f"10.0.{i // 256}.{i % 256} a{i}@mail.example.com") for i in range(3000)]
     got = [r["text"] for r in rows_of(replace_entities(documents(spark, rows), "key"))]
