@@ -22,11 +22,13 @@ EPOCHS = 2
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the field, learnt from the labels, doesn't reject; rows without an id stay."""
+    """Documents that the field, learnt from the labels, doesn't reject; each row by its own text."""
     labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
     field = learn(table(spark, sf_dir, "documents"), labels)
-    toxic = toxicity(docs, field).where("predicted = 1").select(F.col("doc_id").alias("toxic_id")).distinct()
-    return docs.join(toxic, docs["doc_id"] == toxic["toxic_id"], "left_anti")
+    # The whole row goes as the id, so that null and repeated ids are no matter.
+    row = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    judged = toxicity(docs.select(row.alias("row"), docs["text"]), field, "row").where("predicted = 0")
+    return judged.select(*[F.col(f"doc_id.c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

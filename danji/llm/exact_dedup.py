@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from danji.llm.common import cut, without_spaces
@@ -23,26 +23,8 @@ def _keys(docs: DataFrame, id_col: str, text_col: str, digest: bool) -> DataFram
     )
 
 
-def exact_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_all: bool = False
-) -> DataFrame:
-    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
-
-    Texts are equal when they are identical without [\\x20\\x09-\\x0D]. Of equal texts the one with
-    the most code points, then the smallest id, stays.
-
-    The refinement: rows whose length without spaces is unique are done; of the rest, rows whose
-    (length, hash of the first 256 characters) is unique are done; only what is left is read in
-    full and hashed by SHA-256. With digest_all every row shall carry its digest, so the digest is
-    taken in the first scan; otherwise text_sha256 is null for rows that an earlier step settles,
-    and a second scan hashes the surviving rows only.
-
-    Every grouping is an aggregate that is combined on the map side, and its result is joined back
-    to the rows without their texts; a group that holds a third of all rows is one row of the
-    aggregate, and AQE splits the other side of the join. A null text counts as empty, empty texts
-    form a group. Rows that repeat id and text stay or go together. A null id loses a tie. Other
-    columns of docs are not read.
-    """
+def _refined(docs: DataFrame, id_col: str, text_col: str, digest_all: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The keys of all rows, the (length, start) that several rows have, and those rows with digests."""
     keys = ["bare_length", "start_hash"]
     scanned = cut(_keys(docs, id_col, text_col, digest_all))
     lengths = scanned.groupBy("bare_length").agg(F.count("*").alias("n")).where("n > 1").drop("n")
@@ -56,16 +38,49 @@ def exact_duplicates(
         ids = scanned.join(starts, keys, "left_semi").select(F.col("doc_id").alias("id")).distinct()
         again = docs.join(ids, docs[id_col].eqNullSafe(ids["id"]), "left_semi")
         full = cut(_keys(again, id_col, text_col, True).join(starts, keys, "left_semi"))
+    return scanned, starts, full
+
+
+def _groups(full: DataFrame) -> DataFrame:
+    """bare_length, text_sha256, group_size, keep_points and keep_id of the texts that several rows have."""
     # Most code points, then the smallest id: the largest (points, -id) of the group.
-    groups = (
+    return (
         full.groupBy("bare_length", "text_sha256")
         .agg(
             F.count("*").alias("group_size"),
             F.max(F.struct("points", (-F.col("doc_id")).alias("minus_id"))).alias("best"),
         )
         .where("group_size > 1")
-        .select("bare_length", "text_sha256", "group_size", (-F.col("best.minus_id")).alias("keep_id"))
+        .select(
+            "bare_length", "text_sha256", "group_size", F.col("best.points").alias("keep_points"),
+            (-F.col("best.minus_id")).alias("keep_id"),
+        )
     )
+
+
+def exact_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_all: bool = False
+) -> DataFrame:
+    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
+
+    Texts are equal when they are identical without [\\x20\\x09-\\x0D]. Of equal texts the one with
+    the most code points, then the smallest id, stays.
+
+    The refinement: rows whose length without spaces is unique are done; of the rest, rows whose
+    (length, hash of the first 256 characters) is unique are done; only what is left is read in
+    full and hashed by SHA-256. With digest_all every row shall carry its digest, so the digest is
+    taken in the first scan; otherwise text_sha256 is null for rows that an earlier step settles,
+    and a second scan hashes the surviving rows only.
+
+    Every grouping is an aggregate that is combined on the map side, and its result is joined back
+    to the rows without their texts; a group that holds a third of all rows is one row of the
+    aggregate, and AQE splits the other side of the join. A null text counts as empty, empty texts
+    form a group. Rows that repeat id and text stay or go together. A null id loses a tie. Other
+    columns of docs are not read.
+    """
+    keys = ["bare_length", "start_hash"]
+    scanned, starts, full = _refined(docs, id_col, text_col, digest_all)
+    groups = _groups(full)
     every = scanned if digest_all else scanned.join(starts, keys, "left_anti").unionByName(full)
     return every.join(groups, ["bare_length", "text_sha256"], "left").select(
         "doc_id",
@@ -77,6 +92,33 @@ def exact_duplicates(
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that another row of the same text replaces; all columns stay."""
-    gone = exact_duplicates(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["gone_id"]), "left_anti")
+    """docs without the rows that another row of the same text replaces; all columns stay.
+
+    One row of each group stays: most code points, then the smallest id, null last. A row is judged by
+    its own text, so ids may be null or repeated; of rows that repeat id and text one stays, the first
+    as JSON. The last join takes every row's digest.
+    """
+    _, _, full = _refined(docs, id_col, text_col, False)
+    copies = full.groupBy("doc_id", "points", "bare_length", "text_sha256").agg(F.count("*").alias("rows"))
+    best = F.expr("points = keep_points and doc_id <=> keep_id")
+    judged = cut(
+        copies.join(_groups(full), ["bare_length", "text_sha256"]).where(~best | (F.col("rows") > 1))
+        .select(F.col("doc_id").alias("gone_id"), F.col("points").alias("gone_points"), F.col("text_sha256").alias("gone_sha"), best.alias("best"))
+    )
+    text = F.coalesce(docs[text_col], F.lit(""))
+    points, sha = F.length(text), F.sha2(without_spaces(text), 256)
+
+    def same(keys: DataFrame) -> Column:
+        return docs[id_col].eqNullSafe(keys["gone_id"]) & (points == keys["gone_points"]) & (sha == keys["gone_sha"])
+
+    left = docs.join(judged, same(judged), "left_anti")
+    repeated = judged.where("best")
+    if repeated.isEmpty():
+        return left
+    row = F.struct(*[docs[c] for c in docs.columns])
+    one = (
+        docs.join(repeated, same(repeated), "left_semi")
+        .select(row.alias("row"), docs[id_col].alias("id"), points.alias("points"), sha.alias("sha"))
+        .groupBy("id", "points", "sha").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    )
+    return left.union(one.select("row.*"))

@@ -424,6 +424,22 @@ def similar_components(
 
 
 def drop_similar(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without those that link, directly or through others, to one of a smaller id."""
-    gone = similar_components(docs, width, percent, id_col, text_col).where("component_id < doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
+    """docs without those that link, directly or through others, to one of a smaller id.
+
+    An id that comes with several texts says nothing of them: each text is judged by itself, and of one
+    component's texts with the smallest id one stays. Rows that repeat id and text stay or go together;
+    rows without an id stay.
+    """
+    rows = docs.select(F.col(id_col).alias("gone_id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("gone_sha"))
+    texts = cut(rows.where("gone_id is not null").distinct())
+    if texts.groupBy("gone_id").count().where("count > 1").isEmpty():
+        gone = similar_components(docs, width, percent, id_col, text_col).where("component_id < doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
+        return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
+    texts = cut(texts.withColumn("one", F.monotonically_increasing_id()))
+    sha = F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)
+    same = (docs[id_col] == texts["gone_id"]) & (sha == texts["gone_sha"])
+    once = docs.join(texts, same).select(texts["one"].alias("doc_id"), docs[text_col].alias("text")).dropDuplicates(["doc_id"])
+    linked = similar_components(once, width, percent).select(F.col("doc_id").alias("one"), "component_id").join(texts, "one")
+    stays = linked.groupBy("component_id").agg(F.min(F.struct("gone_id", "gone_sha", "one"))["one"].alias("stays"))
+    gone = cut(linked.join(stays, "component_id").where("one <> stays").select("gone_id", "gone_sha"))
+    return docs.join(gone, (docs[id_col] == gone["gone_id"]) & (sha == gone["gone_sha"]), "left_anti")

@@ -56,6 +56,19 @@ def test_drop_exact_duplicates_keeps_columns(spark):
     assert sorted(r.doc_id for r in left.collect()) == [3, 7, 8]
 
 
+def test_drop_exact_duplicates_judges_rows(spark):
+    # Null ids, ids with several texts, and rows that repeat both.
+    rows = TEXTS + [(20, "lone"), (20, " a b "), (1, "one of id 1"), (30, "twice"), (30, "twice"), (31, "tw ice"), (32, "fully"), (32, "fully"), (None, "nul"), (None, "nul")]
+    docs = documents(spark, rows)
+    left = drop_exact_duplicates(docs)
+    groups = {}
+    for doc, text in rows:
+        groups.setdefault(re.sub("[\x20\x09-\x0d]", "", text or ""), []).append((-len(text or ""), doc is None, doc or 0))
+    want = [(bare, *min(members)) for bare, members in groups.items()]
+    got = [(re.sub("[\x20\x09-\x0d]", "", r.text or ""), -len(r.text or ""), r.doc_id is None, r.doc_id or 0) for r in left.collect()]
+    assert left.columns == docs.columns and sorted(got) == sorted(want)
+
+
 WEIGHTS = {"lang": {"en": 3, "de": 1}, "source": {"s1": 2, "s2": 1, "s3": 1}}
 
 

@@ -55,3 +55,22 @@ def test_stages_of_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, documents(spark, rows), SF).count() > 0
         assert stage(spark, documents(spark, []), SF).count() == 0
+
+
+def test_stages_judge_rows_of_null_and_repeated_ids(spark, monkeypatch):
+    a, b = prose(1, 60), prose(2, 60)
+    rows = [(1, a), (5, a + " more"), (5, b), (None, "no id"), (7, b + " more"), (8, prose(3, 60))]
+    left = corpus_pipeline.drop_near_copies(spark, documents(spark, rows), SF)
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted([(1, a), (5, b), (0, "no id"), (8, rows[5][1])])
+    toxic = corpus_pipeline.toxicity
+
+    def scored(docs, field, id_col="doc_id"):
+        return toxic(docs, field, id_col).join(
+            docs.select(F.col(id_col).alias("key"), F.col("text").contains("birch").cast("int").alias("bad")), F.expr("doc_id <=> key")
+        ).select("doc_id", F.col("bad").alias("predicted"))
+
+    monkeypatch.setattr(corpus_pipeline, "toxicity", scored)
+    rows = [(1, "fine"), (1, "birch"), (None, "birch"), (None, "good"), (3, "birch")]
+    docs = documents(spark, rows)
+    left = corpus_pipeline.drop_toxic(spark, docs, SF)
+    assert left.columns == docs.columns and sorted((r.doc_id or 0, r.text) for r in left.collect()) == [(0, "good"), (1, "fine")]
