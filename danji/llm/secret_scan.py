@@ -27,6 +27,12 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 
 #: The shortest base64 that can hold a finding: 16 bytes.
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{22,}={0,2}")
+#: The line after a run, if it is one too; a short run at the end of the line before.
+NEXT = re.compile(r"[ \t]*\r?\n[ \t>]*([A-Za-z0-9+/_-]+={0,2})")
+LAST = re.compile(r"[A-Za-z0-9+/_-]+(?=[ \t]*\r?\n[ \t>]*\Z)")
+BACK = 512
+#: Where a gzip or zlib stream can begin.
+MAGIC = re.compile(rb"\x1f(?=\x8b\x08)|[\x08\x18\x28\x38\x48\x58\x68\x78](?=[\x00-\xff])")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|(&#?\w{1,31};)")
 #: A compressed layer may grow to this many bytes; a longer one is scanned in pieces that overlap.
@@ -79,28 +85,78 @@ def _rewritten(text: str, pattern: re.Pattern, decode):
 
 
 def _unpacked(raw: bytes):
-    """The bytes, decompressed if they are gzip or zlib, in pieces of bounded length."""
-    if raw[:2] == b"\x1f\x8b" or len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0:
-        machine, tail, rest = zlib.decompressobj(wbits=47), b"", raw
+    """(start, bytes) of gzip and zlib streams that begin anywhere in raw, in pieces of bounded length."""
+    view = memoryview(raw)
+    for m in MAGIC.finditer(raw):
+        at = m.start()
+        if raw[at] != 0x1F and ((raw[at] << 8 | raw[at + 1]) % 31 or raw[at + 1] & 32):
+            continue
+        machine, tail, rest = zlib.decompressobj(wbits=47), b"", view[at:]
         try:
-            while rest or tail:
+            while len(rest):
                 part = machine.decompress(rest, PIECE)
                 rest = machine.unconsumed_tail
                 if not part and not rest:
-                    return
-                yield tail + part
-                tail = part[-OVERLAP:] if rest else b""
-            return
+                    break
+                yield at, tail + part
+                tail = part[-OVERLAP:]
         except zlib.error:
             pass
-    yield raw
 
 
-def _base64(segment: str) -> bytes | None:
-    body = segment.rstrip("=").translate(str.maketrans("-_", "+/"))
-    if len(body) % 4 == 1:
-        return None
-    return base64.b64decode(body + "=" * (-len(body) % 4))
+def _texts(raw: bytes, starts: np.ndarray, ends: np.ndarray):
+    """The bytes as a text, and as UTF-16 or UTF-32 where NULs hint at it, at any alignment and byte order.
+
+    What is looked for is ASCII, so a byte is a character, and others of UTF-16 and UTF-32 are put as U+FFFD.
+    """
+    yield raw.decode("latin-1"), starts, ends
+    for width in (2, 4):
+        zeros = bytes(width - 1)
+        if zeros not in raw:
+            continue
+        padded = raw + zeros
+        for shift in range(width):
+            codes = np.frombuffer(padded, f"<u{width}", (len(padded) - shift) // width, shift)
+            text = np.where(codes < 256, codes, 0xFFFD).astype("<u4").tobytes().decode("utf-32-le")
+            yield text, starts[shift::width], ends[shift::width]
+
+
+def _base64(run: str, starts: np.ndarray, ends: np.ndarray):
+    """What a run of base64 holds, at each of the four places where its groups can begin."""
+    body = run.rstrip("=").translate(str.maketrans("-_", "+/"))
+    for shift in range(4):
+        part = body[shift:]
+        part = part[: len(part) - (len(part) % 4 == 1)]
+        if not part:
+            continue
+        raw = base64.b64decode(part + "=" * (-len(part) % 4))
+        at = np.arange(len(raw))
+        first = shift + at // 3 * 4 + at % 3
+        s, e = starts[first], ends[first + 1]
+        yield from _texts(raw, s, e)
+        for begin, stream in _unpacked(raw):
+            yield from _texts(stream, np.broadcast_to(s[begin], len(stream)), np.broadcast_to(e[-1], len(stream)))
+
+
+def _runs(text: str):
+    """(run, start and end of what each of its signs is part of): each run, and runs over several lines as one."""
+    done = 0
+    for m in BASE64.finditer(text):
+        size = m.end() - m.start()
+        yield m[0], np.broadcast_to(m.start(), size), np.broadcast_to(m.end(), size)
+        if m.start() < done:
+            continue
+        lines = [(m.start(), m.end())]
+        low = max(0, m.start() - BACK)
+        if "\n" in text[low : m.start()] and (before := LAST.search(text[low : m.start()])):
+            lines.insert(0, (low + before.start(), low + before.end()))
+        while text[lines[-1][1] - 1] != "=" and (after := NEXT.match(text, lines[-1][1])):
+            lines.append(after.span(1))
+        done = lines[-1][1]
+        if len(lines) > 1:
+            sizes = [b - a for a, b in lines]
+            joined = "".join(text[a:b] for a, b in lines)
+            yield joined, np.repeat([a for a, _ in lines], sizes), np.repeat([b for _, b in lines], sizes)
 
 
 def _inner(text: str):
@@ -109,18 +165,8 @@ def _inner(text: str):
         yield layer
     if ("\\" in text or "&" in text) and (layer := _escapes(text)):
         yield layer
-    for m in BASE64.finditer(text):
-        if (raw := _base64(m[0])) is None:
-            continue
-        for part in _unpacked(raw):
-            try:
-                inner = part.decode("utf-8")
-            except UnicodeDecodeError:
-                if part is raw:
-                    continue
-                inner = part.decode("utf-8", "replace")
-            if inner.isprintable() or any(c in inner for c in "\n\r\t"):
-                yield inner, np.full(len(inner), m.start()), np.full(len(inner), m.end())
+    for run, starts, ends in _runs(text):
+        yield from _base64(run, starts, ends)
 
 
 def all_spans(text: str) -> tuple[list, list]:
@@ -159,7 +205,9 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     The counts and base_sha256 (of kind:start:end, by start, then kind, joined by commas) are of
     the findings in the text itself; spans, written alike, adds those in encoded layers: URL
     escapes, Unicode and character escapes, base64, and gzip or zlib inside base64, nested at will.
-    A finding in a layer has the span of the text that encodes it; equal spans count once.
+    A finding in a layer has the span of the text that encodes it; equal spans count once. Every decoded
+    layer is scanned and opened, whatever its bytes; base64 is decoded at all four alignments, and over
+    line ends too, where a finding spans the lines that it touches.
 
     Rows are independent: no shuffle, and a task holds one batch of texts. A null or empty text has
     no findings; ids pass through, repeated or null; other columns are not read.

@@ -151,6 +151,34 @@ def test_nested_layers_map_to_their_source(encode):
         assert 5 <= a < b <= 5 + len(inner)
 
 
+def wrapped(raw, width):
+    whole = base64.b64encode(raw).decode()
+    return "\n".join(whole[i : i + width] for i in range(0, len(whole), width))
+
+
+@pytest.mark.parametrize("inner", [
+    *(base64.b64encode(b).decode() for b in (
+        b"\xe9 " + SECRET.encode(), SECRET.encode() + b" \xe9\x00", b"\xef\xbb\xbf" + SECRET.encode(), ("\xa0\u200b" + SECRET).encode(),
+        SECRET.encode("utf-16"), SECRET.encode("utf-16-le"), SECRET.encode("utf-16-be"), SECRET.encode("utf-32"),
+        gzip.compress(SECRET.encode("utf-16"), mtime=0),
+    )),
+    base64.b64encode(SECRET.encode() + b"  ").decode().rstrip("=") + "A" * (5 - len(base64.b64encode(SECRET.encode() + b"  ").decode().rstrip("=")) % 4),
+    *(junk + base64.b64encode(SECRET.encode()).decode() for junk in ("a/", "ab/", "abc-", "abcd_")),
+    *("ab/cd_" + "x" * k + packed(SECRET) for k in range(4)),
+    *("\r\n".join(wrapped(b"x" * k + SECRET.encode() + b"y" * 70, width).split("\n")) for k in (25, 40) for width in (64, 76)),
+    wrapped(gzip.compress((prose(4, 60) + SECRET).encode(), mtime=0), 76), wrapped(zlib.compress((prose(4, 60) + SECRET).encode()), 64),
+    "\n  ".join(["", *wrapped(gzip.compress((prose(4, 60) + SECRET).encode(), mtime=0), 64).split("\n")])[3:],
+    wrapped(wrapped(gzip.compress((prose(5, 60) + SECRET).encode(), mtime=0), 64).encode(), 76),
+    packed(SECRET)[:10] + "\n" + packed(SECRET)[10:],
+])
+def test_every_decoded_layer_is_opened(inner):
+    text = f"héad {inner} tail"
+    _, every = secret_scan.all_spans(text)
+    assert {0, 1} <= {f[2] for f in every}
+    for a, b, _ in every:
+        assert 5 <= a < b <= 5 + len(inner)
+
+
 def test_layers_that_hold_one_another_end():
     text = "%25" * 50 + packed("%2525") + "&amp;amp;amp;"
     assert secret_scan.all_spans(text)[0] == []
