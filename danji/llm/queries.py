@@ -13,6 +13,7 @@ from danji.llm.jaccard_join import similar_components
 from danji.llm.kmeans_tree import nearest
 from danji.llm.mixing import mixture
 from danji.llm.packing import pack
+from danji.llm.prefix_trie import coded_turns, rebuilt, sequences, trie
 from danji.llm.secret_scan import secret_spans
 from danji.llm.sql import ORACLE
 from danji.llm.surrogates import replace_entities
@@ -96,6 +97,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = sequences(coded_turns(table(spark, sf_dir, "conversations")))
+    head = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int")
+    return trie(rebuilt(own, head, F.col("conv_id") - F.col("conv_id") % 20, 3))
+
+
 #: SQL of the queries whose results SQL can express.
 ORACLE_SQL = ORACLE
 
@@ -104,5 +111,6 @@ QUERIES = {
     for f in (
         op1_mixing, op2_surrogates, op3_exact_dedup, op4_packing, op5_host_reputation, op6_kmeans_tree,
         op7_secret_scan, op8_token_counts, op9_toxic_crf, op10_jaccard_join,
+        op11_prefix_trie,
     )
 }

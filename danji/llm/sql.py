@@ -139,3 +139,42 @@ FROM run
 ORACLE["op1_mixing"] = mixing_sql(
     "documents", {"domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1}, "lang": {"en": 5, "fr": 2, "de": 2, "es": 1}}, 4, 17
 )
+
+#: Unsigned crc32 of conv_id's decimal form, bit by bit: -1 stands for a shift, a byte for its xor.
+_CRC32 = """xor(list_reduce([4294967295::BIGINT] || flatten([[ord(d)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]
+    FOR d IN string_split(CAST(conv_id AS VARCHAR), '')]),
+    lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END), 4294967295)"""
+
+ORACLE["op11_prefix_trie"] = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), n AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+    sha256(strlen(role)::VARCHAR || ':' || role || text)) - 1 AS place FROM t
+), ids AS (SELECT DISTINCT conv_id FROM t),
+h AS (SELECT conv_id, {_CRC32} % 4 AS head, conv_id - conv_id % 20 AS base FROM ids),
+r AS (
+  SELECT h.conv_id, 0 AS own, n.place, n.role, n.text FROM h JOIN n ON n.conv_id = h.base AND n.place < h.head
+  UNION ALL SELECT h.conv_id, 1, n.place, n.role, n.text FROM h JOIN n ON n.conv_id = h.conv_id AND n.place >= h.head
+), p AS (
+  SELECT ids.conv_id, coalesce(list([r.role, r.text] ORDER BY own, place) FILTER (r.text IS NOT NULL), []) AS path
+  FROM ids LEFT JOIN r USING (conv_id) GROUP BY 1
+), s AS (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS depth FROM p),
+node AS (
+  SELECT depth, path[:depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CASE WHEN len(s.path) = depth THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM s GROUP BY 1, 2
+), own AS (
+  SELECT *, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(path[depth][2], '[^\x20\x09-\x0D]+')) END AS saved FROM node
+), up AS (SELECT depth, path, saved, unnest(range(0, depth + 1)) AS above FROM own),
+kids AS (SELECT path[:depth - 1] AS path, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1),
+leaf AS (SELECT own.depth, own.path FROM own LEFT JOIN kids USING (path) WHERE n_children IS NULL),
+sums AS (
+  SELECT up.path[:above] AS path, sum(saved) AS saved_tokens, count(leaf.path) AS n_leaves
+  FROM up LEFT JOIN leaf ON leaf.path = up.path GROUP BY 1
+)
+SELECT own.conv_id, own.depth, parent.conv_id AS parent_conv_id, own.n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, own.ends_sha256
+FROM own JOIN sums ON sums.path = own.path LEFT JOIN kids ON kids.path = own.path
+LEFT JOIN node parent ON own.depth > 0 AND parent.path = own.path[:own.depth - 1]
+"""
