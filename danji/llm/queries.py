@@ -13,6 +13,7 @@ from danji.llm.jaccard_join import similar_components
 from danji.llm.kmeans_tree import nearest
 from danji.llm.mixing import mixture
 from danji.llm.packing import pack
+from danji.llm.periodic_runs import periodic_runs, repeated_tails
 from danji.llm.prefix_trie import coded_turns, rebuilt, sequences, trie
 from danji.llm.secret_scan import secret_spans
 from danji.llm.sql import ORACLE
@@ -103,6 +104,18 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie(rebuilt(own, head, F.col("conv_id") - F.col("conv_id") % 20, 3))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(repeated_tails(table(spark, sf_dir, "documents")))
+    # The greatest length, then the smallest start, then the smallest period.
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length as length, -r.start as start, -r.period as period)))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.expr("-best.start").alias("start"), F.col("best.length").alias("length"),
+        F.expr("-best.period").alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 #: SQL of the queries whose results SQL can express.
 ORACLE_SQL = ORACLE
 
@@ -111,6 +124,6 @@ QUERIES = {
     for f in (
         op1_mixing, op2_surrogates, op3_exact_dedup, op4_packing, op5_host_reputation, op6_kmeans_tree,
         op7_secret_scan, op8_token_counts, op9_toxic_crf, op10_jaccard_join,
-        op11_prefix_trie,
+        op11_prefix_trie, op12_periodic_runs,
     )
 }
