@@ -16,6 +16,7 @@ from danji.llm.packing import pack
 from danji.llm.periodic_runs import periodic_runs, repeated_tails
 from danji.llm.prefix_trie import coded_turns, rebuilt, sequences, trie
 from danji.llm.secret_scan import secret_spans
+from danji.llm.spot_signatures import compared_in_order
 from danji.llm.sql import ORACLE
 from danji.llm.surrogates import replace_entities
 from danji.llm.token_counts import token_counts
@@ -116,6 +117,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compared_in_order(table(spark, sf_dir, "documents"))
+
+
 #: SQL of the queries whose results SQL can express.
 ORACLE_SQL = ORACLE
 
@@ -124,6 +129,6 @@ QUERIES = {
     for f in (
         op1_mixing, op2_surrogates, op3_exact_dedup, op4_packing, op5_host_reputation, op6_kmeans_tree,
         op7_secret_scan, op8_token_counts, op9_toxic_crf, op10_jaccard_join,
-        op11_prefix_trie, op12_periodic_runs,
+        op11_prefix_trie, op12_periodic_runs, op13_spot_signatures,
     )
 }
