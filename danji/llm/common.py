@@ -52,6 +52,44 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+#: Bits of a filter: it is broadcast as at most 8 MB.
+FILTER_BITS = 1 << 26
+#: A key is hot that has more than this part of all rows; there are fewer hot keys than that.
+HOT_PART = 4096
+
+
+def marks(rows: DataFrame, *keys: str) -> DataFrame:
+    """A bitmap of FILTER_BITS with a bit for the hash of each row's keys: one row per 32,768 bits with a mark."""
+    bit = rows.select((F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS)) + 1).alias("bit"))
+    return bit.groupBy(F.bitmap_bucket_number("bit").alias("mark_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("mark_bits")
+    )
+
+
+def with_mark(rows: DataFrame, marked: DataFrame, *keys: Column, name: str = "marked") -> DataFrame:
+    """rows and whether their keys' bit is set: always for keys that were marked, seldom for others."""
+    bit = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS)) + 1
+    place = F.bitmap_bit_position(bit)
+    octet = F.conv(F.hex(F.substring(marked["mark_bits"], (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.coalesce(octet.bitwiseAND(F.pow(F.lit(2), place % 8).cast("int")) != 0, F.lit(False))
+    joined = rows.join(F.broadcast(marked), F.bitmap_bucket_number(bit) == marked["mark_bucket"], "left")
+    return joined.select(*[rows[c] for c in rows.columns], is_set.alias(name))
+
+
+def hot_left_join(rows: DataFrame, table: DataFrame, keys: list[str], n: str) -> DataFrame:
+    """rows left-joined with table, whose keys are unique and whose column n says how many rows bear them.
+
+    Keys with more than 1 / HOT_PART of all those rows are looked up in a broadcast table of fewer
+    than HOT_PART rows, so that their rows stay where they are; the others are joined by a shuffle.
+    """
+    total = table.agg(F.sum(n)).first()[0] or 0
+    hot = F.col(n) * HOT_PART > total
+    added = [c for c in table.columns if c not in keys]
+    first = rows.join(F.broadcast(table.where(hot).withColumn("is_hot", F.lit(True))), keys, "left")
+    rest = first.where("is_hot is null").drop("is_hot", *added).join(table.where(~hot), keys, "left")
+    return first.where("is_hot").drop("is_hot").unionByName(rest)
+
+
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) of each node with an edge, root the smallest node of its component.
 

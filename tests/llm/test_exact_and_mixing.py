@@ -6,6 +6,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from danji.llm import exact_dedup
+from danji.llm.common import marks, with_mark
 from danji.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
 from danji.llm.mixing import mixture
 from tests.llm.helpers import documents, prose, rows_of
@@ -49,6 +51,39 @@ def test_exact_duplicates_repeated_rows_and_empty_table(spark):
     assert exact_duplicates(documents(spark, []), digest_all=True).count() == 0
 
 
+def test_of_a_repeated_id_only_the_row_that_stays_is_kept(spark):
+    rows = [(7, "a b"), (7, "ab"), (8, "ab"), (9, "c"), (9, "c"), (9, " c")]
+    for digest_all in (True, False):
+        got = exact_duplicates(documents(spark, rows), digest_all=digest_all).collect()
+        assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got) == [
+            (7, 7, 3, False), (7, 7, 3, True), (8, 7, 3, False), (9, 9, 3, False), (9, 9, 3, False), (9, 9, 3, True)
+        ]
+    same = [(9, "same"), (9, "same")]
+    assert sorted(r.kept for r in exact_duplicates(documents(spark, same), digest_all=True).collect()) == [False, True]
+
+
+def test_ids_may_be_strings(spark):
+    docs = spark.createDataFrame([("b", "x y"), ("a", "xy"), ("a", "y x"), (None, "xy ")], "name string, body string")
+    got = exact_duplicates(docs, "name", "body", True).collect()
+    assert sorted(((r.doc_id, r.keep_id, r.kept) for r in got), key=str) == [("a", "a", True), ("a", "b", False), ("b", "b", True), (None, "b", False)]
+    assert sorted(r.body for r in drop_exact_duplicates(docs, "name", "body").collect()) == ["x y", "y x"]
+
+
+def test_only_texts_that_share_length_and_start_are_hashed(spark):
+    rows = [(i, prose(i, 30 + i)) for i in range(200)] + [(500, prose(5, 35)), (501, "x" * 300 + "1"), (502, "x" * 300 + "2")]
+    docs = documents(spark, rows)
+    scanned = exact_dedup._scan(docs, "doc_id", "text", F.lit(None).cast("string"))
+    hashed = exact_dedup._hashed(docs, "doc_id", "text", exact_dedup._shared_starts(scanned))
+    assert sorted(r.doc_id for r in hashed.collect()) == [5, 500, 501, 502]
+
+
+def test_a_bitmap_holds_its_keys(spark):
+    rows = spark.range(20_000).selectExpr("id as a", "cast(id % 7 as string) as b")
+    found = with_mark(rows, marks(rows.where("a % 3 = 0"), "a", "b"), rows["a"], rows["b"])
+    assert found.where("a % 3 = 0 and not marked").count() == 0 and found.where("a % 3 <> 0 and marked").count() < 20
+    assert with_mark(rows, marks(rows.where("a < 0"), "a"), rows["a"]).where("marked").count() == 0
+
+
 def test_drop_exact_duplicates_keeps_columns(spark):
     docs = documents(spark, TEXTS[:8])
     left = drop_exact_duplicates(docs)
