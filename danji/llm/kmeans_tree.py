@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -115,8 +116,14 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two, which changes no cosine: largest components from 1/2 to 1, so squares stay finite."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True, initial=0))[1])
+
+
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row by row, in double precision: the same for equal rows wherever they stand."""
+    a, b = _scaled(a), _scaled(b)
     return (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
 
 
@@ -151,21 +158,28 @@ def nearest(
 
     Leaves that lie side by side share a bin of about BLOCK rows, in which a query is compared with
     those it visits; a larger leaf is a bin of several blocks, and queries come in blocks too. So no
-    task holds a whole hot leaf, and a block gives at most k rows a query. Vectors that are null, zero, or hold null or non-finite components take
-    no part, as do those whose length is not the commonest, and null ids. Rows that repeat an id and vector
-    count once. Ties go to the smaller id. An empty table gives no rows.
+    task holds a whole hot leaf, and a block gives at most k rows a query. Vectors that are null, zero, or
+    hold null or non-finite components take no part, and null ids. Vectors of different lengths have no
+    cosine: each length is a search of its own. Rows that repeat an id and vector count once. Ties go
+    to the smaller id. Components of any finite magnitude are compared. An empty table gives no rows.
     """
     spark = vectors.sparkSession
-    context = spark.sparkContext
     ship(spark)
     usable = vectors.where(_usable(F.col(vector_col)) & F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"), is_query.alias("is_query")
     ).distinct()
-    lengths = usable.groupBy(F.size("v").alias("length")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "length").first()
-    if lengths is None:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    usable = usable.where(F.size("v") == lengths["length"])
     rows = cut(usable)
+    lengths = rows.where("is_query").select(F.size("v").alias("length")).distinct().orderBy("length").collect()
+    if not lengths:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    found = [_nearest(rows.where(F.size("v") == r["length"]), k, recall) for r in lengths]
+    return reduce(DataFrame.unionAll, found)
+
+
+def _nearest(rows: DataFrame, k: int, recall: float) -> DataFrame:
+    """See nearest; rows: distinct (vec_id, v, is_query) of vectors of one length."""
+    spark = rows.sparkSession
+    context = spark.sparkContext
     compared = cut(
         rows.selectExpr("vec_id", "v", "row_number() over (partition by v order by vec_id) as copy").where(f"copy <= {k + 1}").drop("copy")
     )

@@ -1,5 +1,7 @@
 """The results of some queries as DuckDB SQL, written from the operators' definitions."""
 
+from danji.llm.host_reputation import SUFFIXES
+
 ORACLE = {
     "op3_exact_dedup": r"""
 WITH d AS (
@@ -66,10 +68,19 @@ WITH u AS (
   FROM p LEFT JOIN rules ON (p.host = rules.host OR ends_with(p.host, '.' || rules.host)) AND starts_with(p.path, rules.path)
   GROUP BY 1, 2, 3
 ), l AS (SELECT doc_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY 1),
-hosts AS (
-  SELECT host, regexp_extract(host, '([^.]*\.)?[^.]*$') AS domain, regexp_extract(host, '[^.]*$') AS suffix,
+named AS (
+  SELECT host, rtrim(regexp_extract(host, '^(?:.*@)?(\[[^\]]*\]|[^:]*)', 1), '.') AS site,
          count(bad) AS n, coalesce(sum(bad), 0) AS k
-  FROM p LEFT JOIN l ON doc_id = page_id GROUP BY 1, 2, 3
+  FROM p LEFT JOIN l ON doc_id = page_id GROUP BY 1
+), levels AS (
+  SELECT *, regexp_matches(site, '^([0-9]+(\.[0-9]+)*|\[.*)$') AS address,
+         list_contains(string_split('SUFFIXES', ' '), regexp_extract(site, '([^.]*\.)?[^.]*$')) AS listed FROM named
+), hosts AS (
+  SELECT site, CASE WHEN address THEN site WHEN listed THEN regexp_extract(site, '([^.]*\.){0,2}[^.]*$')
+           ELSE regexp_extract(site, '([^.]*\.)?[^.]*$') END AS domain,
+         CASE WHEN address THEN site WHEN listed THEN regexp_extract(site, '([^.]*\.)?[^.]*$')
+           ELSE regexp_extract(site, '[^.]*$') END AS suffix, sum(n) AS n, sum(k) AS k
+  FROM levels GROUP BY 1, 2, 3
 ), domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY 1, 2),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains GROUP BY 1),
 """
@@ -78,14 +89,15 @@ suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains GROUP BY 1),
 , root AS (SELECT (sum(k) + 1.0) / (sum(n) + 2.0) AS rate FROM suffixes),
 s2 AS (SELECT suffix, (k + kappa * rate) / (n + kappa) AS rate FROM suffixes, suffixes_kappa, root),
 d2 AS (SELECT domain, (k + kappa * s2.rate) / (n + kappa) AS rate FROM domains JOIN s2 USING (suffix), domains_kappa),
-h2 AS (SELECT host, k + kappa * rate AS a, n - k + kappa * (1 - rate) AS b FROM hosts JOIN d2 USING (domain), hosts_kappa)
+h2 AS (SELECT host, hosts.k + kappa * rate AS a, hosts.n - hosts.k + kappa * (1 - rate) AS b
+  FROM levels JOIN hosts USING (site) JOIN d2 USING (domain), hosts_kappa)
 SELECT page_id, r.host, path, rule,
        CASE WHEN rule IS NOT NULL THEN listed
             WHEN a / (a + b) - 1.2815515655446004 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.25 THEN 'block'
             ELSE 'allow' END AS verdict
 FROM r LEFT JOIN h2 USING (host)
 """
-)
+).replace("SUFFIXES", " ".join(SUFFIXES))
 
 
 def _weight(level: str, weights: dict[str, int]) -> str:

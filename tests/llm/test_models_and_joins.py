@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from danji.llm import jaccard_join, kmeans_tree
 from danji.llm.common import connected_components
-from danji.llm.host_reputation import Rule, judge_urls
+from danji.llm.host_reputation import SUFFIXES, Rule, judge_urls, with_levels
 from danji.llm.jaccard_join import drop_similar, similar_components
 from danji.llm.kmeans_tree import nearest
 from danji.llm.toxic_crf import WORD, learn, toxicity, train
@@ -53,6 +53,24 @@ def test_reputation_shrinks_and_filters(spark):
     assert judged(spark, [], []) == {} and judged(spark, [(1, "http://a.org/")])[1]["verdict"] == "allow"
 
 
+def test_sites_domains_and_suffixes(spark):
+    hosts = ["bad.example.org:8080", "u:p@bad.example.org", "a.b.co.uk", "b.co.uk.", "co.uk", "10.0.0.1:80", "[2001:db8::1]:443", "", "localhost", "x.org"]
+    got = {r["host"]: (r["site"], r["domain"], r["suffix"]) for r in rows_of(with_levels(spark.createDataFrame([(h,) for h in hosts], "host string"), SUFFIXES))}
+    assert [got[h] for h in hosts] == [
+        ("bad.example.org", "example.org", "org"), ("bad.example.org", "example.org", "org"), ("a.b.co.uk", "b.co.uk", "co.uk"),
+        ("b.co.uk", "b.co.uk", "co.uk"), ("co.uk", "co.uk", "co.uk"), ("10.0.0.1", "10.0.0.1", "10.0.0.1"),
+        ("[2001:db8::1]", "[2001:db8::1]", "[2001:db8::1]"), ("", "", ""), ("localhost", "localhost", "localhost"), ("x.org", "x.org", "org"),
+    ]
+
+
+def test_ports_and_users_share_a_reputation_and_rules_may_be_none(spark):
+    urls = [(i, f"http://{('', 'me@')[i % 2]}bad.org{('', ':8080', ':1')[i % 3]}/{i}") for i in range(60)] + [(60 + i, f"http://good.org/{i}") for i in range(60)]
+    pages = spark.createDataFrame(urls, "page_id bigint, url string")
+    outcomes = spark.createDataFrame([(i, int(i < 60)) for i in range(50)] + [(i, 0) for i in range(60, 120)], "doc_id bigint, bad int")
+    got = rows_of(judge_urls(pages, outcomes, [], 0.5))
+    assert all((r["verdict"] == "block") == (r["page_id"] < 60) and r["rule"] is None for r in got) and len(got) == 120
+
+
 def brute_bounds(pages, z):
     """Lower bounds by host from (host, bad or None) rows."""
     def kappa(units):
@@ -157,6 +175,26 @@ def test_neighbours_of_odd_vectors(spark):
     assert found(spark, []) == {} and found(spark, [(0, v)]) == {}
 
 
+def test_neighbours_of_any_magnitude_and_of_two_lengths(spark):
+    r = np.random.default_rng(3)
+    long, short = r.normal(size=(40, 6)), r.normal(size=(9, 4))
+    scale = [1e200, 1e-200, 1.0, 1e-310]
+    rows = [(i, (v * scale[i % 4]).tolist()) for i, v in enumerate(long)] + [(100 + 50 * i, v.tolist()) for i, v in enumerate(short)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {}
+    for x in rows_of(nearest(df, F.col("vec_id") % 50 == 0)):
+        got.setdefault(x["query_id"], []).append((x["rank"], x["vec_id"], x["score"]))
+    assert sorted(got) == [0, *range(100, 550, 50)]
+    for q, near in got.items():
+        group, first, step = (long, 0, 1) if q < 100 else (short, 100, 50)
+        unit = group / np.linalg.norm(group, axis=1, keepdims=True)
+        score = unit @ unit[(q - first) // step]
+        order = sorted((-s, first + step * i) for i, s in enumerate(score) if first + step * i != q)[:5]
+        assert [i for _, i, _ in sorted(near)] == [i for _, i in order]
+        # 1e-310 is too small for all its bits.
+        assert np.allclose([s for _, _, s in sorted(near)], [-s for s, _ in order], atol=1e-7)
+
+
 INSULTS = ["scumbag", "vermin", "lowlife", "jerkface"]
 
 
