@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_query_is_registered():
     numbers = [int(n[2:].split("_")[0]) for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in __spark_entry__.queries()
     assert set(ORACLE_SQL) <= set(QUERIES) and set(ORACLE_SQL) <= set(__spark_entry__.oracle_sql())
 
 
@@ -74,3 +74,20 @@ def test_stages_judge_rows_of_null_and_repeated_ids(spark, monkeypatch):
     docs = documents(spark, rows)
     left = corpus_pipeline.drop_toxic(spark, docs, SF)
     assert left.columns == docs.columns and sorted((r.doc_id or 0, r.text) for r in left.collect()) == [(0, "good"), (1, "fine")]
+
+
+def test_the_mixture_takes_rows_not_ids(spark):
+    rows = [(None, prose(i, 30 + 20 * i), "en", f"src{i % 2}") for i in range(4)] + [(1, prose(9, 50), "de", "src3"), (1, prose(8, 20), "en", "src1")]
+    rows += [(3, "the same", "es", "src2")] * 3
+    docs = documents(spark, rows)
+    want = {}
+    key = F.struct(F.col("doc_id").alias("id"), F.xxhash64(*docs.columns).alias("hash"))
+    drawn = corpus_pipeline.mixture(
+        docs.select(key.alias("doc_id"), "lang", "source", "text"), corpus_pipeline.mix_levels(), corpus_pipeline.MIX_WEIGHTS,
+        corpus_pipeline.bytes_tokens(), fraction=corpus_pipeline.KEPT_TOKENS, max_epochs=corpus_pipeline.EPOCHS, seed=corpus_pipeline.MIX_SEED,
+    )
+    for r in drawn.collect():
+        want[r.doc_id.hash] = want.get(r.doc_id.hash, 0) + r.epochs + (r.tail_tokens > 0)
+    out = corpus_pipeline.mix(spark, docs, SF)
+    got = {r.hash: r["count"] for r in out.groupBy(F.xxhash64(*out.columns).alias("hash")).count().collect()}
+    assert out.columns == docs.columns and got == {h: n for h, n in want.items() if n} and len(set(want.values())) > 1
