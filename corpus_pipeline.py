@@ -42,20 +42,34 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture takes them; one that the last prefix ends in is taken whole."""
-    taken = (
-        mixture(docs, mix_levels(), MIX_WEIGHTS, bytes_tokens(), fraction=KEPT_TOKENS, max_epochs=EPOCHS, seed=MIX_SEED)
-        .groupBy("doc_id").agg(F.max(F.expr("epochs + if(tail_tokens > 0, 1, 0)")).alias("times"))
-        .where("times > 0").withColumnRenamed("doc_id", "taken_id")
+    """Documents as often as the mixture takes them; one that the last prefix ends in is taken whole.
+
+    A row is its id and a hash of all its columns, so null and repeated ids are no matter; rows that
+    are the same throughout come out as often as they are taken together. An empty table stays empty.
+    """
+    key = F.struct(docs["doc_id"].alias("id"), F.xxhash64(*[docs[c] for c in docs.columns]).alias("hash"))
+    drawn = mixture(
+        docs.select(key.alias("doc_id"), docs["lang"], docs["source"], docs["text"]),
+        mix_levels(), MIX_WEIGHTS, bytes_tokens(), fraction=KEPT_TOKENS, max_epochs=EPOCHS, seed=MIX_SEED,
     )
-    times = F.sequence(F.lit(1).cast("bigint"), taken["times"])
-    counter = "_".join(docs.columns)  # a name that no column has
-    drawn = docs.join(taken, docs["doc_id"].eqNullSafe(taken["taken_id"]))
-    return drawn.select(*[docs[c] for c in docs.columns], F.explode(times).alias(counter)).drop(counter)
+    taken = cut(
+        drawn.groupBy(F.col("doc_id").alias("key"))
+        .agg(F.sum(F.expr("epochs + if(tail_tokens > 0, 1, 0)")).alias("times"), F.count("*").alias("rows")).where("times > 0")
+    )
+    row = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    rows = docs.select(row.alias("row"), key.alias("key"))
+    same = rows["key"]["id"].eqNullSafe(taken["key"]["id"]) & (rows["key"]["hash"] == taken["key"]["hash"])
+    joined = rows.join(taken, same).select(rows["row"], rows["key"], "times", "rows")
+    one = joined.where("rows > 1").groupBy("key").agg(F.first("row").alias("row"), F.max("times").alias("times"))
+    times = F.sequence(F.lit(1).cast("bigint"), F.col("times"))
+    out = joined.where("rows = 1").select("row", F.explode(times).alias("time"))
+    if not taken.where("rows > 1").isEmpty():
+        out = out.unionAll(one.select("row", F.explode(times).alias("time")))
+    return out.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and their places in sequences of 4096 tokens."""
+    """Pieces of the documents and their places in sequences of 4096 tokens; every row is packed, empty ones as an end sign."""
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID, SEQUENCE)
 
 
