@@ -4,19 +4,17 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from danji.llm.common import cut, ship
+from danji.llm.common import shuffle_partitions, ship
 from danji.llm.words import parts, steps
 
 #: Common words of four languages, the anchors unless others are given.
@@ -84,11 +82,14 @@ def _short(x: np.ndarray) -> np.ndarray:
     return _mixed(x) >> np.uint64(64 - 8 * BYTES)
 
 
-@lru_cache(maxsize=300_000)
-def _plain(word: str) -> tuple[str, int]:
-    """A word in lower case without the signs at its ends, and its hash; nothing is left of signs alone."""
-    word = word.lower().strip(EDGES)
-    return word, xxhash.xxh3_64_intdigest(word)
+def hashes_of(words: pa.LargeStringArray) -> np.ndarray:
+    """A 64-bit hash of each string: the mixed sum of its bytes, each mixed with its place."""
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    octets = np.frombuffer(words.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    place = np.arange(len(octets)) - np.repeat(ends[:-1], np.diff(ends))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(_mixed((place * 256 + octets + 1).astype(np.uint64) * PAIR))])
+    return _mixed(sums[ends[1:]] - sums[ends[:-1]] + np.diff(ends).astype(np.uint64))
 
 
 def jaccard(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
@@ -142,15 +143,16 @@ def numbered(text: np.ndarray, signatures: np.ndarray) -> np.ndarray:
     again = keys[~new]
     if len(again):
         keys[~new] = again & ~MASK | _short((again & MASK) * AGAIN + times[~new].astype(np.uint64))
-        keys = np.unique(keys)
+        keys.sort()
+        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
     return keys
 
 
 class Spotter:
     """Fingerprints of texts; anchors: the common words, chain: how many content words a spot takes."""
 
-    def __init__(self, anchors: tuple[str, ...], chain: int):
-        self.anchors, self.chain = frozenset(anchors), chain
+    def __init__(self, anchors: list[str], chain: int):
+        self.anchors, self.chain = pa.array(sorted(set(anchors) - {""}), pa.large_string()), chain
 
     def fingerprints(self, texts: pa.Array) -> list[Fingerprint]:
         out = []
@@ -161,9 +163,10 @@ class Spotter:
     def _together(self, texts: pa.Array) -> list[Fingerprint]:
         count = len(texts)
         ends, codes, words = parts(texts, pc.ascii_split_whitespace)
-        plain = [_plain(w) for w in words.to_pylist()]
-        hashes = np.fromiter((h for _, h in plain), np.uint64, len(plain))
-        kind = np.fromiter(((2 if w in self.anchors else 1) if w else 0 for w, _ in plain), np.int8, len(plain))
+        words = pc.utf8_trim(pc.utf8_lower(words), characters=EDGES)
+        hashes = hashes_of(words)
+        # 0 nothing but signs, 1 a content word, 2 an anchor
+        kind = pc.add(pc.not_equal(words, "").cast(pa.int8()), pc.is_in(words, self.anchors).cast(pa.int8())).to_numpy(zero_copy_only=False)
         real = kind[codes] > 0
         ends, codes = np.concatenate([[0], np.cumsum(real)])[ends], codes[real]
         hashes, kind = hashes[codes], kind[codes]
@@ -199,8 +202,8 @@ class Spotter:
     @staticmethod
     def _pieces(text: str) -> np.ndarray:
         text = " ".join(text.lower().split())
-        pieces = {text[i : i + LETTERS] for i in range(max(len(text) - LETTERS + 1, min(len(text), 1)))}
-        return np.unique(_short(np.fromiter(map(xxhash.xxh3_64_intdigest, pieces), np.uint64, len(pieces)) * PIECE))
+        pieces = list({text[i : i + LETTERS] for i in range(max(len(text) - LETTERS + 1, min(len(text), 1)))})
+        return np.unique(_short(hashes_of(pa.array(pieces, pa.large_string())) * PIECE))
 
 
 def spot_signatures(
@@ -217,7 +220,7 @@ def spot_signatures(
     are read; a null text counts as empty, whose fingerprint is '||'. Ids pass through, null or
     repeated; other columns are not read; an empty table gives no rows.
     """
-    spotter = Spotter(tuple(anchors), chain)
+    spotter = Spotter(anchors, chain)
 
     def found(batches):
         for batch in batches:
@@ -243,20 +246,31 @@ def _edited(text: str, after: str) -> str:
     return text[: len(text) - third] + after[:third]
 
 
-def _compared(spotter: Spotter, texts: list[str], after: list[str], prints: list[Fingerprint]) -> list[pa.Array]:
-    """The columns of COMPARED for texts, the texts after them, and the fingerprints of texts + after[-1:]."""
-    edited = list(map(_edited, texts, after))
+def _compared(spotter: Spotter, texts: list[str], prints: list[Fingerprint], own: list[int]) -> list[pa.Array]:
+    """The columns of COMPARED for the texts whose places `own` lists, each beside the text after it."""
+    edited = [_edited(texts[i], texts[i + 1]) for i in own]
     other = spotter.fingerprints(pa.array(edited, pa.large_string()))
     return [
-        pa.array(map(len, texts), pa.int64()),
-        pa.array((hashlib.sha256(t.encode()).hexdigest() for t in edited), pa.string()),
-        pa.array(map(str, prints[: len(texts)]), pa.string()),
-        pa.array(map(str, other), pa.string()),
-        pa.array(map(likeness, prints, other), pa.float64()),
-        pa.array(map(likeness, prints, prints[1:]), pa.float64()),
+        pa.array([len(texts[i]) for i in own], pa.int64()),
+        pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
+        pa.array([str(prints[i]) for i in own], pa.string()),
+        pa.array([str(x) for x in other], pa.string()),
+        pa.array([likeness(prints[i], x) for i, x in zip(own, other)], pa.float64()),
+        pa.array([likeness(prints[i], prints[i + 1]) for i in own], pa.float64()),
     ]
 
 
+def range_firsts(docs: DataFrame, parts: int) -> list[tuple]:
+    """The first (id is not null, id, hash) of each of at most `parts` ranges, ascending; docs: doc_id, text.
+
+    The order is descending, so a range's first key is its largest.
+    """
+    keys = docs.select(F.col("doc_id").isNotNull().alias("known"), "doc_id", F.xxhash64("text").alias("hash"))
+    ranges = keys.repartitionByRange(parts, *[F.desc(c) for c in keys.columns])
+    firsts = ranges.groupBy(F.spark_partition_id().alias("part")).agg(F.max(F.struct("known", "doc_id", "hash")).alias("key"))
+    return sorted(tuple(r.key) for r in firsts.collect())
+
+
 def compared_in_order(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", anchors: list[str] = ANCHORS, chain: int = CHAIN
 ) -> DataFrame:
@@ -269,63 +283,48 @@ def compared_in_order(
     edited text's and the next row's.
 
     Texts are shuffled once, by ranges of (id, hash): an id that a third of the rows bear is dealt by
-    its texts. Each task goes through its range in steps of some megabytes. A range's last row waits for
-    the next range's first: these two of each range go through a second, small pass. Null texts count as
-    empty; two empty texts are alike by 1. One row is its own next row; an empty table gives no rows.
+    its texts. A first look at ids and hashes gives the ranges, as many as there are shuffle partitions, by
+    their first rows, and these rows alone go to the range before too. Each task goes through its
+    range in steps of some megabytes. Null texts count as empty; two empty texts are alike by 1. One
+    row is its own next row; rows that repeat id and text stay together; an empty table gives no rows.
     """
-    spotter = Spotter(tuple(anchors), chain)
+    spark = docs.sparkSession
+    ship(spark)
+    spotter = Spotter(anchors, chain)
     kind = docs.schema[id_col].dataType.simpleString()
-    # edge: 0 a row that is done, 1 a range's first text, 2 its last row, which waits.
-    schema = f"doc_id {kind}, {COMPARED}, edge int, part int, text string"
-    names = [c.split()[0] for c in schema.split(", ")]
+    rows = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    firsts = range_firsts(rows, shuffle_partitions(spark))
+    count = max(len(firsts), 1)
+    first = frozenset(firsts)
 
-    def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
+    @F.arrow_udf("int")
+    def place(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        """Twice the number of the row's range, and one if it is the range's first."""
+        keys = [(x is not None, x, h) for x, h in zip(ids.to_pylist(), hashes.to_pylist())]
+        return pa.array([2 * (count - 1 - bisect_left(firsts, k)) + (k in first) for k in keys], pa.int32())
 
-        def edge(which: int, ids: pa.Array, text: str) -> pa.RecordBatch:
-            nothing = [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())]
-            return pa.RecordBatch.from_arrays(
-                [ids, *nothing, pa.array([which], pa.int32()), pa.array([part], pa.int32()), pa.array([text], pa.string())], names
-            )
-
-        held_id, held_text, held_print = None, None, None
+    def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A range ends with the row that the next one begins with, so no row waits for ever.
+        held = None
         for batch in batches:
             for step in steps(batch, 1):
-                texts, prints, ids = step.column(1).to_pylist(), spotter.fingerprints(step.column(1)), step.column(0)
-                if held_id is None:
-                    yield edge(1, ids.slice(0, 1), texts[0])
-                else:
-                    texts, prints, ids = [held_text, *texts], [held_print, *prints], pa.concat_arrays([held_id, ids])
-                done = len(texts) - 1
-                held_id, held_text, held_print = ids.slice(done), texts[-1], prints[-1]
-                if done:
+                texts, prints = step.column(1).to_pylist(), spotter.fingerprints(step.column(1))
+                ids, echo = step.column(0), step.column(2).to_pylist()
+                if held:
+                    echo, texts, prints = [0, *echo], [held[1], *texts], [held[2], *prints]
+                    ids = pa.concat_arrays([held[0], ids])
+                last = len(texts) - 1
+                held = None if echo[last] else (ids.slice(last), texts[last], prints[last])
+                own = [i for i in range(last) if not echo[i]]
+                if own:
                     yield pa.RecordBatch.from_arrays(
-                        [ids.slice(0, done), *_compared(spotter, texts[:-1], texts[1:], prints),
-                         pa.array([0] * done, pa.int32()), pa.nulls(done, pa.int32()), pa.nulls(done, pa.string())],
-                        names,
+                        [ids.take(pa.array(own)), *_compared(spotter, texts, prints, own)], ["doc_id", *(c.split()[0] for c in COMPARED.split(", "))]
                     )
-        if held_id is not None:
-            yield edge(2, held_id, held_text)
-
-    def closed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                pair = [batch.column(1)[i].as_py(), batch.column(2)[i].as_py()]
-                prints = spotter.fingerprints(pa.array(pair, pa.large_string()))
-                columns = _compared(spotter, pair[:1], pair[1:], prints)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), *columns], ["doc_id", *names[1:7]])
 
-    ship(docs.sparkSession)
-    rows = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    keys = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
-    dealt = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    passed = cut(dealt.mapInArrow(through, schema))
-    heads = passed.where("edge = 1").select(F.col("part").alias("head"), F.col("text").alias("after"))
-    numbers = sorted(r[0] for r in heads.select("head").collect())
-    tails = passed.where("edge = 2").select("doc_id", "text", "part")
-    if numbers:  # one number of a range each
-        following = passed.sparkSession.createDataFrame(list(zip(numbers, numbers[1:] + numbers[:1])), "part int, head int")
-        tails = tails.join(F.broadcast(following), "part").join(heads, "head").select("doc_id", "text", "after")
-        last = tails.mapInArrow(closed, f"doc_id {kind}, {COMPARED}")
-        return passed.where("edge = 0").select("doc_id", *names[1:7]).unionByName(last)
-    return passed.select("doc_id", *names[1:7])
+    placed = rows.withColumn("place", place("doc_id", F.xxhash64("text")))
+    own = F.col("place").bitwiseAND(1) == 0
+    number = F.shiftright("place", 1)
+    cells = F.when(own, F.array(number)).otherwise(F.array(number, F.pmod(number - 1, F.lit(count))))
+    dealt = placed.select("doc_id", "text", F.posexplode(cells).alias("echo", "part")).repartitionById(count, F.col("part"))
+    ordered = dealt.select("doc_id", "text", "echo").sortWithinPartitions("echo", F.col("doc_id").desc_nulls_last(), F.xxhash64("text").desc())
+    return ordered.mapInArrow(through, f"doc_id {kind}, {COMPARED}")

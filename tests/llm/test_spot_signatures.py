@@ -46,7 +46,7 @@ ODD = [
 
 def test_fingerprints_stand_for_the_spots():
     texts = [talk(i // 3, 60 + i) if i % 3 else talk(i, 90) + " " + talk(i + 1, 80) for i in range(60)] + ["the elm oak " * 30]
-    prints = Spotter(tuple(ANCHORS), CHAIN).fingerprints(pa.array(texts))
+    prints = Spotter(ANCHORS, CHAIN).fingerprints(pa.array(texts))
     for text, mark in zip(texts, prints):
         assert len(mark.spots) == sum(multiset(text).values())
         again = read(str(mark))
@@ -74,8 +74,8 @@ def test_pruned_jaccard_is_jaccard():
 @pytest.mark.parametrize("rows", [[(i, talk(i, 5 + i)) for i in range(120)] + [(500 + i, talk(7, 200)) for i in range(40)], ODD, ODD[3:4], []])
 def test_neighbours_in_order(spark, rows):
     got = rows_of(compared_in_order(documents(spark, rows)))
-    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), signed(r[1] or "")))
-    spotter = Spotter(tuple(ANCHORS), CHAIN)
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), -signed(r[1] or "")))
+    spotter = Spotter(ANCHORS, CHAIN)
     want = []
     for i, (doc, text) in enumerate(order):
         text, after = text or "", order[(i + 1) % len(order)][1] or ""
