@@ -10,6 +10,7 @@ from danji.constants import LEVEL_DISTRICT, LEVEL_PROVINCE
 from danji.functions import address as A, filters, region as R
 from danji.functions.rounding import round_half_up
 from danji.operators.ranking import listed_or_error
+from danji.operators.skew import exact_median
 
 
 def index_monthly(index: DataFrame, level: str, wanted: Iterable[str] | None = None) -> DataFrame:
@@ -24,26 +25,31 @@ def _change(now: str, before: str):
 
 
 def yoy_point_join(index: DataFrame, year: int, month: int) -> DataFrame:
-    """Change of each district between a month and the same month a year before."""
-    def at(y: int) -> DataFrame:
-        day = F.make_date(F.lit(y), F.lit(month), F.lit(1))
-        return index_monthly(index.filter(F.col("date") == day), LEVEL_DISTRICT)
-
-    before = at(year - 1).select("region_code", F.col("value").alias("before"))
-    return (
-        at(year).join(before.filter("before > 0"), "region_code")
-        .select(
-            R.district_code(F.col("region_code")).alias("sig_cd"), "region_name",
-            _change("value", "before").alias("yoy_pct"),
-        )
+    """Change of each district between a month and the same month a year before.
+
+    The index is read once, for the two months alone; a district's rows meet in one aggregate.
+    """
+    day, past = (F.make_date(F.lit(y), F.lit(month), F.lit(1)) for y in (year, year - 1))
+    rows = index_monthly(index.filter((F.col("date") == day) | (F.col("date") == past)), LEVEL_DISTRICT)
+    both = rows.groupBy("region_code").agg(
+        F.max(F.when(F.col("date") == day, F.struct("value", "region_name"))).alias("now"),
+        F.max(F.when((F.col("date") == past) & (F.col("value") > 0), F.col("value"))).alias("before"),
+    )
+    return both.filter("now IS NOT NULL AND before IS NOT NULL").select(
+        R.district_code(F.col("region_code")).alias("sig_cd"), F.col("now.region_name").alias("region_name"),
+        _change("now.value", "before").alias("yoy_pct"),
     )
 
 
 def _yoy(rows: DataFrame) -> DataFrame:
-    before = rows.filter("value > 0").select(
-        "region_code", F.add_months("date", 12).alias("date"), F.col("value").alias("before")
-    )
-    return rows.join(before, ["region_code", "date"]).select(
+    """Each month beside the same month a year before, found in a frame of that one month.
+
+    One shuffle by region; a region has one value a month (of repeated ones the frame takes the
+    greatest). Months without a positive value a year before are left out.
+    """
+    before = F.expr("""max(IF(value > 0, value, NULL)) OVER (PARTITION BY region_code ORDER BY date
+        RANGE BETWEEN INTERVAL 12 MONTH PRECEDING AND INTERVAL 12 MONTH PRECEDING)""")
+    return rows.withColumn("before", before).filter("before IS NOT NULL").select(
         "date", "region_code", "region_name", _change("value", "before").alias("yoy_pct")
     )
 
@@ -134,14 +140,15 @@ def heatmap_pivot(rows: DataFrame, months: list[str] | None = None) -> DataFrame
 
 
 def color_scale_bounds(rows: DataFrame, value: str) -> DataFrame:
-    """Symmetric colour range: around 0 if any value is negative, else around the median.
-
-    Meant for one map or table of regions, so the exact median is over few values.
-    """
-    stats = rows.agg(
-        F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi"),
-        F.median(value).cast("double").alias("median"),
-    ).withColumn("center", F.when(F.col("lo") < 0, F.lit(0.0)).otherwise(F.col("median")))
+    """Symmetric colour range: around 0 if any value is negative, else around the exact median."""
+    ends = rows.agg(
+        F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi")
+    ).withColumn("_one", F.lit(1))
+    middle = exact_median(rows, [], value, "median").select("median", F.lit(1).alias("_one"))
+    # Both have one row, so they are joined by a constant.
+    stats = ends.join(middle, "_one", "left").withColumn(
+        "center", F.when(F.col("lo") < 0, F.lit(0.0)).otherwise(F.col("median"))
+    )
     reach = F.greatest(F.abs(F.col("lo") - F.col("center")), F.abs(F.col("hi") - F.col("center")))
     return stats.select(
         "center", (F.col("center") - reach).alias("vmin"), (F.col("center") + reach).alias("vmax")
@@ -149,7 +156,7 @@ def color_scale_bounds(rows: DataFrame, value: str) -> DataFrame:
 
 
 def precomputed_yoy(index: DataFrame) -> DataFrame:
-    """The optional table of year-over-year values, for both levels by one self join."""
+    """The optional table of year-over-year values, for both levels in one pass."""
     rows = index.filter(filters.index_rows()).select(
         "date", "region_code", "region_name", F.col("index_value").cast("double").alias("value")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F, Window as W
 
 from danji.functions import address as A, filters, trade as T
 from danji.functions.rounding import round_half_up
+from danji.operators.skew import exact_quantiles
 
 
 def category_counts(df: DataFrame, column, name: str = "category") -> DataFrame:
@@ -51,12 +52,17 @@ def index_profile(index: DataFrame) -> DataFrame:
 
 
 def describe_metric(rows: DataFrame, value: str) -> DataFrame:
-    """Count, mean, sample deviation, extremes and quartiles of a metric of regions."""
-    return rows.agg(
+    """Count, mean, sample deviation, extremes and exact quartiles of a metric; one row."""
+    simple = rows.agg(
         F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"), F.percentile(value, F.lit(0.25)).alias("q1"),
-        F.percentile(value, F.lit(0.5)).alias("median"),
-        F.percentile(value, F.lit(0.75)).alias("q3"), F.max(value).alias("max"),
+        F.min(value).alias("min"), F.max(value).alias("max"),
+    )
+    quartiles = exact_quantiles(
+        rows.filter(F.col(value).isNotNull()), [], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    ).drop("n", "_rows")
+    # Both have one row, so they are joined by a constant.
+    return simple.withColumn("_one", F.lit(1)).join(quartiles.withColumn("_one", F.lit(1)), "_one", "left").select(
+        "n", "mean", "std", "min", "q1", "median", "q3", "max"
     )
 
 

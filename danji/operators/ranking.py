@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from danji.functions import address as A, filters, trade as T
 from danji.operators.skew import counted
@@ -39,6 +39,63 @@ def volume_by_complex(
     return parsed.filter(filters.trade_filter_region(sido, sigungu, emd))
 
 
+def placed_volumes(
+    trades: DataFrame, coords: DataFrame, as_of_year: int, *, sido=None, sigungu=None, emd=None,
+    dedupe: bool = False, **conditions,
+) -> DataFrame:
+    """volume_by_complex with sub-districts filled and coordinates found, in one pass over the trades.
+
+    Trades are counted once by their raw columns; rows that the conditions reject are counted too,
+    by address, complex and road alone, since the lookups see them. What best_emd and best_coords
+    look up by joins is then found in windows over a complex, all of them dealt by one shuffle of
+    the counts: a window holds a complex's distinct values, never its trades.
+    """
+    address = F.col("address")
+    near = trades.filter(address.isNotNull() & A.may_lie_in(address, sido, sigungu))
+    if filters.is_stored(trades):
+        near = near.filter(filters.folders(sido))
+    chosen = filters.valid_trade_rows() & filters.trade_filter_region(**conditions)
+    rows = near.withColumns(
+        {"area_band": T.area_band(F.col("area_m2")), "pyeong_band": T.pyeong_band(F.col("area_m2")),
+         "contract_year": T.contract_year(F.col("ym"))}
+    ).withColumn("chosen", F.coalesce(chosen & A.may_lie_in(address, emd), F.lit(False)))
+    detail = ["built_year", "area_band", "contract_year"]
+    levels = rows.withColumns({c: F.when(F.col("chosen"), F.col(c)) for c in detail})
+    groups = counted(levels, "address", "complex", "road", "chosen", *detail)
+    parsed = A.with_region_columns(A.with_road_key(groups)).filter(
+        filters.trade_filter_region(sido, sigungu)
+    )
+    known = coords.filter(F.col("lon").isNotNull()).groupBy("road_key").agg(
+        F.min(F.struct("lon", "lat")).alias("point")
+    )
+    # Counts are dealt by complex; both windows and what follows keep that.
+    seen = parsed.join(known, "road_key", "left")
+    place, named = W.partitionBy(*PLACE), F.col("complex").isNotNull() & (F.col("emd") != "")
+    per_emd = F.sum("n").over(W.partitionBy(*PLACE, "emd"))
+    modal = F.min(F.when(named, F.struct((-F.col("emd_n")).alias("less"), "emd"))).over(place)
+    filled = seen.withColumn("emd_n", per_emd).withColumn(
+        "filled", A.fill_emd(F.col("emd"), modal.getField("emd"))
+    )
+    point = F.struct((-F.length("road_key")).alias("less"), "road_key", "point.lon", "point.lat")
+    there = F.when(named & F.col("point").isNotNull(), point)
+    here = W.partitionBy(*PLACE, "filled")
+    points = F.array(F.min(there).over(here)) if dedupe else F.collect_set(there).over(here)
+    found = (
+        filled.withColumn("points", points)
+        .filter(F.col("chosen") & filters.trade_filter_region(emd=emd))
+        .withColumn("best", F.explode_outer("points"))
+    )
+    kept = [
+        "address", "complex", "road", "road_key", *detail, "n", "sido", "sigungu",
+        F.col("filled").alias("emd"), F.col("best.lon").alias("best_lon"), F.col("best.lat").alias("best_lat"),
+    ]
+    located = found.select(*kept).join(coords, "road_key", "left")
+    return located.withColumns(
+        {"lon": F.coalesce("best_lon", "lon"), "lat": F.coalesce("best_lat", "lat"),
+         "age_band": T.age_band(F.col("built_year"), as_of_year)}
+    ).drop("best_lon", "best_lat")
+
+
 def best_emd(trades: DataFrame) -> DataFrame:
     """Most frequent sub-district per complex; ties go to the first by name.
 

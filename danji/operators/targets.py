@@ -176,12 +176,18 @@ def households_like_join(targets: DataFrame, complexes: DataFrame) -> DataFrame:
     return both.groupBy("complex", "keyword").agg(F.max("households").alias("households"))
 
 
-def nearest_rank(matches: DataFrame) -> DataFrame:
-    """Best match per target and requested month: fewest months away, then the latest day."""
-    order = W.partitionBy(*TARGET, "target_ym").orderBy(
-        F.col("distance"), F.desc("last"), F.desc("ym")
-    )
-    return matches.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") == 1)
+def nearest_rank(around: DataFrame, max_months: int) -> DataFrame:
+    """The better of the trades `before` and `after` a requested month, each a struct (ym, last).
+
+    Fewest months away, then the later day and the higher amount, as `last` orders them.
+    """
+    def offer(side: str) -> Column:
+        distance = T.month_distance(F.col(f"{side}.ym"), F.col("target_ym"))
+        near = F.col(side).isNotNull() & (distance <= max_months)
+        return F.when(near, F.struct((-distance).alias("minus"), F.col(f"{side}.last").alias("last")))
+
+    best = F.greatest(offer("before"), offer("after"))
+    return around.withColumn("best", best).filter(F.col("best").isNotNull())
 
 
 def nearest_month_price(
@@ -189,16 +195,27 @@ def nearest_month_price(
 ) -> DataFrame:
     """Price at (complex, area, target_ym): that month's, else the nearest within max_months.
 
-    Equally near months are settled by the later day of month, then the higher amount.
+    Equally near months are settled by the later day of month, then the higher amount. A target's
+    months and its requests are one list, sorted once: a request sees the last trade up to its
+    month and the next one after it, so no trade is paired with more than its neighbours.
     """
-    wanted = requests.select(*TARGET, "target_ym").distinct()
-    near = (
-        target_months(requests, monthly).filter(F.col("last").isNotNull()).join(wanted, TARGET)
-        .withColumn("distance", T.month_distance(F.col("ym"), F.col("target_ym")))
-        .filter(F.col("distance") <= max_months)
-    )
-    return nearest_rank(near).select(
-        *TARGET, "target_ym", packed_amount(F.col("last")).alias("amount"), "distance"
+    trades = target_months(requests, monthly).filter(F.col("last").isNotNull())
+    trade = F.struct("ym", "last")
+    line = trades.select(*TARGET, "ym", trade.alias("trade"), F.lit(None).cast("int").alias("target_ym"))
+    asked = requests.select(
+        *TARGET, F.col("target_ym").alias("ym"), F.lit(None).cast(line.schema["trade"].dataType).alias("trade"),
+        F.col("target_ym").cast("int"),
+    ).distinct()
+    # A trade of the requested month itself stands before the request.
+    place = "PARTITION BY complex, area_m2 ORDER BY ym, trade IS NULL"
+    around = line.unionByName(asked).selectExpr(
+        *TARGET, "target_ym",
+        f"last_value(trade) IGNORE NULLS OVER ({place} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS before",
+        f"lead(trade, 1) IGNORE NULLS OVER ({place}) AS after",
+    ).filter("target_ym IS NOT NULL")
+    return nearest_rank(around, max_months).select(
+        *TARGET, "target_ym", packed_amount(F.col("best.last")).alias("amount"),
+        (-F.col("best.minus")).alias("distance"),
     )
 
 
@@ -216,6 +233,30 @@ def _found(candidates: DataFrame, sales: DataFrame) -> DataFrame:
     return targets_band_join(candidates, known.withColumn("actual", F.col("area_m2")))
 
 
+def _one_apart(areas: DataFrame) -> DataFrame:
+    """Of each complex's rows, by rising actual_area, those that are 1 or more above the last one taken.
+
+    A gap of 1 or more begins a new chain, whatever was taken before it, and the chain's first row
+    is taken. Only chains of several rows, such as those of areas written a little differently, are
+    walked, each by itself.
+    """
+    rising = W.partitionBy("complex").orderBy("actual_area")
+    gap = F.col("actual_area") - F.lag("actual_area").over(rising)
+    chains = areas.withColumn("_new", F.coalesce(gap >= 1, F.lit(True)).cast("int")).withColumn(
+        "_chain", F.sum("_new").over(rising)
+    ).groupBy("complex", "_chain").agg(
+        F.sort_array(F.collect_list(F.struct("actual_area", "area_m2"))).alias("_rows")
+    )
+    first = F.slice("_rows", 1, 1)
+    walked = F.aggregate(
+        "_rows", first, lambda kept, row: F.when(
+            row["actual_area"] - F.element_at(kept, -1)["actual_area"] >= 1, F.concat(kept, F.array(row))
+        ).otherwise(kept),
+    )
+    kept = F.when(F.size("_rows") == 1, F.col("_rows")).otherwise(walked)
+    return chains.select("complex", F.explode(kept).alias("_row")).select("complex", "_row.actual_area", "_row.area_m2")
+
+
 def validate_targets(candidates: DataFrame, sales: DataFrame, listed: DataFrame) -> DataFrame:
     """Status of each candidate (complex, area): not_found, ambiguous, duplicate or accepted.
 
@@ -245,16 +286,8 @@ def validate_targets(candidates: DataFrame, sales: DataFrame, listed: DataFrame)
     )
     alone = F.col("address") == F.col("_last_address")
     free = judged.filter(alone & F.col("_taken").isNull())
-    # Rising areas have rising actual areas, so an area is compared with the last one accepted.
-    # A name has as many of them as it has areas; they are walked inside one row.
-    kept = F.aggregate(
-        F.sort_array(F.collect_set("actual_area")), F.array().cast("array<double>"),
-        lambda held, x: F.when((F.size(held) > 0) & (x - F.element_at(held, -1) < 1), held).otherwise(
-            F.concat(held, F.array(x))),
-    )
-    added = free.groupBy("complex").agg(kept.alias("_kept")).select("complex", F.explode("_kept").alias("actual_area"))
-    first = free.groupBy("complex", "actual_area").agg(F.min("area_m2").alias("area_m2"))
-    added = added.join(first, ["complex", "actual_area"]).select(*TARGET, F.lit(True).alias("_added"))
+    added = _one_apart(free.groupBy("complex", "actual_area").agg(F.min("area_m2").alias("area_m2")))
+    added = added.select(*TARGET, F.lit(True).alias("_added"))
     status = (
         F.when(F.col("address").isNull(), "not_found")
         .when(~alone, "ambiguous")

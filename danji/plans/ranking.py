@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, Window as W
 
-from danji.functions import address as A, filters
+from danji.functions import filters
 from danji.operators import ranking as R
 
 
@@ -18,16 +18,7 @@ def complex_pivot(
     `dedupe_coords` keeps only the coordinates of its longest road key.
     `region` takes the arguments of filters.trade_filter_region.
     """
-    volumes = R.volume_by_complex(trades, as_of_year, **region)
-    located = volumes.join(coords, "road_key", "left")
-    # The lookups are needed for the chosen districts only.
-    near = trades.filter(
-        A.may_lie_in(F.col("address"), region.get("sido"), region.get("sigungu"))
-    )
-    if filters.is_stored(trades):
-        near = near.filter(filters.folders(region.get("sido")))
-    named = R.join_best_emd(located, R.best_emd(near))
-    placed = R.join_best_coords(named, R.best_coords(near, coords, dedupe_coords))
+    placed = R.placed_volumes(trades, coords, as_of_year, dedupe=dedupe_coords, **region)
     placed = placed.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
     sized = R.join_households_exact(placed, R.households_lookup(complexes))
     if households:
