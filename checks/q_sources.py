@@ -1,15 +1,19 @@
 """Scans, foreign layouts and report tables."""
 
+import uuid
+
 from pyspark.sql import functions as F, types as T
 
-from checks import q_ranking  # noqa: F401 - its SQL is used here
+from checks import q_filters, q_ranking  # noqa: F401 - their SQL is used here
 from checks.q_targets import PERIODS, PURCHASE_YM, roi_report, tracking_report
 from checks.registry import ORACLE, query
 from checks.views import AS_OF_YEAR
 from danji.functions import address as A, filters
+from danji.operators import ranking as R, targets as G
+from danji.operators.enrich import join_coords
 from danji.plans.ranking import complex_pivot
 from danji.schemas import source_to_engine
-from danji.sources import boundaries, reports, tables, targets
+from danji.sources import boundaries, names as complex_names, reports, rollups, tables, targets
 
 
 @query("scan_tables", """SELECT o_orderkey AS contract_id, o_custkey AS complex_id,
@@ -113,20 +117,30 @@ def _(v):
 
 
 @query("load_targets", """SELECT address, complex, area_m2,
-  row_number() OVER (ORDER BY address, complex, area_m2) - 1 AS place FROM targets""", "targets")
+  row_number() OVER (PARTITION BY area_m2 ORDER BY address, complex) - 1 AS place FROM targets""", "targets")
 def _(v):
-    """One array document; the list is short by its nature, so a row holds it."""
+    """A folder of array documents, one for each size."""
     names = source_to_engine("targets")
     entry = F.struct("address", "complex", "area_m2")
     listed = F.transform(F.sort_array(F.collect_list(entry)), lambda e: F.struct(
         *[e.getField(eng).alias(src) for src, eng in names.items()]))
-    path = v.folder("targets-document")
-    v.targets.agg(F.to_json(listed).alias("value")).write.text(path)
+    path = v.folder("targets-documents")
+    documents = v.targets.groupBy("area_m2").agg(F.to_json(listed).alias("value"))
+    documents.write.partitionBy("area_m2").text(path)
     loaded = targets.load_targets(v.spark, path, position=True)
     place = F.split_part("position", F.lit("#"), F.lit(-1)).cast("bigint").alias("place")
     return loaded.select("address", "complex", "area_m2", place)
 
 
+@query("load_targets_lines", "SELECT address, complex, area_m2 FROM targets", "targets")
+def _(v):
+    """Files of one object a line, read in splits."""
+    names = source_to_engine("targets")
+    path = v.folder("targets-lines")
+    v.targets.select(F.to_json(F.struct(*[F.col(eng).alias(src) for src, eng in names.items()])).alias("value")).write.text(path)
+    return targets.load_targets(v.spark, path)
+
+
 @query("scan_table", "SELECT * FROM sales", "sales")
 def _(v):
     """The sales stored under their source names and read back."""
@@ -156,6 +170,83 @@ def _(v):
         year_from=1997, year_to=1999, households=(200, 1500))
 
 
+def _bucketed(v, key):
+    table = f"trades_{uuid.uuid4().hex}"
+    tables.write_bucketed(v.sales, table, v.folder(table), key)
+    return tables.scan_bucketed(v.spark, table)
+
+
+@query("join_coords_bucketed", """SELECT address, complex, s.road, price, ym, lon, lat FROM sales_parts s
+  LEFT JOIN coords ON key_prefix || ' ' || s.road = road_key""", "sales_parts coords")
+def _(v):
+    return join_coords(_bucketed(v, "road_key"), v.coords).select(
+        "address", "complex", "road", "price", "ym", "lon", "lat")
+
+
+@query("latest_sale_bucketed", ORACLE["latest_sale"])
+def _(v):
+    """Trades stored in buckets of complexes meet the watch-list where they lie."""
+    summary = G.sale_summary(v.targets, _bucketed(v, "complex"))
+    return summary.filter("latest_sale IS NOT NULL").select(*G.TARGET, "latest_sale", "latest_is_direct")
+
+
+def _rolled(v):
+    """Partial counts of the sales: all but the last year, then the rest, then a late correction.
+
+    At first one month holds its trades twice and another one holds trades that were withdrawn
+    afterwards; the counts are refreshed for the touched months only.
+    """
+    path, sales = v.folder("counts"), v.sales
+    twice = sales.filter("ym = 199503")
+    early = sales.filter("ym < 199800").unionByName(twice).unionByName(
+        sales.filter("ym = 199604").withColumn("ym", F.lit(190001)))
+    rollups.refresh_counts(early, path, "first load")
+    batch = sales.filter("ym >= 199800")
+    rollups.refresh_counts(early.unionByName(batch), path, "append", rollups.touched_months(batch))
+    wrong = sales.sparkSession.createDataFrame([(199503,), (190001,)], "ym int")
+    rollups.refresh_counts(sales, path, "correction", rollups.touched_months(wrong))
+    return rollups.trade_counts(sales.limit(0), path, "correction")
+
+
+@query("trade_counts_stored", """SELECT ym, address, complex, road, count(*) AS n FROM sales
+  GROUP BY ym, address, complex, road""", "sales")
+def _(v):
+    return _rolled(v)
+
+
+@query("best_emd_stored", ORACLE["best_emd"])
+def _(v):
+    return R.best_emd_of(_rolled(v))
+
+
+@query("best_coords_stored", ORACLE["best_coords"])
+def _(v):
+    return R.best_coords_of(_rolled(v), v.coords)
+
+
+@query("region_hierarchy_stored", """SELECT DISTINCT sido, sigungu, emd FROM sales_parts
+  WHERE sido <> '' AND sigungu <> '' AND emd <> ''""", "sales_parts")
+def _(v):
+    return R.region_hierarchy_of(_rolled(v))
+
+
+@query("households_lookup_stored", ORACLE["households_lookup"])
+def _(v):
+    """Stored for one state of the register, stored anew for the next, and read."""
+    path = v.folder("households")
+    half = v.complexes.filter("households < 500")
+    rollups.stored_lookup(v.spark, path, "half", lambda: R.households_lookup(half))
+    rollups.stored_lookup(v.spark, path, "whole", lambda: R.households_lookup(v.complexes))
+    return rollups.stored_lookup(v.spark, path, "whole", lambda: R.households_lookup(half))
+
+
+@query("search_names", ORACLE["search_complex"])
+def _(v):
+    path = v.folder("names")
+    complex_names.write_names(v.sales, path)
+    return complex_names.search_names(v.spark, path, "ring")
+
+
 @query("load_regions_geo", "SELECT sig_cd, sig_kor_nm, full_nm, geometry_type FROM regions_geo",
        "regions_geo")
 def _(v):

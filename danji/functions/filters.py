@@ -197,12 +197,12 @@ def drop_null_metric(df: DataFrame, metric: str) -> DataFrame:
 
 
 def search_complex(sales: DataFrame, text: str) -> DataFrame:
-    """Distinct (address, complex, area) whose complex name contains the text."""
-    return (
-        sales.filter(F.col("complex").contains(text))
-        .select("address", "complex", "area_m2").distinct()
-        .orderBy("address", "area_m2", "complex")
-    )
+    """Distinct (address, complex, area) whose complex name contains the text, in no order.
+
+    It reads all sales; sources.names.search_names finds the same in a table of names. For a list
+    to show, order it where it is shown (profile.ordered_output).
+    """
+    return sales.filter(F.col("complex").contains(text)).select("address", "complex", "area_m2").distinct()
 
 
 def date_slice(series: DataFrame, first=None, last=None, months: int | None = 60) -> DataFrame:

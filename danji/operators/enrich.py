@@ -9,7 +9,9 @@ from danji.operators.skew import lookup_join
 
 
 def join_coords(trades: DataFrame, coords: DataFrame) -> DataFrame:
-    """Add lat and lon by road key; a key listed twice in coords repeats the trade."""
+    """Add lat and lon by road key, the trades' own if they have it; a key listed twice in coords repeats the trade."""
+    if "road_key" in trades.columns:  # stored with it: it may be what the trades are bucketed by
+        return lookup_join(trades, coords.select("road_key", "lat", "lon"), ["road_key"])
     lookup = coords.select(F.col("road_key").alias("_road_key"), "lat", "lon")
     keyed = A.with_road_key(trades, "_road_key")
     return lookup_join(keyed, lookup, ["_road_key"]).drop("_road_key")

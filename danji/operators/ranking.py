@@ -101,7 +101,12 @@ def best_emd(trades: DataFrame) -> DataFrame:
 
     Counted per raw address first: there are far fewer addresses than trades to parse.
     """
-    addresses = counted(trades.filter(F.col("address").isNotNull()), "address", "complex")
+    return best_emd_of(trades.withColumn("n", F.lit(1)))
+
+
+def best_emd_of(counts: DataFrame) -> DataFrame:
+    """best_emd from counts `n` per address and complex, whatever else they are divided by."""
+    addresses = counted(counts.filter(F.col("address").isNotNull()), "address", "complex", n=F.sum("n"))
     per_emd = (
         A.with_region_columns(addresses).filter(F.col("emd") != "")
         .groupBy(*PLACE, "emd").agg(F.sum("n").alias("n"))
@@ -113,7 +118,12 @@ def best_emd(trades: DataFrame) -> DataFrame:
 
 def best_coords(trades: DataFrame, coords: DataFrame, dedupe: bool = False) -> DataFrame:
     """Coordinates per complex and road, or (dedupe) those of the longest road key per complex."""
-    seen = counted(trades.filter(F.col("road").isNotNull()), "address", "complex", "road")
+    return best_coords_of(counted(trades, "address", "complex", "road"), coords, dedupe)
+
+
+def best_coords_of(counts: DataFrame, coords: DataFrame, dedupe: bool = False) -> DataFrame:
+    """best_coords from counts per address, complex and road, whatever else they are divided by."""
+    seen = counts.filter(F.col("road").isNotNull()).select("address", "complex", "road")
     keyed = (
         A.with_region_columns(A.with_road_key(seen)).filter(F.col("emd") != "")
         .select(*PLACE, "emd", "road_key").distinct()
@@ -230,7 +240,12 @@ def max_households_ceil(complexes: DataFrame) -> DataFrame:
 
 def region_hierarchy(trades: DataFrame) -> DataFrame:
     """Distinct province > district > sub-district."""
-    addresses = counted(trades.filter(F.col("address").isNotNull()), "address")
+    return region_hierarchy_of(trades)
+
+
+def region_hierarchy_of(counts: DataFrame) -> DataFrame:
+    """region_hierarchy from counts per address, whatever else they are divided by."""
+    addresses = counted(counts.filter(F.col("address").isNotNull()), "address")
     return (
         A.with_region_columns(addresses).select("sido", "sigungu", "emd")
         .filter(filters.nonempty_region()).distinct()

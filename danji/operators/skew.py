@@ -19,13 +19,13 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str =
     return facts.join(lookup, keys, how)
 
 
-def counted(df: DataFrame, *columns: str) -> DataFrame:
-    """Distinct values of the columns with their row count `n`.
+def counted(df: DataFrame, *columns: str, n: Column | None = None) -> DataFrame:
+    """Distinct values of the columns with their row count `n`, or another positive aggregate.
 
     The values are tied to the count, so that Catalyst leaves conditions on what is parsed from
     them above this aggregate: they are judged once per distinct value, not once per row.
     """
-    groups = df.groupBy(*columns).agg(F.count("*").alias("n"))
+    groups = df.groupBy(*columns).agg((F.count("*") if n is None else n).alias("n"))
     return groups.withColumns({c: F.when(F.col("n") > 0, F.col(c)) for c in columns})
 
 

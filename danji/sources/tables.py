@@ -42,7 +42,11 @@ def is_foreign(df: DataFrame) -> bool:
 
 
 def _amount(column: str) -> Column:
-    return Tr.numeric_cast(F.replace(F.col(f"`{column}`"), F.lit(","), F.lit("")), "bigint")
+    """A comma text as a number; a text that is none is an error, never a missing price."""
+    text = F.col(f"`{column}`")
+    number = Tr.numeric_cast(F.replace(text, F.lit(","), F.lit("")), "bigint")
+    unread = F.concat(F.lit(f"not an amount in {column}: "), text)
+    return F.when(text.isNotNull() & number.isNull(), F.raise_error(unread)).otherwise(number).cast("bigint")
 
 
 def _foreign_address() -> Column:
@@ -96,3 +100,27 @@ def write_trades(trades: DataFrame, path: str) -> None:
         derived.hint("rebalance", "sido", "contract_year", "ym")
         .write.mode("overwrite").partitionBy("sido", "contract_year").parquet(path)
     )
+
+
+def write_bucketed(trades: DataFrame, table: str, path: str, key: str = "complex", buckets: int | None = None) -> None:
+    """Store trades as the catalog's table `table` at `path`, in buckets sorted by `key`.
+
+    `key` is complex, or road_key, which is added. Joins and groupings on it then read the trades
+    where they lie: the other side is dealt to the buckets, the trades are not. So that Spark keeps to
+    them there are as many buckets as shuffle partitions, unless told otherwise; fewer are dealt anew.
+    Rows are shuffled to their bucket before they are written, so a bucket is one file. A key that
+    holds a large part of all trades makes a large bucket: for such data store by month (write_trades).
+    """
+    if key not in ("complex", "road_key"):
+        raise ValueError(f"trades are stored by complex or road_key, not {key}")
+    n = buckets or int(trades.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    derived = A.with_region_columns(A.with_road_key(trades)).withColumn("contract_year", Tr.contract_year(F.col("ym")))
+    (
+        derived.repartition(n, key).write.mode("overwrite").option("path", path)
+        .bucketBy(n, key).sortBy(key).saveAsTable(table)
+    )
+
+
+def scan_bucketed(spark: SparkSession, table: str) -> DataFrame:
+    """What write_bucketed stored, with its region columns and road key, by engine names."""
+    return spark.table(table)
