@@ -179,6 +179,59 @@ def test_every_decoded_layer_is_opened(inner):
         assert 5 <= a < b <= 5 + len(inner)
 
 
+def by_percent(raw):
+    return "".join(f"%{c:02X}" for c in raw)
+
+
+def in_lines(raw, width, gap):
+    whole = base64.b64encode(raw).decode()
+    return gap.join(whole[i : i + width] for i in range(0, len(whole), width))
+
+
+ZIPPED = gzip.compress(SECRET.encode(), mtime=0)
+
+
+@pytest.mark.parametrize("inner", [
+    base64.b64encode(gzip.compress(ZIPPED, mtime=0)).decode(), base64.b64encode(zlib.compress(ZIPPED)).decode(),
+    base64.b64encode(gzip.compress(gzip.compress(ZIPPED, mtime=0), mtime=0)).decode(), by_percent(ZIPPED), by_percent(zlib.compress(SECRET.encode())),
+    by_percent(gzip.compress(by_percent(ZIPPED).encode(), mtime=0)), "".join(f"\\x{c:02x}" for c in ZIPPED),
+    by_percent(SECRET.encode("utf-16")), base64.b64encode(ZIPPED[:-8]).decode(),
+    *(in_lines(raw, width, gap) for raw in (SECRET.encode(), ZIPPED) for width in (16, 20, 5) for gap in ("\n", "\r\n", "\n> ", "\n>> ", "\\n", "\\r\\n", '"\n"')),
+])
+def test_bytes_are_opened_whatever_they_come_from(inner):
+    for before, after in (("héad ", " tail"), ("héad\n", "\ntail")):
+        text = f"{before}{inner}{after}"
+        _, every = secret_scan.all_spans(text)
+        assert {0, 1} <= {f[2] for f in every}
+        # Words on the lines around may be read as more of a run over lines.
+        assert all(0 <= a < b <= len(text) and b > 5 and a < 5 + len(inner) for a, b, _ in every)
+
+
+@pytest.mark.parametrize("edge", [-60, -40, -20, -1, 0, 30])
+def test_nothing_is_lost_where_a_layer_moves_to_a_file(edge, monkeypatch):
+    monkeypatch.setattr(secret_scan, "HELD", 1 << 18)
+    monkeypatch.setattr(secret_scan, "STEP", 1 << 14)
+    for at in (secret_scan.HELD, 3 * secret_scan.STEP, 40_000_000 if not edge else secret_scan.HELD * 2):
+        outer = gzip.compress(b" " * (at + edge) + base64.b64encode(ZIPPED) + b" " * 300, mtime=0)
+        text = f"héad {base64.b64encode(outer).decode()} tail"
+        _, every = secret_scan.all_spans(text)
+        assert {0, 1} <= {f[2] for f in every} and all((a, b) == (5, len(text) - 5) for a, b, _ in every)
+    # Rewritten, narrowed and decoded layers go to files as well.
+    raw = gzip.compress((" " * secret_scan.HELD + by_percent(SECRET.encode())).encode("utf-16"), mtime=0)
+    _, every = secret_scan.all_spans(base64.b64encode(raw).decode())
+    assert {0, 1} <= {f[2] for f in every}
+
+
+def test_findings_in_rewritten_text_map_to_their_signs():
+    text = "é%20pass%77ord=abcdefghijkl&amp;x"
+    _, every = secret_scan.all_spans(text)
+    assert every == [(4, 27, 0)] and text[4:27] == "pass%77ord=abcdefghijkl"
+
+
+def test_no_documents_no_secrets(spark):
+    assert secret_spans(documents(spark, [])).count() == 0
+
+
 def test_layers_that_hold_one_another_end():
     text = "%25" * 50 + packed("%2525") + "&amp;amp;amp;"
     assert secret_scan.all_spans(text)[0] == []
