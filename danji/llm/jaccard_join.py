@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from danji.llm.common import connected_components, cut, ship, shuffle_partitions
+from danji.llm.common import connected_components, cut, hot_left_join, ship, shuffle_partitions
 from danji.llm.words import parts, steps
 
 #: Shingles that may be called frequent at most: what is broadcast is this many 8-byte hashes and classes.
@@ -70,6 +70,21 @@ def shingle_sets(texts: pa.Array, width: int):
             yield np.zeros(0, np.uint64)
 
 
+def _named(shingles: np.ndarray) -> int:
+    """63 bits that stand for a set."""
+    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()[:8], "little") >> 1
+
+
+def _classes(shingles: np.ndarray, frequent) -> np.ndarray:
+    """The class of each shingle, 0 for those that aren't frequent."""
+    code, classes, buckets = frequent
+    if not len(code):
+        return np.zeros(len(shingles), np.uint8)
+    mine = (shingles >> np.uint64(32)) * np.uint64(buckets) + shingles % np.uint64(buckets)
+    at = np.minimum(np.searchsorted(code, mine), len(code) - 1)
+    return np.where(code[at] == mine, classes[at], 0)
+
+
 def _gaps(keys: np.ndarray) -> bytes:
     """Rising 32-bit numbers as gaps, byte by byte: their high bytes are zeros and compress."""
     return np.diff(keys, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
@@ -145,7 +160,7 @@ def frequent_shingles(docs: DataFrame, width: int, text_bytes: int) -> tuple[np.
 
 
 def prefixes(docs: DataFrame, width: int, percent: int, frequent) -> DataFrame:
-    """Two kinds of rows: of documents (doc_id, n, digest, node, hot), and of prefix entries (bucket, keys, ...).
+    """Two kinds of rows: of documents (doc_id, n, digest, node, hot, core, rare), and of prefix entries (bucket, keys, ...).
 
     The global order of shingles: rarer classes first, then by hash. For a demand of m matches the
     prefix has n - ceil(t n) + m shingles: two sets of similarity t or more share m of the smaller
@@ -154,9 +169,11 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent) -> DataFrame:
     as the list's length; a document of frequent shingles so demands more of them.
 
     Frequent shingles have no lists. hot are those in the prefix for a demand of one: two similar
-    sets share a shingle of these prefixes, so they share a hot one, which makes them a family, or
-    a rare one. In the second case they also share as many rare ones as the smaller of their demands,
-    each less the frequent shingles in its own prefix, and at least one; this is the entries' demand.
+    sets share a shingle of these prefixes, a hot one or a rare one. In the second case they also share
+    as many rare ones as the smaller of their demands, each less the frequent shingles in its own
+    prefix, and at least one; this is the entries' demand. In the first case alone they share no rare
+    shingle at all, since a prefix that reaches a frequent one holds all the set's rare ones: then
+    only the core counts, which is the set's frequent shingles, and `rare`, the number of the others.
 
     node stands for the set: 63 bits of its digest, so equal sets are one node from the start. The
     rare shingles of the prefix become entries, by bucket: 32 bits of each shingle's
@@ -166,19 +183,17 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
-        code, classes, buckets = shared.value
+        buckets = shared.value[2]
         for batch in batches:
             for step in steps(batch, 1):
-                ids, ns, digests, nodes, demands, rare, hot = [], [], [], [], [], [], []
+                ids, ns, digests, nodes, demands, rare, hot, cores, others = [], [], [], [], [], [], [], [], []
                 for doc, s in zip(step.column(0).to_pylist(), shingle_sets(step.column(1), width)):
-                    n, m = len(s), 0
+                    n, m, core, left = len(s), 0, None, 0
                     digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                     hot.append(np.zeros(0, np.int64))
                     rare.append(np.zeros(0, np.uint64))
                     if n:
-                        mine = (s >> np.uint64(32)) * np.uint64(buckets) + s % np.uint64(buckets)
-                        at = np.minimum(np.searchsorted(code, mine), max(len(code) - 1, 0))
-                        rank = np.where(code[at] == mine, classes[at], 0) if len(code) else np.zeros(n, np.uint8)
+                        rank = _classes(s, shared.value)
                         order = np.lexsort((s, rank))
                         need = -(-percent * n // 100)
                         most = min(MOST_MATCHES, need)
@@ -193,10 +208,14 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent) -> DataFrame:
                         rare[-1] = s[chosen[~often]]
                         hot[-1] = s[chosen[: n - need + 1][often[: n - need + 1]]].view(np.int64)
                         m = max(1, m - int(often.sum()))
+                        if len(hot[-1]):
+                            core, left = _named(s[rank > 0]), int((rank == 0).sum())
+                    cores.append(core)
+                    others.append(left)
                     ids.append(doc)
                     ns.append(n)
                     digests.append(digest)
-                    nodes.append(int.from_bytes(digest[:8], "little") >> 1)
+                    nodes.append(_named(s))
                     demands.append(m)
                 count = len(ids)
                 # Equal sets of a step need one entry each.
@@ -221,14 +240,15 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids + none, pa.int64()), pa.array(ns + none, pa.int32()), pa.array(digests + none, pa.binary()),
-                        pa.array(nodes + none, pa.int64()), pa.array(hot + none, pa.list_(pa.int64())), pa.array(more + full, pa.int32()),
+                        pa.array(nodes + none, pa.int64()), pa.array(hot + none, pa.list_(pa.int64())),
+                        pa.array(cores + none, pa.int64()), pa.array(others + none, pa.int32()), pa.array(more + full, pa.int32()),
                         *[pa.array(more + blobs[c], pa.binary()) for c in blobs],
                     ],
-                    ["doc_id", "n", "digest", "node", "hot", "bucket", *blobs],
+                    ["doc_id", "n", "digest", "node", "hot", "core", "rare", "bucket", *blobs],
                 )
 
     return docs.mapInArrow(
-        run, "doc_id bigint, n int, digest binary, node bigint, hot array<bigint>, bucket int, "
+        run, "doc_id bigint, n int, digest binary, node bigint, hot array<bigint>, core bigint, rare int, bucket int, "
              "keys binary, place binary, nodes binary, sizes binary, demands binary"
     )
 
@@ -298,12 +318,16 @@ def _bitmap(rows: DataFrame) -> np.ndarray:
     return np.unpackbits(marks)
 
 
-def _verified(families: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _verified(families: DataFrame, docs: DataFrame, width: int, percent: int, frequent=None) -> DataFrame:
     """Links (a, b) of each family, enough of them to connect what is connected.
 
-    families: doc_id, n, family. A family small enough is one block. A larger one is cut into bands of
-    lengths, such that linked sets are in the same band or neighbours, and bands into blocks bounded in
+    families: doc_id, n, rare, family. A family small enough is one block. A larger one is cut into bands
+    of lengths, such that linked sets are in the same band or neighbours, and bands into blocks bounded in
     sets and shingles; every pair of blocks that can hold a link is a group of its own, and a task holds one.
+
+    With the frequent shingles given only these are compared, each set having `rare` others that are in
+    no other set. Then there are rows with a cap, too, the greatest for each linked a in a group: a set of
+    a's core with so many rare shingles would still link to b.
     """
     wide = math.log(100 / percent) * 1.0001
     banded = families.withColumn("band", F.floor(F.log("n") / wide).cast("int"))
@@ -323,27 +347,38 @@ def _verified(families: DataFrame, docs: DataFrame, width: int, percent: int) ->
             if(above is null, array(), transform(sequence(0, above - 1), o -> struct(band as p, block as i, 1000000 + o as j, false as right))),
             if(below is null, array(), transform(sequence(0, below - 1), o -> struct(band - 1 as p, o as i, 1000000 + block as j, true as right)))
         )"""))
-    placed = placed.withColumn("block", block).select("doc_id", "family", F.explode(keys).alias("key"))
-    placed = cut(placed.select("doc_id", "family", "key.p", "key.i", "key.j", "key.right"))
-    chosen = docs.sparkSession.sparkContext.broadcast(_bitmap(placed))
+    placed = placed.withColumn("block", block).select("doc_id", "family", "rare", F.explode(keys).alias("key"))
+    placed = cut(placed.select("doc_id", "family", "rare", "key.p", "key.i", "key.j", "key.right"))
+    context = docs.sparkSession.sparkContext
+    chosen = context.broadcast(_bitmap(placed))
+    common = context.broadcast(frequent) if frequent else None
 
     def sets(batches):
         for batch in batches:
             hit = chosen.value[_bit(batch.column(0).to_numpy())] > 0
             for step in steps(batch.filter(pa.array(hit)), 1):
-                found = [s.tobytes() for s in shingle_sets(step.column(1), width)]
+                found = shingle_sets(step.column(1), width)
+                if common:
+                    found = (s[_classes(s, common.value) > 0] for s in found)
+                found = [s.tobytes() for s in found]
                 yield pa.RecordBatch.from_arrays([step.column(0), pa.array(found, pa.binary())], ["doc_id", "shingles"])
 
     def link(group):
         sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
-        return _links(group["doc_id"].to_numpy(), sets, group["right"].to_numpy(), group["i"].iloc[0] == group["j"].iloc[0], percent)
+        rare = group["rare"].to_numpy(np.int64) if common else np.zeros(len(sets), np.int64)
+        same = group["i"].iloc[0] == group["j"].iloc[0]
+        return _links(group["doc_id"].to_numpy(), sets, rare, group["right"].to_numpy(), same, percent, bool(common))
 
     shingled = docs.mapInArrow(sets, "doc_id bigint, shingles binary")
-    return placed.join(shingled, "doc_id").groupBy("family", "p", "i", "j").applyInPandas(link, "a bigint, b bigint")
+    return placed.join(shingled, "doc_id").groupBy("family", "p", "i", "j").applyInPandas(link, "a bigint, b bigint, cap bigint")
+
 
+def _links(ids, sets, rare, right, same: bool, percent: int, caps: bool):
+    """Spanning links among the sets (same), or between those of the left and the right side.
 
-def _links(ids, sets, right, same: bool, percent: int):
-    """Spanning links among the sets (same), or between those of the left and the right side."""
+    A set has `rare` elements more, of its own. With caps also, for each set with a link, how many it
+    could have at most and still link to the other one that is best for this.
+    """
     import pandas as pd
 
     size = np.array([len(s) for s in sets])
@@ -359,7 +394,8 @@ def _links(ids, sets, right, same: bool, percent: int):
         dense = np.zeros((len(sets), min(8192, width - a)), np.float32)
         dense[row[part], column[part] - a] = 1
         shared += (dense @ dense.T).astype(np.int64)
-    linked = 100 * shared >= percent * (size[:, None] + size[None, :] - shared)
+    union = size[:, None] + size[None, :] - shared
+    linked = 100 * shared >= percent * (union + rare[:, None] + rare[None, :])
     if not same:
         linked &= right[:, None] != right[None, :]
     parent = list(range(len(sets)))
@@ -375,8 +411,46 @@ def _links(ids, sets, right, same: bool, percent: int):
         x, y = find(i), find(j)
         if x != y:
             parent[x] = y
-            out.append((ids[i], ids[j]))
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+            out.append((ids[i], ids[j], -1))
+    if caps:
+        np.fill_diagonal(linked, False)
+        cap = np.where(linked, 100 * shared // percent - union - rare[None, :], -1)
+        best = cap.argmax(1)
+        out += [(ids[i], ids[best[i]], cap[i, best[i]]) for i in np.flatnonzero(linked.any(1))]
+    return pd.DataFrame(out, columns=["a", "b", "cap"]).astype("int64")
+
+
+def _core_links(nodes: DataFrame, hot: DataFrame, texts: DataFrame, width: int, percent: int, frequent) -> DataFrame:
+    """Links (a, b) that connect all sets whose links come from frequent shingles alone.
+
+    nodes: doc_id, n, core, rare of each distinct set that has hot shingles; hot: h, core. Two such
+    sets share no rare shingle, so what they have in common is what their cores have, and of one core
+    the set with the fewest rare shingles, its first, links to whatever another one of them links to.
+    So only the first sets of distinct cores are compared with one another, in families of cores that
+    share a hot shingle, and any other set is linked to the first set of the core that is best for it,
+    its own or another one: where it has no more rare shingles than the cap it is a link, and the two
+    cores' first sets are linked as well. Near copies of a template, however many, have few cores.
+    """
+    first = F.min(F.struct("rare", "doc_id", "n"))
+    cores = cut(
+        nodes.groupBy("core").agg(first.alias("first"), F.count("*").alias("sets"))
+        .select("core", "first.doc_id", "first.n", "first.rare", "sets")
+    )
+    # A shingle is a node of its own, below those of cores.
+    edges = hot.select((-F.expr("(h >> 1) & 9223372036854775807") - 2).alias("a"), F.col("core").alias("b"))
+    family = connected_components(edges).selectExpr("node as core", "root as family")
+    families = cut(cores.join(family, "core").select("doc_id", "n", "rare", "family"))
+    found = cut(_verified(families, texts, width, percent, frequent))
+    best = found.where("cap >= 0").groupBy("a").agg(F.max(F.struct("cap", "b")).alias("best"))
+    own = F.expr(f"100 * (n - rare) div {percent} - (n - rare) - rare")
+    capped = cores.join(best, cores["doc_id"] == best["a"], "left").select(
+        "core", "sets", F.col("doc_id").alias("first_id"),
+        F.greatest(F.struct(own.alias("cap"), F.col("doc_id").alias("b")), "best").alias("best"),
+    )
+    several = capped.where("sets > 1")
+    others = hot_left_join(nodes.select("doc_id", "core", "rare"), several, ["core"], "sets")
+    more = others.where("doc_id <> first_id and rare <= best.cap").select(F.col("doc_id").alias("a"), F.col("best.b").alias("b"))
+    return found.where("cap < 0").select("a", "b").unionAll(more)
 
 
 def similar_components(
@@ -389,10 +463,10 @@ def similar_components(
     included. No link is lost: the result is exact but for 64-bit hash collisions.
 
     Equal sets are one from the start (a digest, combined on the map side). The sets' adaptive
-    prefixes find candidates by their rare shingles, which must share as many as the smaller demand;
-    frequent shingles of a prefix join their documents to a family. Families, the components of
-    both, are verified block by block with exact intersections, of which a spanning forest
-    is kept: a group of near copies never becomes all its pairs of rows.
+    prefixes find candidates by their rare shingles, of which they must share as many as the smaller
+    demand; the candidates' components are verified block by block with exact intersections, of which
+    a spanning forest is kept. Sets that share frequent shingles alone are compared by their
+    cores (see _core_links): a group of near copies never becomes all its pairs.
 
     Ids are bigint and one per document: rows that repeat an id count as one document of each text,
     linked through the id. A null id gets n_shingles and itself, null, as component. Documents without
@@ -403,21 +477,23 @@ def similar_components(
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     frequent = frequent_shingles(texts, width, size)
     table = cut(prefixes(texts, width, percent, frequent))
-    docs_of = table.where("bucket is null").select("doc_id", "n", "digest", "node", "hot")
+    docs_of = table.where("bucket is null").select("doc_id", "n", "digest", "node", "hot", "core", "rare")
     with_words = docs_of.where("n > 0 and doc_id is not null")
-    reps = with_words.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    pairs = _candidates(table.where("bucket is not null"), percent, frequent[2])
-    # A frequent shingle is a node of its own, below those of sets.
-    shingle = F.expr("(h >> 1) & 9223372036854775807")
-    hot = with_words.select(F.explode("hot").alias("h"), "node").distinct().select((-shingle - 2).alias("a"), F.col("node").alias("b"))
-    edges = pairs.unionAll(hot) if len(frequent[0]) else pairs
-    family = connected_components(edges).select("node", F.col("root").alias("family"))
+    named = texts.where("doc_id is not null")
     # One document stands for a node; rows are counted per node before they are joined.
-    nodes = with_words.groupBy("node").agg(F.min(F.struct("doc_id", "n")).alias("d")).select("node", "d.doc_id", "d.n")
-    families = cut(nodes.join(family, "node").select("doc_id", "n", "family"))
-    links = cut(_verified(families, texts.where("doc_id is not null"), width, percent))
-    copies = with_words.join(reps, "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    roots = connected_components(links.unionAll(copies)).withColumnsRenamed({"node": "doc_id", "root": "component_id"})
+    one = F.min(F.struct("doc_id", "n", "core", "rare"))
+    nodes = cut(with_words.groupBy("node").agg(one.alias("d")).select("node", "d.*"))
+    pairs = _candidates(table.where("bucket is not null"), percent, frequent[2])
+    family = connected_components(pairs).select("node", F.col("root").alias("family"))
+    families = cut(nodes.join(family, "node").select("doc_id", "n", "rare", "family"))
+    links = cut(_verified(families, named, width, percent)).select("a", "b")
+    if len(frequent[0]):
+        hot = with_words.where("core is not null").select(F.explode("hot").alias("h"), "core").distinct()
+        links = links.unionAll(_core_links(nodes.where("core is not null"), hot, named, width, percent, frequent))
+    reps = cut(with_words.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"))).where("rows > 1")
+    copies = hot_left_join(with_words.select("doc_id", "digest"), reps, ["digest"], "rows").where("rep is not null")
+    roots = connected_components(links.unionAll(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
+    roots = roots.withColumnsRenamed({"node": "doc_id", "root": "component_id"})
     return docs_of.select("doc_id", F.col("n").cast("bigint").alias("n_shingles")).join(roots, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )

@@ -290,6 +290,50 @@ def test_components_equal_brute_force(spark, monkeypatch, width, percent):
     assert got == brute_components(rows, width, percent)
 
 
+def template_rows(seed, count, words=80, slots=80, vocabulary=0, changes=(1,)):
+    """Copies of one text with some words changed, by new words or those of a small vocabulary."""
+    r = random.Random(seed)
+    base = prose(seed, words).split(" ")
+    rows = []
+    for i in range(count):
+        text = list(base)
+        for k in range(r.choice(changes)):
+            text[r.randrange(slots)] = f"v{r.randrange(vocabulary)}" if vocabulary else f"new{i}x{k}"
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("vocabulary, changes", [(0, (0, 1, 1, 1, 2, 3)), (0, (1,)), (6, (1, 2, 2)), (40, (1, 1, 3, 5))])
+@pytest.mark.parametrize("width, percent", [(3, 90), (5, 80)])
+def test_components_of_templates_equal_brute_force(spark, monkeypatch, vocabulary, changes, width, percent):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 24)
+    monkeypatch.setattr(jaccard_join, "LEAST_FREQUENT", 5)
+    rows = template_rows(3, 220, vocabulary=vocabulary, changes=changes)
+    other = [(1000 + i, t + " " + prose(i, 3 + i % 9)) for i, t in template_rows(4, 60, words=50, slots=12, vocabulary=vocabulary, changes=changes)]
+    rows += other + [(2000 + i, t) for i, t in rows[:20]]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows_of(similar_components(documents(spark, rows), width, percent))}
+    want = brute_components(rows, width, percent)
+    assert got == want and 1 < len({c for _, c in want.values()}) < len(rows)
+
+
+def test_copies_of_a_template_are_compared_by_their_cores(spark, monkeypatch):
+    sent = []
+    marked = jaccard_join._bitmap
+
+    def counted(placed):
+        sent[-1] += placed.count()
+        return marked(placed)
+
+    monkeypatch.setattr(jaccard_join, "_bitmap", counted)
+    for count in (1500, 3000):
+        sent.append(0)
+        rows = template_rows(5, count)
+        got = rows_of(similar_components(documents(spark, rows), 3, 90))
+        # Each word's copies are one component with those of the words beside it, or more.
+        assert len(got) == count and len({r["component_id"] for r in got}) <= 80
+    assert sent[1] <= 1.2 * sent[0] and sent[1] < 1500
+
+
 def test_similar_odd_tables(spark):
     assert similar_components(documents(spark, [])).count() == 0
     text = prose(1, 30)
