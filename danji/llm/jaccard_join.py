@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import math
-from functools import lru_cache
+from collections.abc import Callable, Iterable
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,9 @@ BLOCK_SHINGLES = 1_000_000
 #: Marks by which texts are picked for verification: a megabyte as bits, eight as bytes.
 FILTER = 1 << 23
 
+#: The sets of a batch of texts, as sorted arrays of distinct 64-bit hashes.
+Sets = Callable[[pa.Array], Iterable[np.ndarray]]
+
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -106,7 +110,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def frequent_shingles(docs: DataFrame, width: int, text_bytes: int) -> tuple[np.ndarray, np.ndarray, int]:
+def frequent_shingles(docs: DataFrame, sets_of: Sets, text_bytes: int) -> tuple[np.ndarray, np.ndarray, int]:
     """(keys, classes, buckets) of the shingles in many documents, sorted by key; at most MOST_FREQUENT.
 
     Every shingle of every document is counted: a task counts its own and sends them, as sorted 32-bit
@@ -121,7 +125,7 @@ def frequent_shingles(docs: DataFrame, width: int, text_bytes: int) -> tuple[np.
     def count(batches):
         for batch in batches:
             for step in steps(batch, 1):
-                sets = list(shingle_sets(step.column(1), width))
+                sets = list(sets_of(step.column(1)))
                 every = np.concatenate([np.zeros(0, np.uint64), *sets])
                 _, keys, edges = _by_bucket(every, buckets)
                 full = np.flatnonzero(np.diff(edges)).tolist()
@@ -159,7 +163,7 @@ def frequent_shingles(docs: DataFrame, width: int, text_bytes: int) -> tuple[np.
     return code[order], classes[order], buckets
 
 
-def prefixes(docs: DataFrame, width: int, percent: int, frequent) -> DataFrame:
+def prefixes(docs: DataFrame, sets_of: Sets, percent: int, frequent) -> DataFrame:
     """Two kinds of rows: of documents (doc_id, n, digest, node, hot, core, rare), and of prefix entries (bucket, keys, ...).
 
     The global order of shingles: rarer classes first, then by hash. For a demand of m matches the
@@ -187,7 +191,7 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent) -> DataFrame:
         for batch in batches:
             for step in steps(batch, 1):
                 ids, ns, digests, nodes, demands, rare, hot, cores, others = [], [], [], [], [], [], [], [], []
-                for doc, s in zip(step.column(0).to_pylist(), shingle_sets(step.column(1), width)):
+                for doc, s in zip(step.column(0).to_pylist(), sets_of(step.column(1))):
                     n, m, core, left = len(s), 0, None, 0
                     digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                     hot.append(np.zeros(0, np.int64))
@@ -318,7 +322,7 @@ def _bitmap(rows: DataFrame) -> np.ndarray:
     return np.unpackbits(marks)
 
 
-def _verified(families: DataFrame, docs: DataFrame, width: int, percent: int, frequent=None) -> DataFrame:
+def _verified(families: DataFrame, docs: DataFrame, sets_of: Sets, percent: int, frequent=None) -> DataFrame:
     """Links (a, b) of each family, enough of them to connect what is connected.
 
     families: doc_id, n, rare, family. A family small enough is one block. A larger one is cut into bands
@@ -357,7 +361,7 @@ def _verified(families: DataFrame, docs: DataFrame, width: int, percent: int, fr
         for batch in batches:
             hit = chosen.value[_bit(batch.column(0).to_numpy())] > 0
             for step in steps(batch.filter(pa.array(hit)), 1):
-                found = shingle_sets(step.column(1), width)
+                found = sets_of(step.column(1))
                 if common:
                     found = (s[_classes(s, common.value) > 0] for s in found)
                 found = [s.tobytes() for s in found]
@@ -420,7 +424,7 @@ def _links(ids, sets, rare, right, same: bool, percent: int, caps: bool):
     return pd.DataFrame(out, columns=["a", "b", "cap"]).astype("int64")
 
 
-def _core_links(nodes: DataFrame, hot: DataFrame, texts: DataFrame, width: int, percent: int, frequent) -> DataFrame:
+def _core_links(nodes: DataFrame, hot: DataFrame, texts: DataFrame, sets_of: Sets, percent: int, frequent) -> DataFrame:
     """Links (a, b) that connect all sets whose links come from frequent shingles alone.
 
     nodes: doc_id, n, core, rare of each distinct set that has hot shingles; hot: h, core. Two such
@@ -440,7 +444,7 @@ def _core_links(nodes: DataFrame, hot: DataFrame, texts: DataFrame, width: int,
     edges = hot.select((-F.expr("(h >> 1) & 9223372036854775807") - 2).alias("a"), F.col("core").alias("b"))
     family = connected_components(edges).selectExpr("node as core", "root as family")
     families = cut(cores.join(family, "core").select("doc_id", "n", "rare", "family"))
-    found = cut(_verified(families, texts, width, percent, frequent))
+    found = cut(_verified(families, texts, sets_of, percent, frequent))
     best = found.where("cap >= 0").groupBy("a").agg(F.max(F.struct("cap", "b")).alias("best"))
     own = F.expr(f"100 * (n - rare) div {percent} - (n - rare) - rare")
     capped = cores.join(best, cores["doc_id"] == best["a"], "left").select(
@@ -472,11 +476,20 @@ def similar_components(
     linked through the id. A null id gets n_shingles and itself, null, as component. Documents without
     words (null, empty or blank text) have 0 shingles and link with nothing, also not with one another.
     """
+    return similar_sets(docs, partial(shingle_sets, width=width), percent, id_col, text_col).withColumnRenamed("n", "n_shingles")
+
+
+def similar_sets(docs: DataFrame, sets_of: Sets, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n, component_id: similar_components for any sets; sets_of gives those of a batch of texts.
+
+    A set is a sorted array of distinct 64-bit hashes, the same for equal texts. Texts of empty sets
+    link with nothing.
+    """
     ship(docs.sparkSession)
     texts = _texts(docs, id_col, text_col)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    frequent = frequent_shingles(texts, width, size)
-    table = cut(prefixes(texts, width, percent, frequent))
+    frequent = frequent_shingles(texts, sets_of, size)
+    table = cut(prefixes(texts, sets_of, percent, frequent))
     docs_of = table.where("bucket is null").select("doc_id", "n", "digest", "node", "hot", "core", "rare")
     with_words = docs_of.where("n > 0 and doc_id is not null")
     named = texts.where("doc_id is not null")
@@ -486,16 +499,16 @@ def similar_components(
     pairs = _candidates(table.where("bucket is not null"), percent, frequent[2])
     family = connected_components(pairs).select("node", F.col("root").alias("family"))
     families = cut(nodes.join(family, "node").select("doc_id", "n", "rare", "family"))
-    links = cut(_verified(families, named, width, percent)).select("a", "b")
+    links = cut(_verified(families, named, sets_of, percent)).select("a", "b")
     if len(frequent[0]):
         hot = with_words.where("core is not null").select(F.explode("hot").alias("h"), "core").distinct()
-        links = links.unionAll(_core_links(nodes.where("core is not null"), hot, named, width, percent, frequent))
+        links = links.unionAll(_core_links(nodes.where("core is not null"), hot, named, sets_of, percent, frequent))
     reps = cut(with_words.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"))).where("rows > 1")
     copies = hot_left_join(with_words.select("doc_id", "digest"), reps, ["digest"], "rows").where("rep is not null")
     roots = connected_components(links.unionAll(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
     roots = roots.withColumnsRenamed({"node": "doc_id", "root": "component_id"})
-    return docs_of.select("doc_id", F.col("n").cast("bigint").alias("n_shingles")).join(roots, "doc_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+    return docs_of.select("doc_id", F.col("n").cast("bigint").alias("n")).join(roots, "doc_id", "left").select(
+        "doc_id", "n", F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 

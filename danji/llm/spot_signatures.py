@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from danji.llm.common import shuffle_partitions, ship
+from danji.llm.jaccard_join import similar_sets
 from danji.llm.words import parts, steps
 
 #: Common words of four languages, the anchors unless others are given.
@@ -235,6 +236,24 @@ def spot_signatures(
     return rows.mapInArrow(found, f"doc_id {kind}, n_spots bigint, fingerprint string")
 
 
+def spot_classes(
+    docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", anchors: list[str] = ANCHORS, chain: int = CHAIN
+) -> DataFrame:
+    """doc_id, n_spots, class_id: documents whose spots have a Jaccard similarity of percent / 100 or more.
+
+    class_id is the smallest id reachable by such links. Sets are partitioned by their number of
+    spots, so that links lie within a partition or between neighbours, and only sets that share
+    signatures rare enough are compared (see jaccard_join.similar_sets); no link is lost. Texts without
+    spots are in a class of their own. Ids are bigint, one per document.
+    """
+    spotter = Spotter(anchors, chain)
+
+    def sets_of(texts: pa.Array) -> list[np.ndarray]:
+        return [np.sort(_mixed(p.spots + np.uint64(1))) for p in spotter.fingerprints(texts)]
+
+    return similar_sets(docs, sets_of, percent, id_col, text_col).withColumnsRenamed({"n": "n_spots", "component_id": "class_id"})
+
+
 COMPARED = (
     "n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 )

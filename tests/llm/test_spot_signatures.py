@@ -11,7 +11,7 @@ import xxhash
 
 from danji.llm import spot_signatures as spots
 from danji.llm.queries import op13_spot_signatures
-from danji.llm.spot_signatures import ANCHORS, CHAIN, Spotter, compared_in_order, jaccard, likeness, read, spot_signatures
+from danji.llm.spot_signatures import ANCHORS, CHAIN, Spotter, compared_in_order, jaccard, likeness, read, spot_classes, spot_signatures
 from tests.llm.helpers import documents, rows_of
 
 NAMES = "alder birch cedar elm fir gum hazel ivy juniper larch maple oak pine rowan spruce tamarack willow yew".split()
@@ -111,3 +111,31 @@ def test_equal_texts_have_equal_fingerprints_wherever_they_lie(spark):
     assert rows_of(spot_signatures(documents(spark, [(1, "")])))[0]["fingerprint"] == "||"
     assert spot_signatures(documents(spark, [])).count() == 0
     assert spot_signatures(documents(spark, ODD)).count() == len(ODD)
+
+
+def test_classes_equal_brute_force(spark):
+    r = random.Random(2)
+    rows = []
+    for family in range(12):
+        words = talk(family, 150 + 20 * family).split(" ")
+        for k in range(9):
+            copy = list(words)
+            for _ in range(r.choice([0, 1, 2, 4, 8])):
+                copy[r.randrange(len(copy))] = f"other{r.randrange(9)}"
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(1000, None), (1001, ""), (1002, "no spots"), (1003, rows[4][1])]
+    sets = {i: multiset(t or "") for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and 100 * sum((sets[a] & sets[b]).values()) >= 80 * sum((sets[a] | sets[b]).values()):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    got = {r["doc_id"]: (r["n_spots"], r["class_id"]) for r in rows_of(spot_classes(documents(spark, rows)))}
+    assert got == {i: (sum(s.values()), find(i)) for i, s in sets.items()}
+    assert 12 < len({c for _, c in got.values()}) < len(rows)
+    assert spot_classes(documents(spark, [])).count() == 0
