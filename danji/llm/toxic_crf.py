@@ -242,13 +242,15 @@ def _gradient(theta, k, here, truth, weight, rows_of, columns_of, features_of):
     return grad
 
 
-def learn(docs: DataFrame, labels: DataFrame, most_toxic: int = 1000, most_clean: int = 3000,
+def learn(docs: DataFrame, labels: DataFrame, most_toxic: int = 1000, most_clean: int = 3000, most_bytes: int = 32 << 20,
           id_col: str = "doc_id", text_col: str = "text") -> Field:
-    """A field from at most most_toxic and most_clean labelled documents, whole texts.
+    """A field from at most most_toxic and most_clean labelled documents, whole texts, of most_bytes in all.
 
     labels: id and toxic (0 or 1; null is no label). The documents are those first in the order of
-    the hash of their ids. The ids chosen, at most 4000, are broadcast; only their texts are collected.
-    Without a toxic example the field calls nothing toxic.
+    the hash of their ids, toxic and other ones in turn by their shares; of these, one that would
+    make the sum of their bytes too large is left out. The lengths of at most 4000 are collected, then
+    the texts of those chosen, so the driver holds a bounded number of bytes. Without a toxic example
+    the field calls nothing toxic.
     """
     picked = labels.where(f"toxic is not null and {id_col} is not null").groupBy(id_col).agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64(F.col(id_col).cast("string")), F.col(id_col)]
@@ -256,17 +258,34 @@ def learn(docs: DataFrame, labels: DataFrame, most_toxic: int = 1000, most_clean
         picked.where("toxic = 0").orderBy(*order).limit(most_clean)
     )
     rows = docs.where(F.col(text_col).isNotNull()).select(id_col, F.col(text_col).alias("_text")).join(F.broadcast(ids), id_col)
+    sizes = rows.groupBy(id_col, "toxic").agg(F.sum(F.octet_length("_text")).alias("size"), order[0].alias("place")).collect()
+    chosen, left, turn = [], most_bytes, {0: 0, 1: 0}
+    share = {0: max(most_clean, 1), 1: max(most_toxic, 1)}
+    queues = {y: sorted((r for r in sizes if r["toxic"] == y), key=lambda r: (r["place"], r[id_col])) for y in (0, 1)}
+    while any(turn[y] < len(queues[y]) for y in queues):
+        y = min((y for y in queues if turn[y] < len(queues[y])), key=lambda y: (turn[y] / share[y], y))
+        r = queues[y][turn[y]]
+        turn[y] += 1
+        if r["size"] <= left:
+            left -= r["size"]
+            chosen.append(r[id_col])
+    if len(chosen) < len(sizes):
+        kept = docs.sparkSession.createDataFrame([(c,) for c in chosen], docs.select(id_col).schema)
+        rows = rows.join(F.broadcast(kept), id_col, "left_semi")
     return train([(r["_text"], int(r["toxic"])) for r in rows.orderBy(id_col, "_text").collect()])
 
 
-def toxicity(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, score (0 to 1), predicted (1 from 0.5), spans.
+def toxicity(
+    docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False
+) -> DataFrame:
+    """One row per row of docs: doc_id, score (0 to 1), predicted (1 from 0.5), spans, and the text if asked for.
 
     The score is the largest marginal of state 1 over the tokens of the whole text; spans are the
     offsets (code points, end exclusive) of tokens whose marginal is 0.5 or more, as start:end,
     joined by commas. Tokens without a learnt feature, and texts of them alone, empty or null ones
     included, have the marginal of the inside of a long text without features. Rows are independent: no
-    shuffle; the field (bounded by its training rows) goes to the workers with the function.
+    shuffle; the field (bounded by its training rows) goes to the workers with the function. Ids pass
+    through, null or repeated; other columns are not read; an empty table gives no rows.
     """
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -286,10 +305,8 @@ def toxicity(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: st
                     scores[at + i], found = field.spans(texts[i].as_py())
                     spans[at + i] = ",".join(f"{a}:{b}" for a, b in found)
                 at += step.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32)), pa.array(spans, pa.string())],
-                ["doc_id", "score", "predicted", "spans"],
-            )
+            out = [batch.column(0), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32)), pa.array(spans, pa.string())]
+            yield pa.RecordBatch.from_arrays([*out, *batch.columns[1 : 1 + with_text]], ["doc_id", "score", "predicted", "spans", "text"][: 4 + with_text])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, score double, predicted int, spans string")
+    return rows.mapInArrow(run, f"doc_id {kind}, score double, predicted int, spans string" + ", text string" * with_text)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from danji.llm import jaccard_join, kmeans_tree
+from danji.llm import jaccard_join, kmeans_tree, toxic_crf
 from danji.llm.common import connected_components
 from danji.llm.host_reputation import SUFFIXES, Rule, judge_urls, with_levels
 from danji.llm.jaccard_join import drop_similar, similar_components
@@ -244,6 +244,19 @@ def test_toxicity_of_a_table(spark):
     assert toxicity(documents(spark, []), field).count() == 0
 
 
+def test_the_training_texts_are_bounded_in_bytes(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxic_crf, "train", lambda rows: seen.append(rows))
+    rows = [(i, "x" * (10 if i % 9 else 5000)) for i in range(90)] + [(200, None)]
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)] + [(200, 1), (None, 1), (5, None)], "doc_id bigint, toxic int")
+    for most in (1 << 20, 6000, 0):
+        learn(docs, labels, most_bytes=most)
+        assert sum(len(t) for t, _ in seen[-1]) <= most
+    # Texts that fit in are taken even after one that doesn't.
+    assert len(seen[0]) == 90 and 79 < len(seen[1]) < 90 and {y for _, y in seen[1]} == {0, 1} and seen[2] == []
+
+
 def brute_components(rows, width, percent):
     sets = {}
     for i, t in rows:

@@ -64,16 +64,14 @@ def test_stages_judge_rows_of_null_and_repeated_ids(spark, monkeypatch):
     assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted([(1, a), (5, b), (0, "no id"), (8, rows[5][1])])
     toxic = corpus_pipeline.toxicity
 
-    def scored(docs, field, id_col="doc_id"):
-        return toxic(docs, field, id_col).join(
-            docs.select(F.col(id_col).alias("key"), F.col("text").contains("birch").cast("int").alias("bad")), F.expr("doc_id <=> key")
-        ).select("doc_id", F.col("bad").alias("predicted"))
+    def scored(docs, field, id_col="doc_id", with_text=False):
+        return toxic(docs, field, id_col, with_text=with_text).withColumn("predicted", F.col("text").contains("birch").cast("int"))
 
     monkeypatch.setattr(corpus_pipeline, "toxicity", scored)
-    rows = [(1, "fine"), (1, "birch"), (None, "birch"), (None, "good"), (3, "birch")]
+    rows = [(1, "fine"), (1, "birch"), (None, "birch"), (None, "good"), (3, "birch"), (4, None)]
     docs = documents(spark, rows)
     left = corpus_pipeline.drop_toxic(spark, docs, SF)
-    assert left.columns == docs.columns and sorted((r.doc_id or 0, r.text) for r in left.collect()) == [(0, "good"), (1, "fine")]
+    assert left.columns == docs.columns and sorted((r.doc_id or 0, r.text) for r in left.collect()) == [(0, "good"), (1, "fine"), (4, None)]
 
 
 def test_the_mixture_takes_rows_not_ids(spark):
