@@ -25,10 +25,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the field, learnt from the labels, doesn't reject; each row by its own text."""
     labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
     field = learn(table(spark, sf_dir, "documents"), labels)
-    # The whole row goes as the id, so that null and repeated ids are no matter.
-    row = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    judged = toxicity(docs.select(row.alias("row"), docs["text"]), field, "row").where("predicted = 0")
-    return judged.select(*[F.col(f"doc_id.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    # The rest of the row goes as the id, so that null and repeated ids are no matter; the text goes once.
+    rest = [docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"]
+    row = F.struct(*rest, docs["text"].isNull().alias("no_text"))
+    judged = toxicity(docs.select(row.alias("row"), docs["text"]), field, "row", with_text=True).where("predicted = 0")
+    text = F.when(~F.col("doc_id.no_text"), F.col("text"))
+    return judged.select(*[(text if c == "text" else F.col(f"doc_id.c{i}")).alias(c) for i, c in enumerate(docs.columns)])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
