@@ -292,6 +292,69 @@ def test_surrogates_of_a_full_space(spark):
     assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", got[2001])
 
 
+def iban_rest(iban):
+    moved = iban[4:] + iban[:4]
+    return int("".join(str(int(c, 36)) for c in moved)) % 97
+
+
+def test_surrogates_keep_kind_script_gender_and_check_digits(spark):
+    rows = [
+        (1, "GB29 NWBK 6016 1331 9268 19 and GB29NWBK60161331926819"), (2, "Κυρία Παπαδοπούλου and Κύριος Νίκος Παππάς"),
+        (3, "John Smith lives. Mr. Smith and MR. SMITH, Jane Smith"), (4, "Dr. Jane Doe, Prof. Doe"), (5, "MR. BEAN"), (6, "见李伟先生和王芳女士。李伟先生"),
+        (7, "at 2001:db8::8a2e:370:7334, FE80::1:2 or 2001:DB8::8A2E:370:7334"), (8, "06 12 34 56 78 or 06.12.34.56.78"), (9, "030/1234567"), (10, "+49 170 1234567, +1 (974) 555-3436"),
+        (11, "std::vector 12:30:45 Maria alone, John's car, a::b"),
+    ]
+    got = {r["doc_id"]: (r["text"], r["n_entities"]) for r in rows_of(replace_entities(documents(spark, rows), "key"))}
+    one = re.fullmatch(r"(GB\d\d [A-Z]{4} \d{4} \d{4} \d{4} \d\d) and (GB\d\d[A-Z]{4}\d{14})", got[1][0])
+    assert one[1].replace(" ", "") == one[2] != "GB29NWBK60161331926819" and iban_rest(one[2]) == 1
+    assert re.fullmatch(r"Κυρία [Ͱ-Ͽἀ-῿]+ and Κύριος [Ͱ-Ͽἀ-῿]+ [Ͱ-Ͽἀ-῿]+", got[2][0]) and "Παπ" not in got[2][0]
+    three = re.fullmatch(r"(\w+) (\w+) lives\. Mr\. (\w+) and MR\. ([A-Z]+), (\w+) (\w+)", got[3][0])
+    assert three[2] == three[3] == three[6] != "Smith" and three[4] == three[2].upper() and three[1] != three[5] and got[3][1] == 4
+    four = re.fullmatch(r"Dr\. (\w+) (\w+), Prof\. (\w+)", got[4][0])
+    assert four[2] == four[3] != "Doe" and re.fullmatch(r"MR\. (?!BEAN)[A-Z]+", got[5][0])
+    six = re.fullmatch(r"见([一-鿿]{2,5})先生和([一-鿿]{2,5})女士。([一-鿿]{2,5})先生", got[6][0])
+    assert six[1] == six[3] != "李伟" and six[2] not in ("王芳", six[1])
+    seven = re.fullmatch(r"at ([0-9a-f:]+), (FE80::[0-9A-F:]+) or ([0-9A-F:]+)", got[7][0])
+    assert seven[3] == seven[1].upper() and seven[1] != "2001:db8::8a2e:370:7334" and seven[1].count(":") == 5
+    eight = re.fullmatch(r"(06(?: \d\d){4}) or (06(?:\.\d\d){4})", got[8][0])
+    assert re.sub(r"\D", "", eight[1]) == re.sub(r"\D", "", eight[2]) != "0612345678"
+    assert re.fullmatch(r"03\d/\d{7}", got[9][0]) and re.fullmatch(r"\+49 \d{3} \d{7}, \+1 \(\d{3}\) \d{3}-\d{4}", got[10][0])
+    assert got[9][0] != rows[8][1] and got[11] == (rows[10][1], 0)
+
+
+def test_surrogates_equal_a_mapping_of_planted_entities(spark):
+    """Texts of known pieces: what is no entity stays, and entities go through one injective mapping."""
+    r = random.Random(7)
+    kinds = {
+        "mail": lambda i: f"user{i}@host{i % 7}.org", "ssn": lambda i: f"{100 + i}-{10 + i % 80}-{1000 + i}",
+        "ip": lambda i: f"{20 + i}.{i}.7.{i % 200}", "card": lambda i: f"4{i:03d} 1488 0343 {6000 + i}", "phone": lambda i: f"+1 (200) 555-{1000 + i}",
+    }
+    plain = ["alpha", "beta.", "12345", "x@y", "1.2.3", "é,", "—"]
+    rows, planted = [], []
+    for d in range(120):
+        pieces = []
+        for _ in range(r.randrange(8)):
+            if r.random() < 0.5:
+                pieces.append((None, r.choice(plain)))
+            else:
+                kind = r.choice(list(kinds))
+                pieces.append((kind, kinds[kind](r.randrange(40))))
+        planted.append(pieces)
+        rows.append((d, " | ".join(t for _, t in pieces)))
+    got = {x["doc_id"]: x for x in rows_of(replace_entities(documents(spark, rows), "key"))}
+    mapping = {}
+    for d, pieces in enumerate(planted):
+        new = got[d]["text"].split(" | ") if pieces else []
+        assert len(new) == len(pieces) and got[d]["n_entities"] == sum(k is not None for k, _ in pieces)
+        for (kind, old), text in zip(pieces, new):
+            if kind is None:
+                assert text == old
+            else:
+                assert mapping.setdefault((kind, old), text) == text
+                assert [not c.isalnum() for c in text] == [not c.isalnum() for c in old] or kind in ("ip", "mail")
+    assert len(set(mapping.values())) == len(mapping) and not set(mapping.values()) & {old for _, old in mapping}
+
+
 def test_surrogates_stay_distinct(spark):
     rows = [(i, f"10.0.{i // 256}.{i % 256} a{i}@mail.example.com") for i in range(3000)]
     got = [r["text"] for r in rows_of(replace_entities(documents(spark, rows), "key"))]
