@@ -105,8 +105,8 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     One row of each group stays: most code points, then the smallest id, null last. A row is judged by
     its own text, so ids may be null or repeated; of rows that repeat id, points and text one stays, the
-    first as JSON. Rows that share id, length and start with no dropped row pass by a bitmap, without
-    being hashed or shuffled; only the others are hashed and joined. An empty table stays empty.
+    first as JSON. Rows that share id and length with no dropped row pass by a bitmap, without being
+    hashed or shuffled; only the others are hashed and joined. An empty table stays empty.
     """
     starts = cut(_shared_starts(cut(_scan(docs, id_col, text_col, F.lit(None).cast("string")))))
     full = cut(_hashed(docs, id_col, text_col, starts))
@@ -116,9 +116,8 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         copies.join(_groups(full), ["bare_length", "text_sha256"]).where(~best | (F.col("rows") > 1))
         .select("doc_id", "points", *START, "text_sha256", best.alias("best"))
     )
-    text = F.coalesce(docs[text_col], F.lit(""))
-    bare = without_spaces(text)
-    keys = {"doc_id": docs[id_col], "points": F.length(text), "bare_length": F.length(bare), "start_hash": F.xxhash64(F.substring(bare, 1, PREFIX))}
+    # The id and the length as written tell nearly all dropped rows from the others; the texts decide.
+    keys = {"doc_id": docs[id_col], "points": F.length(F.coalesce(docs[text_col], F.lit("")))}
     row = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
     rows = docs.select(row.alias("row"), *[c.alias(n) for n, c in keys.items()])
     rows = with_mark(rows, marks(judged, *keys), *map(rows.__getitem__, keys))
