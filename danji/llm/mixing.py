@@ -22,7 +22,8 @@ def _share(children: DataFrame, parents: list[str], child: str) -> DataFrame:
     """Deal each parent's budget among its children by weight, none beyond its capacity.
 
     Children are taken by capacity per weight; one whose capacity is at most its share of what is
-    left gets all of it, and what it lacks is dealt to its siblings. Whole numbers throughout.
+    left gets all of it, and what it lacks is dealt to its siblings. Whole numbers throughout: what
+    the whole shares leave over goes, one by one, to the largest remainders, equal ones by name.
     """
     over = f"partition by {', '.join(parents)}" if parents else "partition by 0"
     order = f"{over} order by per_weight, {child}"
@@ -39,8 +40,14 @@ def _share(children: DataFrame, parents: list[str], child: str) -> DataFrame:
             f"sum(if(filled, capacity, 0)) over ({over}) as given",
             f"sum(if(filled, 0, weight)) over ({over}) as open",
         )
-        .withColumn("budget", F.expr("if(filled, capacity, (parent_budget - given) * weight div nullif(open, 0))"))
-        .drop("per_weight", "before", "weights", "filled", "given", "open", "parent_budget", "weight")
+        .withColumn("whole", F.expr("if(filled, 0, (parent_budget - given) * weight div nullif(open, 0))"))
+        .withColumn("rest", F.expr("if(filled, -1, (parent_budget - given) * weight % nullif(open, 0))"))
+        .selectExpr(
+            "*", f"row_number() over ({over} order by rest desc, {child}) as turn",
+            f"parent_budget - given - sum(whole) over ({over}) as spare",
+        )
+        .withColumn("budget", F.expr("if(filled, capacity, whole + if(turn <= spare, 1, 0))"))
+        .drop("per_weight", "before", "weights", "filled", "given", "open", "parent_budget", "weight", "whole", "rest", "turn", "spare")
     )
 
 

@@ -113,9 +113,12 @@ def _dealt(name: str, children: str, parents: list[str], child: str, weights: di
 {name}_b AS (SELECT *, coalesce(sum(capacity) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier,
   sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights FROM {name}_a),
 {name}_c AS (SELECT *, capacity * weights <= (parent_budget - earlier) * weight OR capacity = 0 AS filled FROM {name}_b),
-{name} AS (SELECT *, CASE WHEN filled THEN capacity ELSE
-  ((parent_budget - sum(CASE WHEN filled THEN capacity ELSE 0 END) OVER ({over})) * weight)
-  // nullif(sum(CASE WHEN filled THEN 0 ELSE weight END) OVER ({over}), 0) END AS budget FROM {name}_c)"""
+{name}_d AS (SELECT *, parent_budget - sum(CASE WHEN filled THEN capacity ELSE 0 END) OVER ({over}) AS spread,
+  nullif(sum(CASE WHEN filled THEN 0 ELSE weight END) OVER ({over}), 0) AS opened FROM {name}_c),
+{name}_e AS (SELECT *, CASE WHEN filled THEN 0 ELSE spread * weight // opened END AS whole,
+  CASE WHEN filled THEN -1 ELSE spread * weight % opened END AS remainder FROM {name}_d),
+{name} AS (SELECT *, CASE WHEN filled THEN capacity ELSE whole + CASE WHEN row_number() OVER ({over} ORDER BY remainder DESC, {child})
+    <= spread - sum(whole) OVER ({over}) THEN 1 ELSE 0 END END AS budget FROM {name}_e)"""
 
 
 def mixing_sql(docs: str, weights: dict[str, dict[str, int]], max_epochs: int, seed: int, part: tuple[int, int] = (1, 1)) -> str:

@@ -124,6 +124,9 @@ def deal(budget, children):
         if not full:
             for c in open_:
                 given[c] += left * children[c][0] // weight
+            spare = budget - sum(given.values())
+            for c in sorted(open_, key=lambda c: (-(left * children[c][0] % weight), c))[:spare]:
+                given[c] += 1
             return given
         for c in full:
             given[c] = children[c][1]
@@ -156,7 +159,13 @@ def test_budgets_go_to_siblings_first(spark):
         for lang in langs:
             below = {s: (WEIGHTS["source"][s], caps[lang, s]) for (g, s) in sizes if g == lang}
             want |= {(lang, s): n for s, n in deal(top[lang], below).items()}
-        assert got == want
+        assert got == want and sum(got.values()) == min(budget, sum(caps.values()))
+
+
+def test_no_token_of_a_budget_is_left_over(spark):
+    rows = [(i, "x" * 1000, "en", f"s{1 + i % 3}") for i in range(9)]
+    got = rows_of(mixture(documents(spark, rows), {"source": F.col("source")}, {}, F.length("text"), budget=100))
+    assert sum(r["epochs"] * r["tokens"] + r["tail_tokens"] for r in got) == 100
 
 
 def test_prefix_follows_the_seeded_order(spark):
