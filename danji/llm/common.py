@@ -35,6 +35,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared file system that this program has written and needs no more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def forget(checkpointed: DataFrame) -> None:
+    """Delete the files of what cut() gave, once nothing is computed from it any more."""
+    file = checkpointed._jdf.logicalPlan().rdd().getCheckpointFile()
+    if file.isDefined():
+        remove(checkpointed.sparkSession, file.get())
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -96,7 +109,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     edges: columns a and b, bigint, any order, repeats allowed; null ends are left out.
     Alternating large and small stars (Kiveris and others, 2014): every step is a grouped minimum,
     which is combined on the map side, and an equi-join that AQE can split at a hub. The number of
-    edges never grows, and a round's edges are written to the checkpoint folder.
+    edges never grows, and a round's edges are written to the checkpoint folder, from which those of the
+    round before are deleted.
     """
     work = cut(
         edges.where("a is not null and b is not null and a <> b")
@@ -112,12 +126,14 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             .where("a <> b").distinct()
         )
         least = large.groupBy("a").agg(F.min("b").alias("m"))
+        past = work
         work = cut(
             large.join(least, "a")
             .select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
             .where("a <> b").distinct()
         )
         now = work.agg(F.count("*"), F.sum(F.hash("a", "b").cast("bigint")), F.sum(F.hash("b").cast("bigint"))).first()
+        forget(past)
         if now == state:
             return work.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(
                 work.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
