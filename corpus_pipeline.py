@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from danji.llm.common import cut, table
+from danji.llm.common import cut, remove, table
 from danji.llm.exact_dedup import drop_exact_duplicates
 from danji.llm.jaccard_join import drop_similar
 from danji.llm.mixing import mixture
@@ -88,12 +88,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after another, each result written to the shared folder and read again."""
+    """The stages one after another, each result written to the shared folder and read again; the last one stays."""
     cut(spark.range(1))  # sets the folder where the session has none
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4()}"
-    docs = table(spark, sf_dir, "documents")
+    docs, past = table(spark, sf_dir, "documents"), None
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if past:
+            remove(spark, past)
+        past = path
     return docs
