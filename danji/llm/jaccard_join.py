@@ -75,8 +75,8 @@ def shingle_sets(texts: pa.Array, width: int):
 
 
 def _named(shingles: np.ndarray) -> int:
-    """63 bits that stand for a set."""
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()[:8], "little") >> 1
+    """62 bits that stand for a set, as an even number."""
+    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()[:8], "little") >> 2 << 1
 
 
 def _classes(shingles: np.ndarray, frequent) -> np.ndarray:
@@ -179,7 +179,7 @@ def prefixes(docs: DataFrame, sets_of: Sets, percent: int, frequent) -> DataFram
     shingle at all, since a prefix that reaches a frequent one holds all the set's rare ones: then
     only the core counts, which is the set's frequent shingles, and `rare`, the number of the others.
 
-    node stands for the set: 63 bits of its digest, so equal sets are one node from the start. The
+    node stands for the set: 62 bits of its digest, so equal sets are one node from the start. The
     rare shingles of the prefix become entries, by bucket: 32 bits of each shingle's
     hash, and the place of its set among the bucket's nodes, sizes and demands. Shingles that share these
     bits and the bucket only make candidates that verification refuses.
@@ -213,7 +213,7 @@ def prefixes(docs: DataFrame, sets_of: Sets, percent: int, frequent) -> DataFram
                         hot[-1] = s[chosen[: n - need + 1][often[: n - need + 1]]].view(np.int64)
                         m = max(1, m - int(often.sum()))
                         if len(hot[-1]):
-                            core, left = _named(s[rank > 0]), int((rank == 0).sum())
+                            core, left = _named(s[rank > 0]) + 1, int((rank == 0).sum())
                     cores.append(core)
                     others.append(left)
                     ids.append(doc)
@@ -322,16 +322,16 @@ def _bitmap(rows: DataFrame) -> np.ndarray:
     return np.unpackbits(marks)
 
 
-def _verified(families: DataFrame, docs: DataFrame, sets_of: Sets, percent: int, frequent=None) -> DataFrame:
+def _verified(families: DataFrame, docs: DataFrame, sets_of: Sets, percent: int, frequent) -> DataFrame:
     """Links (a, b) of each family, enough of them to connect what is connected.
 
-    families: doc_id, n, rare, family. A family small enough is one block. A larger one is cut into bands
+    families: doc_id, n, rare, core_only, family. A family small enough is one block. A larger one is cut into bands
     of lengths, such that linked sets are in the same band or neighbours, and bands into blocks bounded in
     sets and shingles; every pair of blocks that can hold a link is a group of its own, and a task holds one.
 
-    With the frequent shingles given only these are compared, each set having `rare` others that are in
-    no other set. Then there are rows with a cap, too, the greatest for each linked a in a group: a set of
-    a's core with so many rare shingles would still link to b.
+    In a family of cores (core_only) frequent shingles alone are compared, each set having `rare` others
+    that are in no other set. Then there are rows with a cap, too, the greatest for each linked a in a
+    group: a set of a's core with so many rare shingles would still link to b.
     """
     wide = math.log(100 / percent) * 1.0001
     banded = families.withColumn("band", F.floor(F.log("n") / wide).cast("int"))
@@ -351,27 +351,27 @@ def _verified(families: DataFrame, docs: DataFrame, sets_of: Sets, percent: int,
             if(above is null, array(), transform(sequence(0, above - 1), o -> struct(band as p, block as i, 1000000 + o as j, false as right))),
             if(below is null, array(), transform(sequence(0, below - 1), o -> struct(band - 1 as p, o as i, 1000000 + block as j, true as right)))
         )"""))
-    placed = placed.withColumn("block", block).select("doc_id", "family", "rare", F.explode(keys).alias("key"))
-    placed = cut(placed.select("doc_id", "family", "rare", "key.p", "key.i", "key.j", "key.right"))
+    placed = placed.withColumn("block", block).select("doc_id", "family", "rare", "core_only", F.explode(keys).alias("key"))
+    placed = cut(placed.select("doc_id", "family", "rare", "core_only", "key.p", "key.i", "key.j", "key.right"))
     context = docs.sparkSession.sparkContext
     chosen = context.broadcast(_bitmap(placed))
-    common = context.broadcast(frequent) if frequent else None
+    common = context.broadcast(frequent)
 
     def sets(batches):
         for batch in batches:
             hit = chosen.value[_bit(batch.column(0).to_numpy())] > 0
             for step in steps(batch.filter(pa.array(hit)), 1):
-                found = sets_of(step.column(1))
-                if common:
-                    found = (s[_classes(s, common.value) > 0] for s in found)
-                found = [s.tobytes() for s in found]
+                found = [s.tobytes() for s in sets_of(step.column(1))]
                 yield pa.RecordBatch.from_arrays([step.column(0), pa.array(found, pa.binary())], ["doc_id", "shingles"])
 
     def link(group):
         sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
-        rare = group["rare"].to_numpy(np.int64) if common else np.zeros(len(sets), np.int64)
+        cores = bool(group["core_only"].iloc[0])
+        if cores:
+            sets = [s[_classes(s, common.value) > 0] for s in sets]
+        rare = group["rare"].to_numpy(np.int64) * cores
         same = group["i"].iloc[0] == group["j"].iloc[0]
-        return _links(group["doc_id"].to_numpy(), sets, rare, group["right"].to_numpy(), same, percent, bool(common))
+        return _links(group["doc_id"].to_numpy(), sets, rare, group["right"].to_numpy(), same, percent, cores)
 
     shingled = docs.mapInArrow(sets, "doc_id bigint, shingles binary")
     return placed.join(shingled, "doc_id").groupBy("family", "p", "i", "j").applyInPandas(link, "a bigint, b bigint, cap bigint")
@@ -424,37 +424,35 @@ def _links(ids, sets, rare, right, same: bool, percent: int, caps: bool):
     return pd.DataFrame(out, columns=["a", "b", "cap"]).astype("int64")
 
 
-def _core_links(nodes: DataFrame, hot: DataFrame, texts: DataFrame, sets_of: Sets, percent: int, frequent) -> DataFrame:
-    """Links (a, b) that connect all sets whose links come from frequent shingles alone.
+def _cores(nodes: DataFrame) -> DataFrame:
+    """core, its first set's doc_id, n and rare, and the number of its sets.
 
-    nodes: doc_id, n, core, rare of each distinct set that has hot shingles; hot: h, core. Two such
-    sets share no rare shingle, so what they have in common is what their cores have, and of one core
-    the set with the fewest rare shingles, its first, links to whatever another one of them links to.
-    So only the first sets of distinct cores are compared with one another, in families of cores that
-    share a hot shingle, and any other set is linked to the first set of the core that is best for it,
-    its own or another one: where it has no more rare shingles than the cap it is a link, and the two
-    cores' first sets are linked as well. Near copies of a template, however many, have few cores.
+    nodes: doc_id, n, core, rare of each distinct set; those without a core have no hot shingles.
+    Sets that have links by frequent shingles alone share no rare shingle, so what they have in
+    common is what their cores have, and of one core the set with the fewest rare shingles, its first,
+    links to whatever another one of them links to. So first sets of distinct cores stand for all:
+    near copies of a template, however many, have few cores.
     """
     first = F.min(F.struct("rare", "doc_id", "n"))
-    cores = cut(
-        nodes.groupBy("core").agg(first.alias("first"), F.count("*").alias("sets"))
-        .select("core", "first.doc_id", "first.n", "first.rare", "sets")
-    )
-    # A shingle is a node of its own, below those of cores.
-    edges = hot.select((-F.expr("(h >> 1) & 9223372036854775807") - 2).alias("a"), F.col("core").alias("b"))
-    family = connected_components(edges).selectExpr("node as core", "root as family")
-    families = cut(cores.join(family, "core").select("doc_id", "n", "rare", "family"))
-    found = cut(_verified(families, texts, sets_of, percent, frequent))
+    sets = nodes.where("core is not null").groupBy("core").agg(first.alias("first"), F.count("*").alias("sets"))
+    return cut(sets.select("core", "first.doc_id", "first.n", "first.rare", "sets"))
+
+
+def _of_cores(nodes: DataFrame, cores: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of the sets that aren't the first of their core.
+
+    A set links to the first set of the core that is best for it, its own or, by found's caps, another
+    one, if it has no more rare shingles than the cap; the first sets of both cores are linked as
+    well then, since its own core's has fewer. A set with more has no link by frequent shingles alone.
+    """
     best = found.where("cap >= 0").groupBy("a").agg(F.max(F.struct("cap", "b")).alias("best"))
     own = F.expr(f"100 * (n - rare) div {percent} - (n - rare) - rare")
-    capped = cores.join(best, cores["doc_id"] == best["a"], "left").select(
+    capped = cores.where("sets > 1").join(best, F.col("doc_id") == F.col("a"), "left").select(
         "core", "sets", F.col("doc_id").alias("first_id"),
         F.greatest(F.struct(own.alias("cap"), F.col("doc_id").alias("b")), "best").alias("best"),
     )
-    several = capped.where("sets > 1")
-    others = hot_left_join(nodes.select("doc_id", "core", "rare"), several, ["core"], "sets")
-    more = others.where("doc_id <> first_id and rare <= best.cap").select(F.col("doc_id").alias("a"), F.col("best.b").alias("b"))
-    return found.where("cap < 0").select("a", "b").unionAll(more)
+    others = hot_left_join(nodes.where("core is not null").select("doc_id", "core", "rare"), cut(capped), ["core"], "sets")
+    return others.where("doc_id <> first_id and rare <= best.cap").select(F.col("doc_id").alias("a"), F.col("best.b").alias("b"))
 
 
 def similar_components(
@@ -470,7 +468,7 @@ def similar_components(
     prefixes find candidates by their rare shingles, of which they must share as many as the smaller
     demand; the candidates' components are verified block by block with exact intersections, of which
     a spanning forest is kept. Sets that share frequent shingles alone are compared by their
-    cores (see _core_links): a group of near copies never becomes all its pairs.
+    cores (see _cores): a group of near copies never becomes all its pairs.
 
     Ids are bigint and one per document: rows that repeat an id count as one document of each text,
     linked through the id. A null id gets n_shingles and itself, null, as component. Documents without
@@ -497,12 +495,17 @@ def similar_sets(docs: DataFrame, sets_of: Sets, percent: int, id_col: str = "do
     one = F.min(F.struct("doc_id", "n", "core", "rare"))
     nodes = cut(with_words.groupBy("node").agg(one.alias("d")).select("node", "d.*"))
     pairs = _candidates(table.where("bucket is not null"), percent, frequent[2])
-    family = connected_components(pairs).select("node", F.col("root").alias("family"))
-    families = cut(nodes.join(family, "node").select("doc_id", "n", "rare", "family"))
-    links = cut(_verified(families, named, sets_of, percent)).select("a", "b")
-    if len(frequent[0]):
-        hot = with_words.where("core is not null").select(F.explode("hot").alias("h"), "core").distinct()
-        links = links.unionAll(_core_links(nodes.where("core is not null"), hot, named, sets_of, percent, frequent))
+    # Sets are even numbers, cores odd ones, and a frequent shingle is a node of its own below both.
+    hot = with_words.where("core is not null").select(F.explode("hot").alias("h"), "core").distinct()
+    hot = hot.select((-F.expr("(h >> 1) & 9223372036854775807") - 2).alias("a"), F.col("core").alias("b"))
+    family = connected_components(pairs.unionAll(hot) if len(frequent[0]) else pairs).withColumnsRenamed({"root": "family"})
+    cores = _cores(nodes)
+    wanted = nodes.selectExpr("node", "doc_id", "n", "rare", "false as core_only").unionAll(
+        cores.selectExpr("core as node", "doc_id", "n", "rare", "true as core_only")
+    )
+    families = cut(wanted.join(family, "node").drop("node"))
+    found = cut(_verified(families, named, sets_of, percent, frequent))
+    links = found.where("cap < 0").select("a", "b").unionAll(_of_cores(nodes, cores, found, percent))
     reps = cut(with_words.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"))).where("rows > 1")
     copies = hot_left_join(with_words.select("doc_id", "digest"), reps, ["digest"], "rows").where("rep is not null")
     roots = connected_components(links.unionAll(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
