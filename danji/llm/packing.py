@@ -60,11 +60,10 @@ class WordIds(dict):
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode_all(self, texts: pa.Array) -> list[memoryview]:
-        """Each text's ids as bytes."""
-        whole = {
-            i: self._whole(texts[i].as_py())
-            for i in (range(len(texts)) if not self.separable else self._with_added(texts))
-        }
+        """Each text's ids as bytes; a tokenizer whose tokens may hold spaces is given whole texts."""
+        if not self.separable:
+            return [memoryview(self._whole(t)) for t in texts.to_pylist()]
+        whole = {i: self._whole(texts[i].as_py()) for i in self._with_added(texts)}
         ends, codes, words = parts(texts, lambda t: by_space(pc.replace_substring(t, "\n", " ")))
         ids = self._ids(words.to_pylist())
         offsets = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids], dtype=np.int64)])
@@ -94,10 +93,11 @@ class WordIds(dict):
         if plain:
             ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
             cuts = [0, *(4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()]
-            if len(cuts) != len(plain) + 1:
-                raise ValueError("a word of letters was split")
             raw = ids.tobytes()
-            known.update(zip(plain, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+            if len(cuts) == len(plain) + 1:
+                known.update(zip(plain, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+            else:  # a vocabulary that marks the ends of words otherwise, or not at all
+                odd += plain
         for w, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
             known[w] = array("I", e.ids).tobytes()
         for w in later:

@@ -75,6 +75,20 @@ def test_packing_round_trip(spark, monkeypatch):
     assert pack(documents(spark, []), WORDS, 2, 64).count() == 0
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_packing_with_any_tokenizer(spark, name):
+    path = public_tokenizers.path(name)
+    tokenizer = Tokenizer.from_file(path)
+    rows = odd_rows(40) + [(500, prose(3, 300)), (501, "a\n\nb  c")]
+    want = defaultdict(int)
+    for doc, text in rows:
+        want[doc, zlib.crc32(np.asarray([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4").tobytes())] += 1
+    mine = defaultdict(int)
+    for r in rows_of(pack(documents(spark, rows), path, 2, 1 << 20)):
+        mine[r["doc_id"], r["ids_crc32"]] += 1
+    assert mine == want
+
+
 def test_packing_leaves_little_padding(spark):
     rows = [(i, prose(i, 20 + i % 90)) for i in range(400)]
     got = rows_of(pack(documents(spark, rows), WORDS, 2, 256))
