@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +13,19 @@ import pyarrow.compute as pc
 STEP_BYTES = 4 << 20
 
 
+def release() -> None:
+    """Give freed memory back to the system: two workers share an executor's with its JVM."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _TRIM = None
+
+
 def steps(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts hold about STEP_BYTES."""
     if not batch.num_rows:
@@ -21,6 +35,7 @@ def steps(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
     edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
     for a, b in zip(edges, edges[1:]):
         yield batch.slice(a, b - a)
+        release()
 
 
 def parts(texts: pa.Array, split: Callable[[pa.Array], pa.ListArray]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
