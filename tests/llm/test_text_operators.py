@@ -13,12 +13,13 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from danji.llm import packing, secret_scan
 from danji.llm.packing import pack, plan_packs
 from danji.llm.secret_scan import secret_spans
-from danji.llm.surrogates import replace_entities
+from danji.llm.surrogates import ANY, KINDS, has_entity, replace_entities
 from danji.llm.token_counts import token_counts
 from tests.llm.helpers import documents, prose, rows_of
 
@@ -378,3 +379,25 @@ def test_surrogates_stay_distinct(spark):
     assert not set(ips) & {f"10.0.{i // 256}.{i % 256}" for i in range(3000)}
     again = [r["text"] for r in rows_of(replace_entities(documents(spark, rows), "other key"))]
     assert set(again) != set(got) and replace_entities(documents(spark, []), "key").count() == 0
+
+
+def test_entities_are_told_by_parts_as_by_all(spark):
+    """The cheap search of whole texts agrees with each kind's own pattern, and no text is searched by all kinds at once."""
+    signs = ["", " ", " ", ".", "-", "+", "_", "@", ":", "(", "a", "Z", "7", "é", "Д", "王", "\n"]
+    pieces = [
+        "ann@mail.org", "10.1.2.3", "2001:db8::8a2e:370:7334", "GB29 NWBK 6016 1331 9268 19", "123-45-6789", "+1 974 555", "(974) 555-3436",
+        "974-555-3436", "06 12 34 56 78", "030/1234567", "4539 1488 0343 6467", "Mrs. Ann Lee", "Miss Lee", "Señora Paz", "John Smith", "MR. BEAN",
+        "Г-н Иванов", "Κυρία Παππά", "Κος Παππάς", "Dr. Doe", "Доктор Живаго", "王芳女士", "李伟先生", "Mr.", "John", "先生", "12:30", "a::b", "x@y",
+    ]
+    r = random.Random(3)
+    rows = [(None,), ("",)] + [(p + s,) for p in pieces for s in ("", "x", "7")]
+    rows += [("".join(r.choice(signs) if r.random() < 0.8 else r.choice(pieces) for _ in range(r.randrange(1, 9))),) for _ in range(20_000)]
+    texts = spark.createDataFrame(rows, "text string")
+    text = F.col("text")
+    kinds = F.coalesce(F.greatest(*[text.rlike(p) for p in KINDS.values()]), F.lit(False))
+    got = texts.select("text", has_entity(text).alias("parts"), F.coalesce(text.rlike(ANY), F.lit(False)).alias("any"), kinds.alias("kinds")).collect()
+    assert [x for x in got if not x["parts"] == x["any"] == x["kinds"]] == []
+    assert 2000 < sum(x["parts"] for x in got) < 18_000
+    plan = replace_entities(documents(spark, [(1, "ann@mail.org")]), "key")._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.split("\n") if "Filter" in line]
+    assert any("Contains(text" in line and KINDS["email"] in line for line in filters) and not any(ANY in line for line in filters)
