@@ -10,6 +10,11 @@ from danji.operators.skew import lookup_join
 
 def join_coords(trades: DataFrame, coords: DataFrame) -> DataFrame:
     """Add lat and lon by road key, the trades' own if they have it; a key listed twice in coords repeats the trade."""
+    if "road_part" in trades.columns:  # stored in buckets of both: a large key's coordinates go to each of its parts
+        last = trades.filter("road_key IS NOT NULL AND road_part > 0").groupBy("road_key").agg(F.max("road_part").alias("_last"))
+        parts = F.explode(F.sequence(F.lit(0), F.coalesce("_last", F.lit(0)))).alias("road_part")
+        lookup = lookup_join(coords.select("road_key", "lat", "lon"), last, ["road_key"]).select("road_key", "lat", "lon", parts)
+        return lookup_join(trades, lookup, ["road_key", "road_part"]).drop("road_part")
     if "road_key" in trades.columns:  # stored with it: it may be what the trades are bucketed by
         return lookup_join(trades, coords.select("road_key", "lat", "lon"), ["road_key"])
     lookup = coords.select(F.col("road_key").alias("_road_key"), "lat", "lon")

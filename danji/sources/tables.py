@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from danji.functions import address as A, trade as Tr
 from danji.schemas import source_schema, source_to_engine
+from danji.session import shared_folder
 
 
 def scan(
@@ -102,25 +104,53 @@ def write_trades(trades: DataFrame, path: str) -> None:
     )
 
 
+# A bucket of more rows is avoided while there are fewer buckets than that; up to so many a shuffle writes
+# rows to files as they come and keeps none in memory.
+BUCKET_ROWS, MOST_BUCKETS = 250_000, 200
+# A road key is dealt to several buckets if it has more rows than this, and more than this part of a bucket.
+PART_ROWS, PART_OF_BUCKET = 50_000, 16
+
+
 def write_bucketed(trades: DataFrame, table: str, path: str, key: str = "complex", buckets: int | None = None) -> None:
     """Store trades as the catalog's table `table` at `path`, in buckets sorted by `key`.
 
     `key` is complex, or road_key, which is added. Joins and groupings on it then read the trades
     where they lie: the other side is dealt to the buckets, the trades are not. So that Spark keeps to
-    them there are as many buckets as shuffle partitions, unless told otherwise; fewer are dealt anew.
-    Rows are shuffled to their bucket before they are written, so a bucket is one file. A key that
-    holds a large part of all trades makes a large bucket: for such data store by month (write_trades).
+    them there are as many buckets as shuffle partitions, or more for many trades (they are counted
+    first), unless told otherwise; fewer are dealt anew. Rows are shuffled to their bucket before they
+    are written, so a bucket is one file. A road key with many trades, or the trades without one, would
+    make a large bucket: where there are such, a column `road_part` numbers the parts that each is dealt
+    in, the buckets are of key and part, and join_coords joins by both. The trades of one complex stay
+    in one bucket.
     """
     if key not in ("complex", "road_key"):
         raise ValueError(f"trades are stored by complex or road_key, not {key}")
-    n = buckets or int(trades.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = trades.sparkSession
     derived = A.with_region_columns(A.with_road_key(trades)).withColumn("contract_year", Tr.contract_year(F.col("ym")))
+    if key == "road_key":
+        shared_folder(spark)
+        counts = derived.groupBy(key).agg(F.count("*").alias("n")).checkpoint()
+        rows = counts.agg(F.sum("n")).first()[0] or 0
+    else:
+        rows = 0 if buckets else derived.count()
+    n = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_BUCKETS, ceil(rows / BUCKET_ROWS)))
+    keys = [key]
+    if key == "road_key":
+        # Fewer than PART_OF_BUCKET large keys to a bucket.
+        most = max(PART_ROWS, rows // (n * PART_OF_BUCKET))
+        large = counts.filter(F.col("n") > most).select(
+            F.col(key).alias("_large"), F.ceil(F.col("n") / most).cast("int").alias("_parts"))
+        if not large.isEmpty():
+            part = F.pmod(F.xxhash64(*derived.columns), F.col("_parts")).cast("int")
+            derived = derived.join(F.broadcast(large), F.col(key).eqNullSafe(F.col("_large")), "left").withColumn(
+                "road_part", F.coalesce(part, F.lit(0))).drop("_large", "_parts")
+            keys.append("road_part")
     (
-        derived.repartition(n, key).write.mode("overwrite").option("path", path)
-        .bucketBy(n, key).sortBy(key).saveAsTable(table)
+        derived.repartition(n, *keys).write.mode("overwrite").option("path", path)
+        .bucketBy(n, *keys).sortBy(key).saveAsTable(table)
     )
 
 
 def scan_bucketed(spark: SparkSession, table: str) -> DataFrame:
-    """What write_bucketed stored, with its region columns and road key, by engine names."""
+    """What write_bucketed stored, with its region columns, road key and maybe its part, by engine names."""
     return spark.table(table)

@@ -167,6 +167,41 @@ def test_bucketed_trades_are_not_dealt_again(spark, tmp_path):
             spark.sql(f"DROP TABLE IF EXISTS trades_by_{key}")
 
 
+def test_large_road_keys_are_dealt_to_several_buckets(spark, tmp_path, monkeypatch):
+    """Trades without a road and of one road fill no bucket, and still meet their coordinates where they lie."""
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(tables, "PART_ROWS", 20)
+    roads = [None] * 900 + ["길 0"] * 600 + [f"길 {1 + i % 30}" for i in range(300)] + [""] * 200
+    rows = [sale(f"c{i % 20}", 202401 + i % 12, i, road=road) for i, road in enumerate(roads)] + [sale("c1", 202401, 7, road="길 0")] * 2
+    sales = spark.createDataFrame(rows, SALES)
+    # One key twice, one without trades, a null one.
+    places = [(f"{CITY} 서구 길 {i}", 129.0 + i, 35.0) for i in (*range(25), 3, 99)] + [(None, 1.0, 1.0)]
+    coords = stored(spark, places, COORDS, tmp_path / "coords")
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    want = sorted(map(str, join_coords(sales, coords).select(*sales.columns, "lon", "lat").collect()))
+    for c in names:
+        spark.conf.set(c, -1)
+    try:
+        tables.write_bucketed(sales, "trades_of_large_roads", str(tmp_path / "roads"), "road_key")
+        kept = tables.scan_bucketed(spark, "trades_of_large_roads")
+        sizes = [r["n"] for r in kept.groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == len(rows) and max(sizes) < 400
+        joined = join_coords(kept, coords)
+        assert "road_part" not in joined.columns
+        assert sorted(map(str, joined.select(*sales.columns, "lon", "lat").collect())) == want
+        some = join_coords(kept.filter("ym = 202401"), coords)
+        assert some.count() == sum("ym=202401" in w for w in want)
+        # Nothing is dealt between the trades' scan and the join that reads all their columns.
+        lines = executed(joined).split("\n")
+        scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line and "price" in line)
+        join = max(i for i, line in enumerate(lines[:scan]) if "LeftOuter" in line)
+        assert not any("Exchange" in line for line in lines[join:scan])
+    finally:
+        for c in names:
+            spark.conf.unset(c)
+        spark.sql("DROP TABLE IF EXISTS trades_of_large_roads")
+
+
 def test_partial_counts_follow_appends_and_corrections(spark, tmp_path):
     path = str(tmp_path / "counts")
     rows = [sale(f"c{i % 5}", 202400 + i % 12 + 1, address=f"{CITY} 서구 {'가나'[i % 2]}동", road=[None, "길 1"][i % 3 > 0]) for i in range(240)]
