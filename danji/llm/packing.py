@@ -10,6 +10,7 @@ from array import array
 from dataclasses import dataclass, field
 from functools import lru_cache
 from heapq import heappop, heappush
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -18,24 +19,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from danji.llm.common import cut, ship
-from danji.llm.words import by_space, gathered, parts, steps
+from danji.llm.words import by_space, parts, steps
 
 #: Words of these letters are composed already, lower-cased one by one and never split.
-LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-#: Marks that are taken off the end of a word.
-ENDS = (".", ",")
-#: Words a worker remembers in each of two generations.
-REMEMBERED = 300_000
+LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+#: Words a worker remembers, and the bytes that they and their ids may take.
+REMEMBERED, REMEMBERED_BYTES = 300_000, 24 << 20
+#: Words given to the tokenizer at once: what it holds of a word while it encodes is far larger than its ids.
+ENCODED = 1000
 #: Pieces of one length that are ranked together.
 RANKED = 20_000
 
 
-class WordIds(dict):
+class WordIds:
     """The ids of what stands between two spaces or line ends, as little-endian unsigned 32-bit numbers.
 
     A space belongs to no token of this kind of tokenizer (white space is only a separator, and
     composing characters never joins one to a space), so the parts are encoded independently.
-    A text that holds a string of an added token is encoded whole.
+    A text that holds a string of an added token is encoded whole. Words and their ids are Arrow
+    arrays, in which a word takes some 20 bytes; as Python's objects they would take 200.
     """
 
     def __init__(self, path: str):
@@ -43,7 +45,6 @@ class WordIds(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -51,10 +52,15 @@ class WordIds(dict):
         probe = "Áb  c'll\n. d!?́ x"
         self.separable = self._whole(probe) == b"".join(self._whole(p) for p in probe.split(" "))
         assert array("I").itemsize == 4 and sys.byteorder == "little"
-        self.old: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
+        # Marks that, alone or in a row, are no part of the word of letters before them.
+        marks = [m for m in punctuation if all(self._whole("ab" + m * n) == self._whole("ab") + self._whole(m * n) for n in (1, 2, 3))]
+        ends = f"[{''.join(map(re.escape, marks))}]*" if marks else ""
+        self.ending = f"^(?P<word>{LETTERS})(?P<marks>{ends})$"
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.used = np.zeros(0, bool)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -65,48 +71,83 @@ class WordIds(dict):
             return [memoryview(self._whole(t)) for t in texts.to_pylist()]
         whole = {i: self._whole(texts[i].as_py()) for i in self._with_added(texts)}
         ends, codes, words = parts(texts, lambda t: by_space(pc.replace_substring(t, "\n", " ")))
-        ids = self._ids(words.to_pylist())
-        offsets = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids], dtype=np.int64)])
-        flat, firsts = gathered(offsets, np.frombuffer(b"".join(ids), "<u4"), codes)
-        raw, at = memoryview(flat.tobytes()), (4 * firsts[ends]).tolist()
+        ids = self._ids(words).take(pa.array(codes))
+        _, offsets, raw = ids.buffers()
+        at = np.frombuffer(offsets, np.int64, len(ids) + 1, 8 * ids.offset)[ends].tolist()
+        raw = memoryview(raw if raw is not None else b"")
         return [whole[i] if i in whole else raw[a:b] for i, (a, b) in enumerate(zip(at, at[1:]))]
 
     def _with_added(self, texts: pa.Array) -> list[int]:
         found = [pc.match_substring(texts, a).to_numpy(zero_copy_only=False) for a in self.added]
         return np.flatnonzero(np.logical_or.reduce(found)).tolist() if found else []
 
-    def _ids(self, words: list[str]) -> list[bytes]:
-        known = self
-        new = []
-        for w in words:
-            if w not in known:
-                if (ids := self.old.get(w)) is None:
-                    new.append(w)
-                else:
-                    known[w] = ids
-        # A word of letters and one mark after it are matched apart: the word is likely to come again.
-        later = [w for w in new if w[-1:] in ENDS and LETTERS.fullmatch(w, 0, len(w) - 1)]
-        bare = [w for w in {w[:-1] for w in later}.union(new, ENDS).difference(later) if w not in known]
-        plain = [w for w in bare if LETTERS.fullmatch(w)]
-        odd = [w for w in bare if not LETTERS.fullmatch(w)]
-        # Words of letters in one text: each ends with the next id that ends a word.
-        if plain:
-            ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = [0, *(4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()]
-            raw = ids.tobytes()
-            if len(cuts) == len(plain) + 1:
-                known.update(zip(plain, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+    def _ids(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words. Letters and the marks after them are looked up apart: they are likely to come again."""
+        split = pc.extract_regex(words, self.ending)
+        bare, marks = (pc.struct_field(split, k) for k in ("word", "marks"))
+        marked = pc.fill_null(pc.not_equal(marks, ""), False)
+        units = pa.concat_arrays([pc.if_else(split.is_valid(), bare, words), marks.filter(marked)]).dictionary_encode()
+        ids = self._looked_up(units.dictionary).take(units.indices)
+        # What comes after each word: its marks, or the empty one added.
+        after = np.full(len(words), len(ids))
+        after[marked.to_numpy(zero_copy_only=False)] = np.arange(len(words), len(ids))
+        ends = pa.concat_arrays([ids, pa.array([b""], ids.type)]).take(pa.array(after))
+        return pc.binary_join_element_wise(ids[: len(words)], ends, pa.scalar(b"", ids.type))
+
+    def _looked_up(self, units: pa.Array) -> pa.Array:
+        """The ids of distinct units, remembered or by the tokenizer."""
+        at = pc.fill_null(pc.index_in(units, value_set=self.words), -1).to_numpy(zero_copy_only=False).copy()
+        new = at < 0
+        self.used[at[~new]] = True
+        if new.any():
+            at[new] = len(self.words) + self._learn(units.filter(pa.array(new)))
+        ids = self.ids.take(pa.array(at))
+        self._forget()
+        return ids
+
+    def _learn(self, units: pa.Array) -> np.ndarray:
+        """Encode and remember new units; the place of each among them."""
+        is_plain = pc.match_substring_regex(units, f"^{LETTERS}$").to_numpy(zero_copy_only=False)
+        order, raw, sizes, odd = [], [], [], [np.flatnonzero(~is_plain)]
+        for some in _steps(np.flatnonzero(is_plain)):
+            # Words of letters in one text: each ends with the next id that ends a word.
+            text = " ".join(units.take(pa.array(some)).to_pylist())
+            ids = np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(cuts) == len(some):
+                order.append(some)
+                raw.append(ids.tobytes())
+                sizes.append(np.diff(cuts, prepend=0))
             else:  # a vocabulary that marks the ends of words otherwise, or not at all
-                odd += plain
-        for w, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
-            known[w] = array("I", e.ids).tobytes()
-        for w in later:
-            known[w] = known[w[:-1]] + known[w[-1]]
-        out = [known[w] for w in words]
-        if len(known) > REMEMBERED:
-            self.old = {w: ids for w, ids in known.items() if len(w) < 100}
-            known.clear()
-        return out
+                odd.append(some)
+        for some in _steps(np.concatenate(odd)):
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(units.take(pa.array(some)).to_pylist(), add_special_tokens=False)]
+            order.append(some)
+            raw.append(np.concatenate(ids).astype("<u4").tobytes())
+            sizes.append([len(i) for i in ids])
+        order = np.concatenate(order)
+        offsets = np.concatenate([[0], 4 * np.cumsum(np.concatenate(sizes), dtype=np.int64)])
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(raw))]
+        self.ids = pa.concat_arrays([self.ids, pa.Array.from_buffers(self.ids.type, len(order), buffers)])
+        self.words = pa.concat_arrays([self.words, units.take(pa.array(order))])
+        self.used = np.concatenate([self.used, np.zeros(len(order), bool)])
+        places = np.empty(len(order), np.int64)
+        places[order] = np.arange(len(order))
+        return places
+
+    def _forget(self) -> None:
+        """Keep what was used again, the latest first, where words are too many or too long together."""
+        if len(self.words) <= REMEMBERED and self.words.nbytes + self.ids.nbytes <= REMEMBERED_BYTES:
+            return
+        sizes = sum(pc.binary_length(x).to_numpy(zero_copy_only=False) + 8 for x in (self.words, self.ids))
+        keep = np.flatnonzero(self.used)[::-1][: REMEMBERED // 2]
+        keep = np.sort(keep[np.cumsum(sizes[keep]) <= REMEMBERED_BYTES // 2])
+        self.words, self.ids = self.words.take(pa.array(keep)), self.ids.take(pa.array(keep))
+        self.used = np.zeros(len(keep), bool)
+
+
+def _steps(at: np.ndarray) -> list[np.ndarray]:
+    return [at[i : i + ENCODED] for i in range(0, len(at), ENCODED)]
 
 
 @lru_cache(maxsize=2)

@@ -5,12 +5,14 @@ import gzip
 import hashlib
 import random
 import re
+import tracemalloc
 import urllib.parse
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -90,6 +92,37 @@ def test_packing_with_any_tokenizer(spark, name):
     assert mine == want
 
 
+def invented_words(r, n):
+    return ["".join(r.choice("aeinorstxÉß") for _ in range(8)) + r.choice(["", "", ".", ",", "!?", "***", "'s", "-1"]) for _ in range(n)]
+
+
+def test_words_are_remembered_in_little_memory():
+    words, r, most = packing.WordIds(WORDS), random.Random(4), 0
+    words.encode_all(pa.array(["a b."]))
+    tracemalloc.start()
+    try:
+        held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes()
+        for _ in range(10):
+            words.encode_all(pa.array([" ".join(invented_words(r, 20_000))]))
+            most = max(most, tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - held)
+    finally:
+        tracemalloc.stop()
+    assert most < 20e6
+
+
+@pytest.mark.parametrize("bound", [(50, 24 << 20), (300_000, 2000)])
+def test_forgotten_words_are_encoded_again(monkeypatch, bound):
+    monkeypatch.setattr(packing, "REMEMBERED", bound[0])
+    monkeypatch.setattr(packing, "REMEMBERED_BYTES", bound[1])
+    words, tokenizer, r = packing.WordIds(WORDS), Tokenizer.from_file(WORDS), random.Random(6)
+    often = invented_words(r, 30)
+    for _ in range(12):
+        texts = ["", *(" ".join(r.choice([often, invented_words(r, 40)])) for _ in range(5)), "x" * 3000 + ".", "the<|endoftext|> end."]
+        want = [np.asarray(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert [bytes(i) for i in words.encode_all(pa.array(texts))] == want
+        assert len(words.words) <= bound[0] and words.words.nbytes + words.ids.nbytes <= bound[1]
+
+
 def test_packing_leaves_little_padding(spark):
     rows = [(i, prose(i, 20 + i % 90)) for i in range(400)]
     got = rows_of(pack(documents(spark, rows), WORDS, 2, 256))
